@@ -1,0 +1,33 @@
+"""Find keys that hold too many rows, cheaply and with a bounded result."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+SLOTS = 65536
+HOT_SHARE = 1024  # a slot is hot above 1/1024 of all rows, so fewer than 1024 slots are
+
+
+def slot_of(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(SLOTS)).cast("int")
+
+
+def hot_slots(keys: DataFrame, key: str, min_rows: int = 1_000_000) -> DataFrame:
+    """Hash slots that hold more than 1/1024 of the rows, and at least ``min_rows``.
+
+    Keys are counted per hash slot, so every task sends at most 65,536 small rows.
+    The answer only steers how work is split, so a cold key that shares a hot slot
+    costs nothing but a little extra work.
+    """
+    counts = keys.groupBy(slot_of(F.col(key)).alias("hot_slot")).agg(F.count(F.lit(1)).alias("n"))
+    everything = Window.partitionBy(F.lit(0))  # at most 65,536 rows
+    return (counts.withColumn("total", F.sum("n").over(everything))
+            .filter((F.col("n") * HOT_SHARE > F.col("total")) & (F.col("n") >= min_rows))
+            .select("hot_slot"))
+
+
+def mark_hot(rows: DataFrame, key: str, slots: DataFrame) -> DataFrame:
+    """Add ``hot``.  The broadcast side has fewer than 1,024 rows by construction."""
+    marked = rows.join(F.broadcast(slots), slot_of(F.col(key)) == F.col("hot_slot"), "left")
+    return marked.withColumn("hot", F.col("hot_slot").isNotNull()).drop("hot_slot")
