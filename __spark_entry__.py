@@ -25,7 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 SKU, PROVINCE, TRAFFIC = dashboard.SKU, dashboard.PROVINCE, dashboard.TRAFFIC
 
 
-def _tables(spark: SparkSession, sf_dir: str, *streaming: str) -> derive.Tables:
+def _tables(spark: SparkSession, sf_dir: str, streaming: bool = False) -> derive.Tables:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return derive.Tables(spark, sf_dir, streaming)
 
@@ -322,10 +322,9 @@ def _files_of(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def _stream_split(job: Callable, text: Callable, table_names: tuple[str, ...],
-                  gated: bool) -> Query:
+def _stream_split(job: Callable, text: Callable, gated: bool) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = text(_tables(spark, sf_dir, *table_names))
+        rows = text(_tables(spark, sf_dir, streaming=True))
         path = scratch_path(spark, "split")
         _run(spark, job(pipeline.gated(rows) if gated else rows, path), "split")
         stored = _files_of(spark, path, "route string, value string")
@@ -335,7 +334,7 @@ def _stream_split(job: Callable, text: Callable, table_names: tuple[str, ...],
 
 
 def _stream_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = pipeline.gated(derive.log_text(_tables(spark, sf_dir, "events")))
+    text = pipeline.gated(derive.log_text(_tables(spark, sf_dir, streaming=True)))
     pages = logs.log_stream(logs.split_logs(text), "page").drop("item")
     path = scratch_path(spark, TRAFFIC)
     _run(spark, jobs.traffic_window_job(pages, path), TRAFFIC)
@@ -361,7 +360,7 @@ _FACT_FILES = ", ".join(f"{n} string" for n in FACT_FIELDS) + (
 def _stream_fact(upto: str) -> Query:
     """The chained joins, one query per join, each with its own checkpoint."""
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        d, o, a, c = _inputs(_tables(spark, sf_dir, "lineitem", "orders"))
+        d, o, a, c = _inputs(_tables(spark, sf_dir, streaming=True))
         rows, path = fact_state.base_stream(d, o), scratch_path(spark, "base")
         _run(spark, sinks.each_batch(rows, sinks.batch_files(path)), "base")
         if upto == "coupon":
@@ -375,7 +374,7 @@ def _stream_fact(upto: str) -> Query:
 
 
 def _stream_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = derive.dim_text(_tables(spark, sf_dir, "customer", "part"))
+    text = derive.dim_text(_tables(spark, sf_dir, streaming=True))
     path = scratch_path(spark, "cells")
     _run(spark, jobs.dim_job(text, lambda: _config(spark), path), "cells")
     log = _files_of(spark, path, "sink_table string, row_key string, family string, "
@@ -445,9 +444,8 @@ def queries() -> dict[str, Query]:
         "dim_project": lambda spark, sf_dir: _cell_columns(_cells(spark, sf_dir)),
         "dim_snapshot": lambda spark, sf_dir: _cell_columns(dims.fold_cells(_cells(spark, sf_dir))),
         "dim_user_info": _dim_user_info,
-        "stream_db_split": _stream_split(jobs.db_split_job, derive.db_text,
-                                         ("lineitem", "orders", "events"), True),
-        "stream_log_split": _stream_split(jobs.log_split_job, derive.log_text, ("events",), False),
+        "stream_db_split": _stream_split(jobs.db_split_job, derive.db_text, gated=True),
+        "stream_log_split": _stream_split(jobs.log_split_job, derive.log_text, gated=False),
         "stream_traffic_window": _stream_traffic,
         "stream_sku_window": _stream_trade(SKU, jobs.sku_window_job),
         "stream_province_window": _stream_trade(PROVINCE, jobs.province_window_job),

@@ -15,21 +15,31 @@ TIMES = ["event_ms", "arrival_ts", "seq"]
 
 
 class Tables:
-    """The given tables; each is opened once per instance.  Those named in ``streaming``
-    are opened as streams of their files."""
+    """The given tables; each is opened once per instance.
 
-    def __init__(self, spark: SparkSession, sf_dir: str, streaming: tuple[str, ...] = ()):
+    With ``streaming`` the tables are streams of their files; ``lookup`` always gives
+    the stored table, for joins to reference data.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, streaming: bool = False):
         self.spark, self.sf_dir, self.streaming = spark, sf_dir, streaming
-        self._open: dict[str, DataFrame] = {}
+        self._stored: dict[str, DataFrame] = {}
+        self._streams: dict[str, DataFrame] = {}
+
+    def lookup(self, name: str) -> DataFrame:
+        if name not in self._stored:
+            self._stored[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._stored[name]
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._open:
-            path = f"{self.sf_dir}/{name}.parquet"
-            rows = self.spark.read.parquet(path)
-            if name in self.streaming:
-                rows = self.spark.readStream.schema(rows.schema).parquet(path)
-            self._open[name] = rows
-        return self._open[name]
+        if not self.streaming:
+            return self.lookup(name)
+        if name not in self._streams:
+            # a pattern, because a stream takes a plain path for a folder
+            path = f"{self.sf_dir}/{name}.parque[t]"
+            self._streams[name] = (self.spark.readStream.schema(self.lookup(name).schema)
+                                   .parquet(path))
+        return self._streams[name]
 
 
 def _arrival(seconds: str) -> str:
@@ -60,7 +70,7 @@ def _lines(t: Tables) -> DataFrame:
 
 
 def _lines_with_parts(t: Tables) -> DataFrame:
-    parts = t["part"].select("p_partkey", "p_name", "p_brand")
+    parts = t.lookup("part").select("p_partkey", "p_name", "p_brand")
     lines = _lines(t)
     return lines.join(parts, lines["l_partkey"] == parts["p_partkey"])
 
@@ -122,7 +132,7 @@ def coupons(t: Tables) -> DataFrame:
 
 
 def _orders(t: Tables) -> DataFrame:
-    buyers = t["customer"].select("c_custkey", "c_nationkey")
+    buyers = t.lookup("customer").select("c_custkey", "c_nationkey")
     rows = t["orders"].selectExpr(
         "o_orderkey AS k", "CAST(o_orderkey AS STRING) AS id", "o_custkey", "o_orderstatus",
         "o_orderpriority", "CAST(CAST(o_totalprice AS DECIMAL(16,2)) AS STRING) AS total",
@@ -134,16 +144,22 @@ def orders(t: Tables) -> DataFrame:
     return _orders(t).selectExpr(*ORDER_COLUMNS, "event_ms", f"{ORDER_ARRIVAL} AS arrival_ts", "seq")
 
 
-def _entry(table: str, condition: str, columns: list[str], arrival: str) -> str:
+def _entry(table: str, condition: str, columns: list[str], arrival: str) -> tuple[str, ...]:
     """One possible change of a source row; the id is blank where change key % 101 = 1."""
     body = ["CASE WHEN k % 101 = 1 THEN ' ' ELSE id END AS id"] + columns[1:]
-    return (f"CASE WHEN {condition} THEN named_struct('tbl', '{table}', "
-            f"'body', to_json(struct({', '.join(body)})), 'arrival_ts', {arrival}) END")
+    return table, condition, f"to_json(struct({', '.join(body)}))", arrival
+
 
+def _changes(rows: DataFrame, *entries: tuple[str, ...]) -> DataFrame:
+    names = ", ".join(f"CASE WHEN {condition} THEN '{table}' END"
+                      for table, condition, _, _ in entries)
+    listed = rows.selectExpr("*", f"explode(filter(array({names}), x -> x IS NOT NULL)) AS tbl")
 
-def _changes(rows: DataFrame, *entries: str) -> DataFrame:
-    listed = f"inline(filter(array({', '.join(entries)}), x -> x IS NOT NULL))"
-    return rows.selectExpr("k", "id", "event_ms", "seq", listed)
+    def by_table(i: int) -> str:
+        return "CASE tbl " + " ".join(f"WHEN '{e[0]}' THEN {e[i]}" for e in entries) + " END"
+
+    return listed.selectExpr("k", "id", "event_ms", "seq", "tbl", f"{by_table(2)} AS body",
+                             f"{by_table(3)} AS arrival_ts")
 
 
 def _line_changes(t: Tables) -> DataFrame:
@@ -193,6 +209,12 @@ def _unrouted_changes(t: Tables, table: str, base: str, key: str, name: str) ->
     return _changes(rows, _entry(table, "TRUE", ["id", "name"], _arrival("k % 100")))
 
 
+def _text(rows: DataFrame, value: str, arrival: str, seq: str) -> DataFrame:
+    """The text stream; building the text is kept apart from later filters on it."""
+    return rows.selectExpr(f"{arrival} AS arrival_ts", f"{seq} AS seq",
+                           f"inline(array(struct({value} AS value)))")
+
+
 def change_text(changes: DataFrame) -> DataFrame:
     """Change rows as event text.
 
@@ -210,8 +232,7 @@ def change_text(changes: DataFrame) -> DataFrame:
     event = (f"concat('{{', coalesce(concat('\"op\":\"', {op}, '\",'), ''), {side}, {place}, "
              "'\"ts_ms\":', event_ms, '}')")
     cut = """concat('{"op":"c","source":{"table":"', tbl, '"},"after":{"id":"', id, '"')"""
-    return changes.selectExpr(
-        f"CASE WHEN k % 101 = 0 THEN {cut} ELSE {event} END AS value", "arrival_ts", "seq")
+    return _text(changes, f"CASE WHEN k % 101 = 0 THEN {cut} ELSE {event} END", "arrival_ts", "seq")
 
 
 def trade_text(t: Tables) -> DataFrame:
@@ -258,10 +279,11 @@ def log_text(t: Tables) -> DataFrame:
     page = (f"CASE WHEN event_type = 'signup' OR {e} % 103 = 3 THEN '' "
             f"WHEN {e} % 103 = 4 THEN '\"page\":7,' ELSE concat('\"page\":{{\"page_id\":\"page_', "
             f"{e} % 20, '\",\"during_time\":', {e} % 3000, '}},') END").replace("{{", "{").replace("}}", "}")
-    return t["events"].selectExpr(
+    return _text(
+        t["events"],
         f"CASE WHEN {e} % 101 = 0 THEN concat('{{\"common\":{{\"mid\":\"', {e}) "
-        f"ELSE concat('{{', {page}, substring({body}, 2)) END AS value",
-        f"timestamp_seconds({PAGE_SECONDS}) AS arrival_ts", f"CAST({e} AS STRING) AS seq")
+        f"ELSE concat('{{', {page}, substring({body}, 2)) END",
+        f"timestamp_seconds({PAGE_SECONDS})", f"CAST({e} AS STRING)")
 
 
 # configuration changes: second, op, source table, sink table, family, row key, columns, type

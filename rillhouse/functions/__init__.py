@@ -6,6 +6,7 @@ from rillhouse.functions.jsontext import (  # noqa: F401
 from rillhouse.functions.numbers import (  # noqa: F401
     amount_or_zero, is_valid_amount, is_valid_integer, parse_amount, parse_integer, round_money,
 )
+from rillhouse.functions.once import add_once, parse_once  # noqa: F401
 from rillhouse.functions.text import (  # noqa: F401
     clean_tsv_field, default_if_blank, equals_ignore_case, first_non_blank, is_blank,
     split_and_trim, string_max, trim_control, tsv_line,

@@ -20,8 +20,10 @@ def is_json_object(value: Column) -> Column:
     """
     in_array = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<struct<_:string>>")
     as_member = F.from_json(F.concat(F.lit('{"w":'), value, F.lit("}")), "w struct<_:string>")
-    whole = (F.size(in_array) == 1) & in_array[0].isNotNull() & as_member["w"].isNotNull()
-    return F.coalesce(whole, F.lit(False))
+    # one mark per element, so that each wrapper is parsed once
+    marks = F.array_join(
+        F.transform(in_array, lambda x: F.when(x.isNull(), F.lit("-")).otherwise(F.lit("+"))), "")
+    return F.coalesce((marks == "+") & as_member["w"].isNotNull(), F.lit(False))
 
 
 def is_object_text(nested: Column) -> Column:

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillhouse.functions import (
-    as_variant, is_blank, is_object_text, json_field, json_put, parse_integer,
+    add_once, as_variant, is_blank, is_object_text, json_field, json_put, parse_integer,
+    parse_once,
 )
 from rillhouse.sources.schemas import CHANGE_SCHEMA, DIRTY_STREAM, DWD_FIELDS, DWD_ROUTES
 
@@ -17,17 +18,11 @@ def read_changes(rows: DataFrame, value: str = "value") -> DataFrame:
     When a ``source`` object is present its ``table`` counts even if null; the root
     ``table`` is only used without one.  A ``source`` that is no object gives null.
     """
-    keep = [F.col(c) for c in rows.columns]
-    parsed = rows.select(*keep, F.from_json(value, CHANGE_SCHEMA).alias("_e"))
-    table = (F.when(F.col("_e.source").isNull(), F.col("_e.table"))
-             .when(is_object_text(F.col("_e.source")), json_field(F.col("_e.source"), "table")))
-    return parsed.select(
-        *keep,
-        F.col("_e.op").alias("op"),
-        table.alias("source_table"),
-        F.col("_e.before").alias("before"),
-        F.col("_e.after").alias("after"),
-        F.col("_e.ts_ms").alias("ts_text"))
+    parsed = parse_once(rows, value, CHANGE_SCHEMA)
+    table = (F.when(F.col("source").isNull(), F.col("table"))
+             .when(is_object_text(F.col("source")), json_field(F.col("source"), "table")))
+    return (add_once(parsed, source_table=table).drop("source", "table")
+            .withColumnRenamed("ts_ms", "ts_text"))
 
 
 def judge_changes(changes: DataFrame) -> DataFrame:
@@ -45,7 +40,7 @@ def judge_changes(changes: DataFrame) -> DataFrame:
         .when(~is_object_text(after), F.lit("after is no object"))
         .when(is_blank(json_field(after, "id")), F.lit("no id"))
         .when(~is_blank(ts) & parse_integer(ts).isNull(), F.lit("bad ts_ms")))
-    judged = changes.withColumn("reason", reason).withColumn("ts_ms", parse_integer(ts))
+    judged = add_once(changes, reason=reason, ts_ms=parse_integer(ts))
     verdict = (F.when(F.col("reason").isNotNull(), F.lit("dirty"))
                .when(op == "d", F.lit("delete")).otherwise(F.lit("pass")))
     return judged.withColumn("verdict", verdict).drop("ts_text")
@@ -88,17 +83,14 @@ def detail_table(routed: DataFrame, table: str) -> DataFrame:
     """Typed detail stream of one table: its text columns and the three metadata columns."""
     fields = DWD_FIELDS[table]
     schema = ", ".join(f"{name} string" for name in fields)
-    return (routed.filter(F.col("route") == DWD_ROUTES[table])
-            .select(F.from_json("after", schema).alias("_row"), "source_table", "op", "ts_ms",
-                    "value", "arrival_ts", "seq")
-            .select("_row.*", F.col("source_table").alias("_source_table"),
-                    F.col("op").alias("_op"), F.col("ts_ms").alias("_ts_ms"),
-                    "value", "arrival_ts", "seq"))
+    rows = routed.filter(F.col("route") == DWD_ROUTES[table]).select(
+        F.col("source_table").alias("_source_table"), F.col("op").alias("_op"),
+        F.col("ts_ms").alias("_ts_ms"), "value", "arrival_ts", "seq", "after")
+    return parse_once(rows, "after", schema).drop("after")
 
 
 def read_detail_text(rows: DataFrame, table: str) -> DataFrame:
     """Typed columns from a detail stream that was stored as text."""
     schema = ", ".join(f"{name} string" for name in
                        DWD_FIELDS[table] + ["_source_table", "_op"]) + ", _ts_ms bigint"
-    return (rows.select(F.from_json("value", schema).alias("_row"), "value", "arrival_ts", "seq")
-            .select("_row.*", "value", "arrival_ts", "seq"))
+    return parse_once(rows, "value", schema)

@@ -12,7 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillhouse.functions import default_if_blank, equals_ignore_case, split_and_trim
+from rillhouse.functions import (
+    add_once, default_if_blank, equals_ignore_case, parse_once, split_and_trim,
+)
 from rillhouse.operators.changes import read_changes
 from rillhouse.sources.schemas import DIM_CONFIG_FIELDS
 
@@ -30,16 +32,17 @@ def read_config(rows: DataFrame) -> DataFrame:
     changes = read_changes(rows).drop("source_table")
     body = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
     schema = ", ".join(f"{n} string" for n in DIM_CONFIG_FIELDS)
-    parsed = changes.select("op", "arrival_ts", "seq", F.from_json(body, schema).alias("_c"))
+    parsed = parse_once(changes.select("op", "arrival_ts", "seq", body.alias("body")),
+                        "body", schema)
     c = F.col
     is_dim = equals_ignore_case(c("sink_type"), "dim")
     return (parsed.select(
                 "op", "arrival_ts", "seq",
-                c("_c.source_table").alias("source_table"), c("_c.sink_table").alias("sink_table"),
-                default_if_blank(c("_c.sink_family"), "info").alias("sink_family"),
-                default_if_blank(c("_c.sink_row_key"), "id").alias("sink_row_key"),
-                split_and_trim(c("_c.sink_columns")).alias("sink_columns"),
-                default_if_blank(c("_c.sink_type"), "dim").alias("sink_type"))
+                "source_table", "sink_table",
+                default_if_blank(c("sink_family"), "info").alias("sink_family"),
+                default_if_blank(c("sink_row_key"), "id").alias("sink_row_key"),
+                split_and_trim(c("sink_columns")).alias("sink_columns"),
+                default_if_blank(c("sink_type"), "dim").alias("sink_type"))
             .filter(c("source_table") != "")
             .withColumn("action", F.when((F.coalesce(c("op"), F.lit("")) == "d") | ~is_dim,
                                          F.lit("remove")).otherwise(F.lit("put"))))
@@ -82,14 +85,13 @@ def project_dims(configured: DataFrame) -> DataFrame:
     only its columns.  Rows without a key leave; so do upserts without any cell.
     """
     c = F.col
-    data = configured.withColumn("data", F.from_json("body", "map<string,string>"))
+    data = add_once(configured, data=F.from_json("body", "map<string,string>"))
     cells = F.map_filter(
         "data", lambda name, value: (name != c("sink_row_key")) & value.isNotNull()
         & (c("sink_columns").isNull() | F.array_contains(c("sink_columns"), name)))
     is_delete = c("op") == "d"
-    return (data.withColumn("row_key", F.try_element_at("data", c("sink_row_key")))
-            .filter(F.length("row_key") > 0)
-            .withColumn("cells", F.when(~is_delete, cells))
+    keyed = data.withColumn("row_key", F.try_element_at("data", c("sink_row_key")))
+    return (add_once(keyed.filter(F.length("row_key") > 0), cells=F.when(~is_delete, cells))
             .filter(is_delete | (F.size("cells") > 0))
             .select("sink_table", "row_key", F.col("sink_family").alias("family"),
                     F.when(is_delete, F.lit("delete")).otherwise(F.lit("put")).alias("action"),

@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillhouse.functions import is_json_object
+from rillhouse.functions import add_once, is_json_object
 
 DIRTY_COLUMNS = ["stage", "value", "reason", "arrival_ts"]
 
 
 def with_gate_reason(rows: DataFrame, value: str = "value") -> DataFrame:
     """Add ``reason``: null for rows that pass."""
-    return rows.withColumn(
-        "reason", F.when(~is_json_object(F.col(value)), F.lit("not a JSON object")))
+    return add_once(
+        rows, reason=F.when(~is_json_object(F.col(value)), F.lit("not a JSON object")))
 
 
 def passed(rows: DataFrame) -> DataFrame:

@@ -6,49 +6,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillhouse.functions import (
-    as_variant, is_blank, is_object_text, json_field, json_put, parse_integer,
+    add_once, as_variant, is_blank, is_object_text, json_field, json_put, parse_integer,
+    parse_once,
 )
 from rillhouse.sources.schemas import DIRTY_STREAM, LOG_ROUTES, LOG_SCHEMA
 
 
 def read_logs(rows: DataFrame, value: str = "value") -> DataFrame:
     """Add the record's parts (nested ones as JSON text) and ``mid, sid, ts``."""
-    keep = [F.col(c) for c in rows.columns]
-    parsed = rows.select(*keep, F.from_json(value, LOG_SCHEMA).alias("_e"))
-    part = {n: F.col(f"_e.{n}") for n in
-            ("common", "page", "start", "displays", "actions", "err")}
-    return parsed.select(
-        *keep, *[c.alias(n) for n, c in part.items()],
-        F.col("_e.ts").alias("ts_text"),
-    ).withColumn("_ids", F.from_json("common", "mid string, sid string")).select(
-        *keep, *part, "ts_text", F.col("_ids.mid").alias("mid"), F.col("_ids.sid").alias("sid"),
-        parse_integer(F.col("ts_text")).alias("ts"))
-
-
-def _items(array_text: Column) -> Column:
-    return F.from_json(array_text, "array<string>")
+    parsed = parse_once(rows, value, LOG_SCHEMA)
+    with_ids = parse_once(parsed, "common", "mid string, sid string")
+    return with_ids.withColumn("ts", parse_integer(F.col("ts")))
 
 
 def _bad_object(part: Column) -> Column:
     return part.isNotNull() & ~is_object_text(part)
 
 
-def _bad_items(part: Column) -> Column:
-    items = _items(part)
+def _bad_items(part: Column, items: Column) -> Column:
     return part.isNotNull() & (items.isNull() | F.exists(items, lambda x: ~is_object_text(x)))
 
 
 def judge_logs(logs: DataFrame) -> DataFrame:
     """Add ``reason`` (null for clean records)."""
     c = F.col
+    listed = add_once(logs, display_items=F.from_json("displays", "array<string>"),
+                      action_items=F.from_json("actions", "array<string>"))
     reason = (
         F.when(~is_object_text(c("common")), F.lit("no common"))
         .when(c("ts").isNull(), F.lit("no ts"))
         .when(is_blank(c("mid")), F.lit("no mid"))
         .when(c("page").isNull() & c("start").isNull(), F.lit("neither page nor start"))
         .when(_bad_object(c("page")) | _bad_object(c("start")) | _bad_object(c("err"))
-              | _bad_items(c("displays")) | _bad_items(c("actions")), F.lit("bad nested value")))
-    return logs.withColumn("reason", reason).drop("ts_text")
+              | _bad_items(c("displays"), c("display_items"))
+              | _bad_items(c("actions"), c("action_items")), F.lit("bad nested value")))
+    return add_once(listed, reason=reason)
 
 
 def split_logs(rows: DataFrame) -> DataFrame:
@@ -67,9 +59,7 @@ def log_stream(judged: DataFrame, kind: str) -> DataFrame:
         return clean.filter(F.col(kind).isNotNull()).select(F.col(kind).alias("item"), *columns)
     if kind == "error":
         return clean.filter(F.col("err").isNotNull()).select(F.col("err").alias("item"), *columns)
-    source = {"display": "displays", "action": "actions"}[kind]
-    return (clean.filter(F.col(source).isNotNull())
-            .select(F.explode(_items(F.col(source))).alias("item"), *columns))
+    return clean.select(F.explode(f"{kind}_items").alias("item"), *columns)
 
 
 def _with_context(item: Column) -> Column:
@@ -90,9 +80,9 @@ def log_text(judged: DataFrame) -> DataFrame:
     def when(condition: Column, entries: Column) -> Column:
         return F.when(condition, entries).otherwise(none)
 
-    def per_item(part: str, route: str) -> Column:
-        entries = F.transform(_items(F.col(part)), lambda x: entry(route, _with_context(x)))
-        return when(clean & F.col(part).isNotNull(), entries)
+    def per_item(items: str, route: str) -> Column:
+        entries = F.transform(items, lambda x: entry(route, _with_context(x)))
+        return when(clean & F.col(items).isNotNull(), entries)
 
     outputs = F.concat(
         when(~clean, F.array(entry(DIRTY_STREAM, F.col("value")))),
@@ -100,20 +90,17 @@ def log_text(judged: DataFrame) -> DataFrame:
              F.array(entry(LOG_ROUTES["start"], F.col("value")))),
         when(clean & F.col("page").isNotNull(),
              F.array(entry(LOG_ROUTES["page"], F.col("value")))),
-        per_item("displays", LOG_ROUTES["display"]),
-        per_item("actions", LOG_ROUTES["action"]),
+        per_item("display_items", LOG_ROUTES["display"]),
+        per_item("action_items", LOG_ROUTES["action"]),
         when(clean & F.col("err").isNotNull(),
              F.array(entry(LOG_ROUTES["error"], _with_context(F.col("err"))))))
-    return (judged.select(F.explode(outputs).alias("_o"), "arrival_ts", "seq")
-            .select("_o.route", "_o.value", "arrival_ts", "seq"))
+    listed = add_once(judged, outputs=outputs)
+    return listed.select(F.inline("outputs"), "arrival_ts", "seq")
 
 
 def item_fields(stream: DataFrame, *names: str) -> DataFrame:
     """Read text fields out of ``item``."""
-    schema = ", ".join(f"`{n}` string" for n in names)
-    rest = [c for c in stream.columns if c != "item"]
-    return (stream.select(F.from_json("item", schema).alias("_i"), *rest)
-            .select("_i.*", *rest))
+    return parse_once(stream, "item", ", ".join(f"`{n}` string" for n in names)).drop("item")
 
 
 def page_fields(stream: DataFrame, *names: str) -> DataFrame:

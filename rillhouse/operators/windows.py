@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rillhouse.functions import (
     is_blank, is_object_text, now_millis, parse_amount, parse_event_time, parse_integer,
-    round_money,
+    parse_once, round_money,
 )
 from rillhouse.sources.schemas import FACT_SCHEMA, WINDOW_TABLES
 
@@ -21,8 +21,7 @@ WATERMARK = "3 seconds"
 
 def read_facts(rows: DataFrame) -> DataFrame:
     """Typed facts from JSON text."""
-    return (rows.select(F.from_json("value", FACT_SCHEMA).alias("_f"), "value", "arrival_ts")
-            .select("_f.*", "value", "arrival_ts"))
+    return parse_once(rows, "value", FACT_SCHEMA)
 
 
 def _with_event_time(facts: DataFrame, time_mode: str) -> DataFrame:
