@@ -302,20 +302,12 @@ def _dim_user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ streaming runs
 
-def _run(spark: SparkSession, writer, name: str) -> None:
-    """Work off what is there.  The state store must know TTLs (RocksDB)."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state."
-                        "RocksDBStateStoreProvider")
-    try:
-        query = sinks.start(writer, scratch_path(spark, f"{name}-checkpoint"), once=True)
-        query.awaitTermination()
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+def _run(spark: SparkSession, writer, name: str, stateful: bool = False) -> None:
+    """Work off what is there and stop."""
+    checkpoint = scratch_path(spark, f"{name}-checkpoint")
+    query = (sinks.start_stateful(spark, writer, checkpoint, once=True) if stateful
+             else sinks.start(writer, checkpoint, once=True))
+    query.awaitTermination()
 
 
 def _files_of(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -362,12 +354,12 @@ def _stream_fact(upto: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         d, o, a, c = _inputs(_tables(spark, sf_dir, streaming=True))
         rows, path = fact_state.base_stream(d, o), scratch_path(spark, "base")
-        _run(spark, sinks.each_batch(rows, sinks.batch_files(path)), "base")
+        _run(spark, sinks.each_batch(rows, sinks.batch_files(path)), "base", stateful=True)
         if upto == "coupon":
             for side, join in ((a, fact_state.activity_stream), (c, fact_state.coupon_stream)):
                 rows = join(spark.readStream.schema(_FACT_FILES).parquet(path), side)
                 path = scratch_path(spark, "fact")
-                _run(spark, sinks.each_batch(rows, sinks.batch_files(path)), "fact")
+                _run(spark, sinks.each_batch(rows, sinks.batch_files(path)), "fact", stateful=True)
         return _fact_columns(_files_of(spark, path, _FACT_FILES))
 
     return query

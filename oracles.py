@@ -617,7 +617,8 @@ FROM now WHERE sink_table = 'dim_user_info' GROUP BY row_key"""
     sql["stream_province_window"] = PROVINCE + f"{PROVINCE_SELECT} WHERE {closed_fact}"
     sql["stream_db_split"] = sql["dwd_db_split_counts"].replace(
         "FROM changes WHERE k % 101 <> 0 GROUP BY ALL",
-        f"FROM changes WHERE {VERDICT} = 'dirty' OR ({VERDICT} = 'pass' AND {ROUTE} IS NOT NULL) "
+        f"FROM changes WHERE k % 101 <> 0 AND ({VERDICT} = 'dirty' OR ({VERDICT} = 'pass' "
+        f"AND {ROUTE} IS NOT NULL)) "
         "GROUP BY ALL")
     sql["stream_log_split"] = _stream_log_split()
     sql["stream_fact_base"] = sql["fact_base_changelog"]

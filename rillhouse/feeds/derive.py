@@ -10,9 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 DAY_ONE = 1704067200  # 2024-01-01 00:00:00 UTC
 
-# text columns of the typed detail streams
-TIMES = ["event_ms", "arrival_ts", "seq"]
-
 
 class Tables:
     """The given tables; each is opened once per instance.
@@ -25,15 +22,29 @@ class Tables:
         self.spark, self.sf_dir, self.streaming = spark, sf_dir, streaming
         self._stored: dict[str, DataFrame] = {}
         self._streams: dict[str, DataFrame] = {}
+        self._spreads: dict[str, DataFrame] = {}
 
     def lookup(self, name: str) -> DataFrame:
         if name not in self._stored:
             self._stored[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._stored[name]
 
+    def _spread(self, name: str) -> DataFrame:
+        """A stored table on all cores: one with fewer input splits than cores (a single
+        small file) is dealt out; larger ones stay as they are."""
+        rows = self.lookup(name)
+        keys = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
+        if name not in keys:
+            return rows
+        if name not in self._spreads:
+            cores = self.spark.sparkContext.defaultParallelism
+            few = rows.rdd.getNumPartitions() < cores
+            self._spreads[name] = rows.repartition(cores, keys[name]) if few else rows
+        return self._spreads[name]
+
     def __getitem__(self, name: str) -> DataFrame:
         if not self.streaming:
-            return self.lookup(name)
+            return self._spread(name)
         if name not in self._streams:
             # a pattern, because a stream takes a plain path for a folder
             path = f"{self.sf_dir}/{name}.parque[t]"
@@ -116,19 +127,22 @@ ORDER_ARRIVAL = _arrival("(k * 31 + 1200) % 5000")
 PAGE_ARRIVAL = _arrival("(event_id * 7) % 3600")
 
 
+def _typed(rows: DataFrame, columns: list[str], arrival: str) -> DataFrame:
+    """Typed rows, computed once, like rows that were read from a stream."""
+    return rows.selectExpr("seq", f"inline(array(struct({', '.join(columns)}, event_ms, "
+                                  f"{arrival} AS arrival_ts)))")
+
+
 def details(t: Tables) -> DataFrame:
-    return _lines_with_parts(t).selectExpr(
-        *DETAIL_COLUMNS, "event_ms", f"{_line_arrival(0)} AS arrival_ts", "seq")
+    return _typed(_lines_with_parts(t), DETAIL_COLUMNS, _line_arrival(0))
 
 
 def activities(t: Tables) -> DataFrame:
-    return _lines_with_parts(t).filter(IS_ACTIVITY).selectExpr(
-        *ACTIVITY_COLUMNS, "event_ms", f"{_line_arrival(900)} AS arrival_ts", "seq")
+    return _typed(_lines_with_parts(t).filter(IS_ACTIVITY), ACTIVITY_COLUMNS, _line_arrival(900))
 
 
 def coupons(t: Tables) -> DataFrame:
-    return _lines(t).filter(IS_COUPON).selectExpr(
-        *COUPON_COLUMNS, "event_ms", f"{_line_arrival(2500)} AS arrival_ts", "seq")
+    return _typed(_lines(t).filter(IS_COUPON), COUPON_COLUMNS, _line_arrival(2500))
 
 
 def _orders(t: Tables) -> DataFrame:
@@ -141,7 +155,7 @@ def _orders(t: Tables) -> DataFrame:
 
 
 def orders(t: Tables) -> DataFrame:
-    return _orders(t).selectExpr(*ORDER_COLUMNS, "event_ms", f"{ORDER_ARRIVAL} AS arrival_ts", "seq")
+    return _typed(_orders(t), ORDER_COLUMNS, ORDER_ARRIVAL)
 
 
 def _entry(table: str, condition: str, columns: list[str], arrival: str) -> tuple[str, ...]:

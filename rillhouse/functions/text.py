@@ -11,7 +11,7 @@ _WHITE = "".join(chr(i) for i in range(0x21))
 
 def is_blank(c: Column) -> Column:
     """True for null and for text made only of characters up to U+0020."""
-    return c.isNull() | ~c.rlike(r"[^\x00-\x20]")
+    return F.coalesce(~c.rlike(r"[^\x00-\x20]"), F.lit(True))
 
 
 def trim_control(c: Column) -> Column:
