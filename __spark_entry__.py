@@ -149,12 +149,8 @@ def _settled(*, activity: bool = True, coupon: bool = True) -> Query:
 def _changelog(upto: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         d, o, a, c = _inputs(_tables(spark, sf_dir))
-        rows = replay.base_changelog(d, o)
-        if upto != "base":
-            rows = replay.activity_changelog(rows, a)
-        if upto == "coupon":
-            rows = replay.coupon_changelog(rows, c)
-        return _fact_columns(rows)
+        return _fact_columns(replay.fact_changelog(
+            d, o, a if upto != "base" else None, c if upto == "coupon" else None))
 
     return query
 

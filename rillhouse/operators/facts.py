@@ -19,32 +19,39 @@ ORDER_OF_ARRIVAL = ["arrival_ts", "seq"]
 _AMOUNTS = ["order_price", "split_total_amount", "split_activity_amount", "split_coupon_amount"]
 
 
-def check_details(rows: DataFrame) -> DataFrame:
-    """Add ``reason``: keys must not be blank, the count must be a whole number and the
-    amounts numbers or blank."""
+def detail_reason() -> Column:
+    """Why an order detail is rejected (null when it is not): keys must not be blank, the
+    count must be a whole number and the amounts numbers or blank."""
     c = F.col
     bad_amount = ~is_valid_amount(c(_AMOUNTS[0]))
     for name in _AMOUNTS[1:]:
         bad_amount = bad_amount | ~is_valid_amount(c(name))
-    return rows.withColumn(
-        "reason",
-        F.when(is_blank(c("id")) | is_blank(c("order_id")) | is_blank(c("sku_id")),
-               F.lit("missing key"))
-        .when(~is_valid_integer(c("sku_num")), F.lit("bad sku_num"))
-        .when(bad_amount, F.lit("bad amount")))
+    return (F.when(is_blank(c("id")) | is_blank(c("order_id")) | is_blank(c("sku_id")),
+                   F.lit("missing key"))
+            .when(~is_valid_integer(c("sku_num")), F.lit("bad sku_num"))
+            .when(bad_amount, F.lit("bad amount")))
+
+
+def order_reason() -> Column:
+    return (F.when(is_blank(F.col("id")), F.lit("missing key"))
+            .when(~is_valid_amount(F.col("original_total_amount")), F.lit("bad amount")))
+
+
+def promotion_reason() -> Column:
+    """For activity and coupon rows."""
+    return F.when(is_blank(F.col("order_detail_id")), F.lit("missing key"))
+
+
+def check_details(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("reason", detail_reason())
 
 
 def check_orders(rows: DataFrame) -> DataFrame:
-    return rows.withColumn(
-        "reason",
-        F.when(is_blank(F.col("id")), F.lit("missing key"))
-        .when(~is_valid_amount(F.col("original_total_amount")), F.lit("bad amount")))
+    return rows.withColumn("reason", order_reason())
 
 
 def check_promotions(rows: DataFrame) -> DataFrame:
-    """For activity and coupon rows."""
-    return rows.withColumn(
-        "reason", F.when(is_blank(F.col("order_detail_id")), F.lit("missing key")))
+    return rows.withColumn("reason", promotion_reason())
 
 
 def clean_inputs(details: DataFrame, orders: DataFrame, activities: DataFrame,

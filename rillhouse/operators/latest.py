@@ -10,7 +10,10 @@ def latest_by(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Keep the last row of every key in ``order``.
 
     An aggregate, not a window: versions are reduced before the shuffle, so a key
-    with very many versions sends one row per task.
+    with very many versions sends one row per task.  The keys come out of the
+    grouping itself, so a join on them needs no further shuffle.
     """
-    newest = F.max_by(F.struct(*rows.columns), F.struct(*order))
-    return rows.groupBy(*keys).agg(newest.alias("_row")).select("_row.*")
+    rest = [n for n in rows.columns if n not in keys]
+    newest = F.max_by(F.struct(*rest), F.struct(*order))
+    return (rows.groupBy(*keys).agg(newest.alias("_row"))
+            .select(*keys, "_row.*").select(*rows.columns))

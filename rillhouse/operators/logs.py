@@ -100,7 +100,8 @@ def log_text(judged: DataFrame) -> DataFrame:
 
 def item_fields(stream: DataFrame, *names: str) -> DataFrame:
     """Read text fields out of ``item``."""
-    return parse_once(stream, "item", ", ".join(f"`{n}` string" for n in names)).drop("item")
+    rows = stream.withColumnRenamed("item", "_item")  # an item may have a field of that name
+    return parse_once(rows, "_item", ", ".join(f"`{n}` string" for n in names)).drop("_item")
 
 
 def page_fields(stream: DataFrame, *names: str) -> DataFrame:
