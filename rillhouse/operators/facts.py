@@ -107,8 +107,11 @@ def settle(details: DataFrame, orders: DataFrame, activities: DataFrame | None =
         fact = fact.join(_versions(side, "order_detail_id", payload, name), "key", "left")
         parts += [F.col(f"{name}.{n}") for n in fields[1:]]
         arrivals.append(F.col(f"{name}_at"))
-    orders_now = _versions(orders, "id", order_struct(), "o").withColumnRenamed("key", "_order")
-    joined = fact.drop("key").join(orders_now, F.col("d.order_id") == F.col("_order"), "inner")
+    # Joined on the id inside the struct, not on the grouping key: the (small) order side
+    # then gets a shuffle of its own, which adaptive execution needs to split the task of
+    # an order with very many details.
+    orders_now = _versions(orders, "id", order_struct(), "o").drop("key")
+    joined = fact.drop("key").join(orders_now, F.col("d.order_id") == F.col("o.id"), "inner")
     return joined.select(
         *parts, F.lit("order_detail").alias("_fact_type"),
         F.unix_millis(F.greatest(*arrivals)).alias("_join_ts"))

@@ -112,3 +112,17 @@ def test_feed_covers_every_fact_field(spark):
                                             derive.activities(t), derive.coupons(t)))
     filled = fact.select(*[F.count(n).alias(n) for n in FACT_FIELDS]).first().asDict()
     assert all(filled.values())
+
+
+def test_settled_join_can_split_a_hot_order(spark):
+    """Both sides of the order join come straight from a shuffle, details share one."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        one = inputs(spark, [(0, detail(i)) for i in range(50)], [(0, {"id": "o"})],
+                     [(0, {"order_detail_id": "1"})], [(0, {"order_detail_id": "1"})])
+        fact = facts.settle(*one)
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 6  # four inputs, two for the order join
+    assert fact.count() == 50
