@@ -30,14 +30,14 @@ class Tables:
         return self._stored[name]
 
     def _spread(self, name: str) -> DataFrame:
-        """A stored table on all cores: one with fewer input splits than cores (a single
-        small file) is dealt out; larger ones stay as they are."""
+        """A stored table on several cores: one of very few input splits (a single small
+        file) is dealt out; larger ones stay as they are."""
         rows = self.lookup(name)
         keys = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
         if name not in keys:
             return rows
         if name not in self._spreads:
-            cores = self.spark.sparkContext.defaultParallelism
+            cores = min(self.spark.sparkContext.defaultParallelism, 16)
             few = rows.rdd.getNumPartitions() < cores
             self._spreads[name] = rows.repartition(cores, keys[name]) if few else rows
         return self._spreads[name]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -36,6 +37,11 @@ def build_session(master: str | None = None, app_name: str = "rillhouse",
     return builder.getOrCreate()
 
 
+@cache
+def _local_fallback() -> str:
+    return tempfile.mkdtemp(prefix="rillhouse-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
@@ -47,9 +53,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    fallback = tempfile.mkdtemp(prefix="rillhouse-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return _local_fallback()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
