@@ -223,7 +223,7 @@ def settled(feed: str = FEED, activity: bool = True, coupon: bool = True) -> str
         return (f"SELECT * FROM {rows} QUALIFY row_number() OVER (PARTITION BY {key} "
                 "ORDER BY arr DESC, seq DESC) = 1")
 
-    joins, a, c, last = "", "NULL, NULL", "NULL, NULL", "d.arr, o.arr"
+    joins, last = "", "d.arr, o.arr"
     a_cols = "CAST(NULL AS VARCHAR) AS activity_id, CAST(NULL AS VARCHAR) AS activity_rule_id"
     c_cols = "CAST(NULL AS VARCHAR) AS coupon_id, CAST(NULL AS VARCHAR) AS coupon_use_id"
     if activity:
@@ -502,7 +502,7 @@ SELECT 'ods_db' AS stage, '{{"op":"c","source":{{"table":"' || tbl || '"}},"afte
 UNION ALL SELECT 'ods_log', '{{"common":{{"mid":"' || CAST(e AS VARCHAR), 'not a JSON object'
 FROM ev WHERE e % 101 = 0"""
     sql["dwd_cdc_validity"] = f"""{_with(FEED, EVENTS, ALL_CHANGES)}
-SELECT CASE WHEN k % 101 = 2 THEN tbl ELSE tbl END AS source_table, {VERDICT} AS verdict,
+SELECT tbl AS source_table, {VERDICT} AS verdict,
        CASE WHEN k % 101 BETWEEN 1 AND 4 THEN {REASON} END AS reason, count(*) AS n
 FROM changes WHERE k % 101 <> 0 GROUP BY ALL"""
     sql["dwd_db_split_counts"] = f"""{_with(FEED, EVENTS, ALL_CHANGES)}

@@ -7,7 +7,6 @@ import __spark_entry__ as entry
 import check
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"stream_fact"}
 CHOSEN = ["ods_json_gate", "dwd_cdc_validity", "dwd_trade_order_detail", "dwd_display_log",
           "dwd_log_split_counts", "fact_settled", "fact_changelog", "fact_dirty_union",
           "dws_sku_window", "dws_traffic_window", "ads_trade_sku_order_topn_today",
