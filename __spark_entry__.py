@@ -377,6 +377,17 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["dash_sku_topn"](spark, "/root/testdata/sf0.001")
 
 
+def _corpus_entries():
+    """Queries of the corpus operators, or None where that subpackage is left out."""
+    try:
+        from rillhouse.llm import entries
+    except ModuleNotFoundError as missing:
+        if not str(missing.name).startswith("rillhouse.llm"):
+            raise
+        return None
+    return entries
+
+
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {
         "ods_json_gate": _gate_counts,
@@ -441,10 +452,15 @@ def queries() -> dict[str, Query]:
         "stream_fact": _stream_fact("coupon"),
         "stream_dim_snapshot": _stream_dims,
     })
+    if corpus := _corpus_entries():
+        found.update(corpus.queries())
     return found
 
 
 def oracle_sql() -> dict[str, str]:
     import oracles
 
-    return oracles.statements()
+    found = oracles.statements()
+    if corpus := _corpus_entries():
+        found.update(corpus.oracle_sql())
+    return found
