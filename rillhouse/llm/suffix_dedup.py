@@ -46,8 +46,8 @@ from rillhouse.llm.common import SLICE_ROWS, longs, partitions, stored, strings
 LENGTH = 400
 #: Window starts handled at once, which bounds a task's memory for very long texts.
 BLOCK = 1 << 17
-#: Different contexts of one k-gram sorted in one task at most.
-GROUP = 5_000
+#: Different contexts of one k-gram sorted in one task at most: about 100 MB in Python.
+GROUP = 50_000
 #: Contexts sorted together, in whole groups.
 SORTED = 20_000
 #: Bytes that multikey quicksort looks at before blind tries take over.
