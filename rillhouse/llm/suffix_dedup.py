@@ -380,7 +380,7 @@ def _sorted_spans(contexts: DataFrame, length: int) -> DataFrame:
 def _counted_spans(contexts: DataFrame, length: int) -> DataFrame:
     """The same for groups of any size: windows are counted by hash."""
     _, w = window_of(length)
-    schema = "k1 bigint, k2 bigint, at bigint, n bigint, offset bigint, h1 bigint, h2 bigint"
+    schema = "gram bigint, k1 bigint, k2 bigint, at bigint, n bigint, offset bigint, h1 bigint, h2 bigint"
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -392,12 +392,13 @@ def _counted_spans(contexts: DataFrame, length: int) -> DataFrame:
                 offsets = offsets[left - offsets + length <= len(data)]
                 starts, raw = left - offsets, np.frombuffer(data, np.uint8)
                 hashes = [x.of(x.sums(raw), starts, starts + length).view(np.int64) for x in (one, two)]
-                same = [np.full(len(offsets), row[k]) for k in ("k1", "k2", "at", "n")]
+                same = [np.full(len(offsets), row[k]) for k in ("gram", "k1", "k2", "at", "n")]
                 yield pa.RecordBatch.from_arrays([longs(x) for x in (*same, offsets, *hashes)], names=names)
 
     windows = contexts.mapInArrow(run, schema)
-    twice = windows.groupBy("h1", "h2").agg(F.sum("n").alias("t")).filter("t > 1").select("h1", "h2")
-    found = windows.filter("n = 1").join(twice, ["h1", "h2"], "left_semi")
+    window = ["gram", "offset", "h1", "h2"]  # one place counts once for each of its anchors
+    twice = windows.groupBy(*window).agg(F.sum("n").alias("t")).filter("t > 1").select(*window)
+    found = windows.filter("n = 1").join(twice, window, "left_semi")
     return found.groupBy("k1", "k2", "at").agg(F.min("offset").alias("least"), F.max("offset").alias("most")).select(
         "k1", "k2", (F.col("at") - F.col("most")).alias("begin"),
         (F.col("at") + length - F.col("least")).alias("finish"))
