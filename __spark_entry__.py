@@ -17,7 +17,7 @@ from rillhouse.operators import changes, dims, facts, gate, logs, replay, window
 from rillhouse.plans import ads, dashboard, pipeline, tables  # noqa: E402
 from rillhouse.session import scratch_path  # noqa: E402
 from rillhouse.sources.schemas import (  # noqa: E402
-    DWD_FIELDS, DWD_ROUTES, FACT_FIELDS, WINDOW_TABLES, window_schema,
+    DWD_FIELDS, DWD_ROUTES, FACT_FIELDS, LOG_ROUTES, WINDOW_TABLES, window_schema,
 )
 from rillhouse.streaming import fact_state, jobs, sinks  # noqa: E402
 
@@ -110,6 +110,16 @@ def _log_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def _detail_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = changes.detail_text(_routed(spark, sf_dir))
+    return rows.filter(F.col("route") == DWD_ROUTES["order_status_log"]).select("value")
+
+
+def _display_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = logs.log_text(_judged_logs(spark, sf_dir))
+    return rows.filter(F.col("route") == LOG_ROUTES["display"]).select("value")
+
+
 # ------------------------------------------------------------------ order-detail fact
 
 def _checked(make: Callable, check: Callable) -> Query:
@@ -206,6 +216,44 @@ def _tsv(table: str) -> Query:
     return lambda spark, sf_dir: tables.window_tsv(_window_rows(table, spark, sf_dir), table)
 
 
+def _window_dirty(stage: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = pipeline.window_dirty(_fact(spark, sf_dir))
+        return rows.filter(F.col("stage") == stage).select("stage", "reason", "id")
+
+    return query
+
+
+def _page_view_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pipeline.page_view_dirty(derive.log_text(_tables(spark, sf_dir))).select(
+        "stage", "reason", "seq")
+
+
+# ------------------------------------------------------------------ from change text to reports
+
+def _text_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pipeline.settled_fact(derive.db_text(_tables(spark, sf_dir)))
+
+
+def _e2e_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fact_columns(_text_fact(spark, sf_dir))
+
+
+def _e2e_sku_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sku = pipeline.trade_windows(_text_fact(spark, sf_dir), with_ts=False)[SKU]
+    path = scratch_path(spark, SKU)
+    tables.write_windows(sku, path)
+    stored = spark.read.schema(window_schema(SKU, with_ts=False)).parquet(path)
+    return _plain(dashboard.sku_topn({SKU: stored}))
+
+
+def _e2e_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    early = pipeline.dirty_of_trade(derive.trade_text(_tables(spark, sf_dir)))
+    late = pipeline.window_dirty(_text_fact(spark, sf_dir))
+    rows = early.select("stage", "reason").unionByName(late.select("stage", "reason"))
+    return rows.groupBy("stage", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ------------------------------------------------------------------ stored window tables
 
 _stored: dict[tuple, dict[str, str]] = {}
@@ -298,14 +346,54 @@ def _dim_user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ streaming runs
 
-def _run(spark: SparkSession, writer, name: str, stateful: bool = False) -> None:
+#: Streams are run over this many slices of time, with a stop and a restart after each.
+SLICES = 5
+
+
+def _run(spark: SparkSession, writer, checkpoint: str, stateful: bool = False) -> None:
     """Work off what is there and stop."""
-    checkpoint = scratch_path(spark, f"{name}-checkpoint")
     query = (sinks.start_stateful(spark, writer, checkpoint, once=True) if stateful
              else sinks.start(writer, checkpoint, once=True))
     query.awaitTermination()
 
 
+def _checkpoint(spark: SparkSession, name: str) -> str:
+    return scratch_path(spark, f"{name}-checkpoint")
+
+
+class _Replay:
+    """A stored feed handed out in slices of ``second``, so that streams get it in several
+    batches, in order of time."""
+
+    def __init__(self, rows: DataFrame, second):
+        spark = rows.sparkSession
+        self.spark, self.all, self.path = spark, scratch_path(spark, "feed"), scratch_path(spark, "slices")
+        rows.withColumn("_second", second).write.parquet(self.all)
+        self.rows = spark.read.parquet(self.all)
+
+    def span(self) -> tuple[int, int]:
+        return tuple(self.rows.agg(F.min("_second"), F.max("_second")).first())
+
+    def hand_out(self, low: int, high: int) -> None:
+        """Seconds from ``low`` up to and without ``high``."""
+        part = self.rows.filter((F.col("_second") >= low) & (F.col("_second") < high))
+        part.drop("_second").write.mode("append").parquet(self.path)
+
+    def stream(self) -> DataFrame:
+        return self.spark.readStream.schema(self.rows.drop("_second").schema).parquet(self.path)
+
+
+def _slices(feeds: list[_Replay]):
+    """Hand out all feeds slice by slice; yields the end of each."""
+    spans = [s for s in (f.span() for f in feeds) if s[0] is not None]
+    first, last = min((s[0] for s in spans), default=0), max((s[1] for s in spans), default=0)
+    ends = [first + (last + 1 - first) * i // SLICES for i in range(SLICES + 1)]
+    for low, high in zip(ends, ends[1:]):
+        for feed in feeds:
+            feed.hand_out(low, high)
+        yield high
+
+
 def _files_of(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
@@ -314,7 +402,8 @@ def _stream_split(job: Callable, text: Callable, gated: bool) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = text(_tables(spark, sf_dir, streaming=True))
         path = scratch_path(spark, "split")
-        _run(spark, job(pipeline.gated(rows) if gated else rows, path), "split")
+        _run(spark, job(pipeline.gated(rows) if gated else rows, sinks.files(path, "route")),
+             _checkpoint(spark, "split"))
         stored = _files_of(spark, path, "route string, value string")
         return stored.groupBy("route").agg(F.count(F.lit(1)).alias("n"))
 
@@ -322,49 +411,57 @@ def _stream_split(job: Callable, text: Callable, gated: bool) -> Query:
 
 
 def _stream_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = pipeline.gated(derive.log_text(_tables(spark, sf_dir, streaming=True)))
-    pages = logs.log_stream(logs.split_logs(text), "page").drop("item")
-    path = scratch_path(spark, TRAFFIC)
-    _run(spark, jobs.traffic_window_job(pages, path), TRAFFIC)
+    feed = _Replay(derive.log_text(_tables(spark, sf_dir)), F.unix_seconds("arrival_ts"))
+    path, checkpoint = scratch_path(spark, TRAFFIC), _checkpoint(spark, TRAFFIC)
+    for _ in _slices([feed]):
+        pages = logs.log_stream(logs.split_logs(pipeline.gated(feed.stream())), "page").drop("item")
+        _run(spark, jobs.traffic_window_job(pages, tables.window_writer(path)), checkpoint)
     return _plain(tables.read_windows(spark, path, TRAFFIC).drop("ts"))
 
 
 def _stream_trade(table: str, job: Callable) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        feed = scratch_path(spark, "fact")
-        facts.fact_text(_fact(spark, sf_dir)).write.parquet(feed)
-        text = spark.readStream.schema("value string, arrival_ts timestamp, seq string").parquet(feed)
-        path = scratch_path(spark, table)
-        _run(spark, job(windows.read_facts(text), path, "event"), table)
+        text = facts.fact_text(_fact(spark, sf_dir))
+        created = F.get_json_object("value", "$.create_time").cast("timestamp")
+        feed = _Replay(text, F.unix_seconds(created))
+        path, checkpoint = scratch_path(spark, table), _checkpoint(spark, table)
+        for _ in _slices([feed]):
+            rows = windows.read_facts(feed.stream())
+            _run(spark, job(rows, tables.window_writer(path), "event"), checkpoint)
         return _plain(tables.read_windows(spark, path, table).drop("ts"))
 
     return query
 
 
-_FACT_FILES = ", ".join(f"{n} string" for n in FACT_FIELDS) + (
-    ", _fact_type string, _join_ts bigint, arrival_ts timestamp, seq string")
-
-
 def _stream_fact(upto: str) -> Query:
-    """The chained joins, one query per join, each with its own checkpoint."""
+    """The chained joins, one job per join, each with its own checkpoint; facts go from job
+    to job as text."""
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        d, o, a, c = _inputs(_tables(spark, sf_dir, streaming=True))
-        rows, path = fact_state.base_stream(d, o), scratch_path(spark, "base")
-        _run(spark, sinks.each_batch(rows, sinks.batch_files(path)), "base", stateful=True)
-        if upto == "coupon":
-            for side, join in ((a, fact_state.activity_stream), (c, fact_state.coupon_stream)):
-                rows = join(spark.readStream.schema(_FACT_FILES).parquet(path), side)
-                path = scratch_path(spark, "fact")
-                _run(spark, sinks.each_batch(rows, sinks.batch_files(path)), "fact", stateful=True)
-        return _fact_columns(_files_of(spark, path, _FACT_FILES))
+        feeds = [_Replay(rows, F.unix_seconds("arrival_ts"))
+                 for rows in _inputs(_tables(spark, sf_dir))][:2 if upto == "base" else 4]
+        names = ["base", "activity", "coupon"][:len(feeds) - 1]
+        paths = [scratch_path(spark, name) for name in names]
+        checkpoints = [_checkpoint(spark, name) for name in names]
+        for _ in _slices(feeds):
+            streams = [feed.stream() for feed in feeds]
+            _run(spark, jobs.fact_base_job(*streams[:2], sinks.files(paths[0])), checkpoints[0], stateful=True)
+            joins = (fact_state.activity_stream, fact_state.coupon_stream)
+            for i, (join, side) in enumerate(zip(joins, streams[2:])):
+                before = spark.readStream.schema(jobs.TEXT).parquet(paths[i])
+                job = jobs.fact_promotion_job(before, side, join, sinks.files(paths[i + 1]))
+                _run(spark, job, checkpoints[i + 1], stateful=True)
+        return _fact_columns(windows.read_facts(_files_of(spark, paths[-1], jobs.TEXT)))
 
     return query
 
 
 def _stream_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = derive.dim_text(_tables(spark, sf_dir, streaming=True))
-    path = scratch_path(spark, "cells")
-    _run(spark, jobs.dim_job(text, lambda: _config(spark), path), "cells")
+    """The configuration grows from batch to batch, as far as its events have arrived."""
+    feed = _Replay(derive.dim_text(_tables(spark, sf_dir)), F.unix_seconds("arrival_ts"))
+    path, checkpoint = scratch_path(spark, "cells"), _checkpoint(spark, "cells")
+    for end in _slices([feed]):
+        known = _config(spark).filter(F.unix_seconds("arrival_ts") < end)
+        _run(spark, jobs.dim_job(feed.stream(), lambda k=known: k, path), checkpoint)
     log = _files_of(spark, path, "sink_table string, row_key string, family string, "
                     "`column` string, cell string, arrival_ts timestamp, seq string")
     return _cell_columns(dims.fold_cells(log))
@@ -403,6 +500,8 @@ def queries() -> dict[str, Query]:
         "dwd_action_log": _log_stream("action", ["action_id", "item"]),
         "dwd_error_log": _log_stream("error", ["error_code", "msg"]),
         "dwd_log_dirty": _log_dirty,
+        "dwd_order_status_text": _detail_text,
+        "dwd_display_text": _display_text,
         "dwd_log_split_counts": _log_counts,
         "fact_detail_validity": _checked(derive.details, facts.check_details),
         "fact_order_validity": _checked(derive.orders, facts.check_orders),
@@ -418,6 +517,12 @@ def queries() -> dict[str, Query]:
         "sku_fact_parse": _parsed(windows.parse_sku_facts, "sku_id"),
         "province_fact_parse": _parsed(windows.parse_province_facts, "province_id"),
         "page_view_parse": _page_views,
+        "sku_fact_dirty": _window_dirty("dws_trade_sku"),
+        "province_fact_dirty": _window_dirty("dws_trade_province"),
+        "page_view_dirty": _page_view_dirty,
+        "e2e_fact_settled": _e2e_fact,
+        "e2e_sku_topn": _e2e_sku_topn,
+        "e2e_dirty": _e2e_dirty,
         "dws_sku_window": _window(SKU),
         "dws_province_window": _window(PROVINCE),
         "dws_traffic_window": _window(TRAFFIC),

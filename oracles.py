@@ -54,7 +54,7 @@ det AS (
          CASE WHEN k % 5 = 0 THEN ' ' ELSE p_name || ' v' || CAST(ln % 3 AS VARCHAR) END AS sku_name,
          CAST(price AS VARCHAR) AS order_price,
          CASE WHEN k % 103 = 1 THEN '12.7' ELSE CAST(qty AS VARCHAR) END AS sku_num,
-         CASE k % 103 WHEN 2 THEN 'abc' WHEN 3 THEN '' WHEN 4 THEN '1e3'
+         CASE k % 103 WHEN 2 THEN 'abc' WHEN 3 THEN '' WHEN 4 THEN '1e3' WHEN 9 THEN '1e15'
            ELSE CAST(CAST(round(price * (1 - disc), 2) AS DECIMAL(16,2)) AS VARCHAR) END
            AS split_total_amount,
          CASE WHEN disc >= 0.05
@@ -83,6 +83,14 @@ ord AS (
          (o_orderkey * 31 + 1200) % 5000 AS arr, '' AS seq
   FROM orders JOIN customer ON o_custkey = c_custkey)"""
 
+# the same rows as they come out of the change-event text: damaged events and deletes left out
+E2E_FEED = FEED
+for _name in ("det", "act", "cou", "ord"):
+    E2E_FEED = E2E_FEED.replace(f"\n{_name} AS (", f"\n{_name}_all AS (")
+E2E_FEED += "," + ",".join(
+    f"\n{_name} AS (SELECT * FROM {_name}_all WHERE k % 101 NOT BETWEEN 0 AND 4 AND k % 97 <> 0)"
+    for _name in ("det", "act", "cou", "ord"))
+
 EVENTS = f"""
 ev AS (
   SELECT event_id AS e, user_id, event_type AS kind,
@@ -167,7 +175,8 @@ MID = "'mid_' || CAST(user_id AS VARCHAR)"
 SID = ("CASE WHEN e % 11 <> 0 THEN 'sid_' || CAST(user_id AS VARCHAR) || '_' || "
        "CAST(e % 5 AS VARCHAR) END")
 PAGE_ID = "CASE WHEN kind <> 'signup' THEN 'page_' || CAST(e % 20 AS VARCHAR) END"
-LOG_KEYS = f"{MID} AS mid, {SID} AS sid, sec * 1000 AS ts"
+LOG_KEYS = (f"{MID} AS mid, {SID} AS sid, "
+            "CASE WHEN e % 103 = 5 THEN 9223372036854775807 ELSE sec * 1000 END AS ts")
 
 LOG_QUERIES = {
     "dwd_page_log": f"SELECT {PAGE_ID} AS page_id, CAST(e % 3000 AS VARCHAR) AS during_time, "
@@ -326,6 +335,7 @@ UNION ALL SELECT 'fact_order_detail_coupon', {PROMO_REASON}, id, k FROM cou"""
 
 AMOUNT = ("CASE WHEN trim(split_total_amount) = '' THEN CAST(0 AS DECIMAL(28,6)) "
           "ELSE CAST(split_total_amount AS DECIMAL(28,6)) END")
+IN_RANGE = f"abs(CAST(split_total_amount AS DOUBLE)) < 1e14"
 SEC_OF_FACT = "epoch(strptime(create_time, '%Y-%m-%d %H:%M:%S'))"
 WSTART = f"(CAST(floor({SEC_OF_FACT} / 30) AS BIGINT) * 30)"
 
@@ -335,7 +345,8 @@ sku_w AS (
            AS sku_name,
          CAST(round(sum(amount), 2) AS DECIMAL(16,2)) AS order_amount, count(*) AS order_count,
          CAST(sum(num) AS BIGINT) AS sku_num
-  FROM (SELECT *, {WSTART} AS w, {AMOUNT} AS amount, CAST(sku_num AS BIGINT) AS num FROM fact)
+  FROM (SELECT *, {WSTART} AS w, {AMOUNT} AS amount, CAST(sku_num AS BIGINT) AS num FROM fact
+        WHERE {IN_RANGE})
   GROUP BY sku_id, w),
 sku AS (SELECT sku_id, {ts('w')} AS stt, {ts('w + 30')} AS edt, sku_name, {day('w')} AS cur_date,
                order_amount, order_count, sku_num, w FROM sku_w)"""
@@ -344,14 +355,15 @@ PROVINCE_WINDOW = f"""
 prov_w AS (
   SELECT province_id, w, CAST(round(sum(amount), 2) AS DECIMAL(16,2)) AS order_amount,
          count(*) AS order_count, CAST(sum(num) AS BIGINT) AS sku_num
-  FROM (SELECT *, {WSTART} AS w, {AMOUNT} AS amount, CAST(sku_num AS BIGINT) AS num FROM fact)
+  FROM (SELECT *, {WSTART} AS w, {AMOUNT} AS amount, CAST(sku_num AS BIGINT) AS num FROM fact
+        WHERE {IN_RANGE})
   GROUP BY province_id, w),
 prov AS (SELECT province_id, {ts('w')} AS stt, {ts('w + 30')} AS edt, {day('w')} AS cur_date,
                 order_amount, order_count, sku_num, w FROM prov_w)"""
 
 VIEWS_CTE = f"""
 views AS (SELECT {MID} AS mid, {SID} AS sid, sec FROM ev
-          WHERE {LOG_OK} AND kind <> 'signup')"""
+          WHERE {LOG_OK} AND kind <> 'signup' AND e % 103 <> 5)"""
 TRAFFIC_WINDOW = f"""
 traf_w AS (SELECT (sec // 30) * 30 AS w, count(*) AS pv_ct, count(DISTINCT mid) AS uv_ct,
                   count(DISTINCT sid) AS sv_ct FROM views GROUP BY 1),
@@ -512,6 +524,17 @@ SELECT CASE {VERDICT} WHEN 'dirty' THEN 'dirty_data' WHEN 'pass' THEN {ROUTE} EN
         sql[stream] = dwd_table(table)
     for name, text in LOG_QUERIES.items():
         sql[name] = f"{_with(EVENTS)} {text}"
+    # sent-on text, numbers as they were spelled
+    sql["dwd_order_status_text"] = f"""{_with(FEED, EVENTS)}
+SELECT '{{"id":"' || id || '","order_id":"' || order_id || '","order_status":"' || order_status
+       || '","weight":' || CAST(k AS VARCHAR) || '000000000000000000.00,"_source_table":"order_status_log","_op":"'
+       || {OP} || '","_ts_ms":' || CAST(sec * 1000 AS VARCHAR) || '}}' AS value
+FROM ({CHANGE_ROWS["order_status_log"]}) WHERE {VERDICT} = 'pass'"""
+    sql["dwd_display_text"] = f"""{_with(EVENTS)}
+SELECT '{{"item":"' || item || '","pos_id":' || pos_id || ',"common":{{"mid":"' || mid || '"'
+       || coalesce(',"sid":"' || sid || '"', '') || '}},"page":{{"page_id":"' || page_id || '","during_time":'
+       || CAST(e % 3000 AS VARCHAR) || '}},"ts":' || CAST(ts AS VARCHAR) || '}}' AS value
+FROM ({LOG_QUERIES["dwd_display_log"].replace("SELECT ", "SELECT e, ", 1)})"""
     sql["dwd_log_split_counts"] = f"{_with(EVENTS)} SELECT route, count(*) AS n FROM (" + \
         " UNION ALL ".join(
             f"SELECT '{r}' AS route FROM ({LOG_QUERIES[q]})" for q, r in (
@@ -550,10 +573,26 @@ SELECT stage, reason, count(*) AS n FROM (
 
     sql["sku_fact_parse"] = f"""{settled()}
 SELECT id, sku_id, {SEC_OF_FACT}::BIGINT AS event_second, CAST({AMOUNT} AS DOUBLE) AS amount,
-       CAST(sku_num AS BIGINT) AS num FROM fact"""
+       CAST(sku_num AS BIGINT) AS num FROM fact WHERE {IN_RANGE}"""
     sql["province_fact_parse"] = f"""{settled()}
 SELECT id, province_id, {SEC_OF_FACT}::BIGINT AS event_second, CAST({AMOUNT} AS DOUBLE) AS amount,
-       CAST(sku_num AS BIGINT) AS num FROM fact"""
+       CAST(sku_num AS BIGINT) AS num FROM fact WHERE {IN_RANGE}"""
+    for side in ("sku", "province"):
+        sql[f"{side}_fact_dirty"] = f"""{settled()}
+SELECT 'dws_trade_{side}' AS stage, 'bad amount' AS reason, id FROM fact WHERE NOT ({IN_RANGE})"""
+    sql["page_view_dirty"] = f"""{_with(EVENTS)}
+SELECT 'dws_traffic' AS stage, 'bad ts' AS reason, CAST(e AS VARCHAR) AS seq FROM ev
+WHERE {LOG_OK} AND kind <> 'signup' AND e % 103 = 5"""
+    sql["e2e_fact_settled"] = settled(E2E_FEED) + FACT_SELECT
+    sql["e2e_sku_topn"] = f"""{settled(E2E_FEED)},{SKU_WINDOW}
+SELECT * FROM (SELECT *, row_number() OVER (ORDER BY order_amount DESC, sku_id) AS rn FROM (
+  SELECT cur_date, sku_id, max(sku_name) AS sku_name, {trade('order_amount', 'sku_order_count')}
+  FROM sku WHERE cur_date = (SELECT max(cur_date) FROM sku) GROUP BY cur_date, sku_id)) WHERE rn <= 10"""
+    sql["e2e_dirty"] = f"""WITH a AS ({sql["fact_dirty_union"]}),
+b AS ({settled(E2E_FEED)} SELECT count(*) AS n FROM fact WHERE NOT ({IN_RANGE}))
+SELECT stage, reason, n FROM a
+UNION ALL SELECT 'dws_trade_sku', 'bad amount', n FROM b
+UNION ALL SELECT 'dws_trade_province', 'bad amount', n FROM b"""
     sql["page_view_parse"] = f"{_with(EVENTS, VIEWS_CTE)} SELECT mid, sid, sec AS event_second FROM views"
     sql["dws_sku_window"] = SKU + SKU_SELECT
     sql["dws_province_window"] = PROVINCE + PROVINCE_SELECT
@@ -610,7 +649,7 @@ SELECT row_key, max(cell) FILTER (WHERE col = 'name') AS name,
 FROM now WHERE sink_table = 'dim_user_info' GROUP BY row_key"""
 
     # streaming runs emit closed windows only: end + 3 s of the newest row
-    closed_fact = f"(SELECT max({SEC_OF_FACT}) FROM fact) - 3 >= w + 30"
+    closed_fact = f"(SELECT max({SEC_OF_FACT}) FROM fact WHERE {IN_RANGE}) - 3 >= w + 30"
     sql["stream_traffic_window"] = TRAFFIC + \
         f"{TRAFFIC_SELECT} WHERE (SELECT max(sec) FROM views) - 3 >= w + 30"
     sql["stream_sku_window"] = SKU + f"{SKU_SELECT} WHERE {closed_fact}"

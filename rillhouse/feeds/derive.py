@@ -22,29 +22,15 @@ class Tables:
         self.spark, self.sf_dir, self.streaming = spark, sf_dir, streaming
         self._stored: dict[str, DataFrame] = {}
         self._streams: dict[str, DataFrame] = {}
-        self._spreads: dict[str, DataFrame] = {}
 
     def lookup(self, name: str) -> DataFrame:
         if name not in self._stored:
             self._stored[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._stored[name]
 
-    def _spread(self, name: str) -> DataFrame:
-        """A stored table on several cores: one of very few input splits (a single small
-        file) is dealt out; larger ones stay as they are."""
-        rows = self.lookup(name)
-        keys = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
-        if name not in keys:
-            return rows
-        if name not in self._spreads:
-            cores = min(self.spark.sparkContext.defaultParallelism, 16)
-            few = rows.rdd.getNumPartitions() < cores
-            self._spreads[name] = rows.repartition(cores, keys[name]) if few else rows
-        return self._spreads[name]
-
     def __getitem__(self, name: str) -> DataFrame:
         if not self.streaming:
-            return self._spread(name)
+            return self.lookup(name)
         if name not in self._streams:
             # a pattern, because a stream takes a plain path for a folder
             path = f"{self.sf_dir}/{name}.parque[t]"
@@ -88,7 +74,7 @@ def _lines_with_parts(t: Tables) -> DataFrame:
 
 # fixed rules: remainders of the detail key k % 103 select damaged rows:
 # 0 no order id, 1 bad count, 2 bad amount, 3 blank amount, 4 amount with exponent,
-# 7 blank activity key, 8 no coupon key; order key % 103: 5 bad total, 6 blank total
+# 9 amount beyond what a window table holds, 7 blank activity key, 8 no coupon key; order key % 103: 5 bad total, 6 blank total
 DETAIL_COLUMNS = [
     "id",
     "CASE WHEN k % 103 = 0 THEN '' ELSE CAST(o AS STRING) END AS order_id",
@@ -96,7 +82,7 @@ DETAIL_COLUMNS = [
     "CASE WHEN k % 5 = 0 THEN ' ' ELSE concat(p_name, ' v', ln % 3) END AS sku_name",
     "CAST(price AS STRING) AS order_price",
     "CASE WHEN k % 103 = 1 THEN '12.7' ELSE CAST(qty AS STRING) END AS sku_num",
-    "CASE k % 103 WHEN 2 THEN 'abc' WHEN 3 THEN '' WHEN 4 THEN '1e3' "
+    "CASE k % 103 WHEN 2 THEN 'abc' WHEN 3 THEN '' WHEN 4 THEN '1e3' WHEN 9 THEN '1e15' "
     "ELSE CAST(CAST(round(price * (1 - disc), 2) AS DECIMAL(16,2)) AS STRING) END "
     "AS split_total_amount",
     "CASE WHEN disc >= 0.05 THEN CAST(CAST(round(price * disc, 2) AS DECIMAL(16,2)) AS STRING) "
@@ -199,7 +185,8 @@ def _order_changes(t: Tables) -> DataFrame:
         _entry("payment_info", "o_orderstatus = 'F'", payment, ORDER_ARRIVAL),
         _entry("refund_payment", "o_orderstatus = 'P'", payment, ORDER_ARRIVAL),
         _entry("order_status_log", "TRUE",
-               ["id", "CAST(k AS STRING) AS order_id", "o_orderstatus AS order_status"],
+               ["id", "CAST(k AS STRING) AS order_id", "o_orderstatus AS order_status",
+                "CAST(k AS DECIMAL(38,2)) * 1000000000000000000 AS weight"],
                ORDER_ARRIVAL))
 
 
@@ -269,7 +256,7 @@ def log_text(t: Tables) -> DataFrame:
     """App log records, one per event.
 
     By event id % 103: 0 blank mid, 1 no common, 2 no ts, 3 neither page nor start,
-    4 page is a number; event id % 101 = 0 is cut text.
+    4 page is a number, 5 ts is no time; event id % 101 = 0 is cut text.
     """
     e = "event_id"
     common = (f"struct(CASE WHEN {e} % 103 = 0 THEN ' ' ELSE concat('mid_', user_id) END AS mid, "
@@ -289,7 +276,8 @@ def log_text(t: Tables) -> DataFrame:
             + several(actions, f"struct(concat('act_', i) AS action_id, {e} % 50 AS item, 1 AS ts)")
             + " AS actions, "
             f"CASE WHEN event_type = 'error' THEN struct({e} % 500 AS error_code, 'E' AS msg) END "
-            f"AS err, CASE WHEN {e} % 103 <> 2 THEN {PAGE_SECONDS} * 1000 END AS ts))")
+            f"AS err, CASE WHEN {e} % 103 = 5 THEN 9223372036854775807 "
+            f"WHEN {e} % 103 <> 2 THEN {PAGE_SECONDS} * 1000 END AS ts))")
     page = (f"CASE WHEN event_type = 'signup' OR {e} % 103 = 3 THEN '' "
             f"WHEN {e} % 103 = 4 THEN '\"page\":7,' ELSE concat('\"page\":{{\"page_id\":\"page_', "
             f"{e} % 20, '\",\"during_time\":', {e} % 3000, '}},') END").replace("{{", "{").replace("}}", "}")

@@ -1,10 +1,12 @@
 """Column expressions shared by all layers.  No Python runs per row."""
 
 from rillhouse.functions.jsontext import (  # noqa: F401
-    as_variant, is_json_object, is_object_text, json_field, json_put, json_without_nulls,
+    is_json_object, is_object_text, json_field, json_put, json_value, keep_numbers,
+    restore_numbers,
 )
 from rillhouse.functions.numbers import (  # noqa: F401
     amount_or_zero, is_valid_amount, is_valid_integer, parse_amount, parse_integer, round_money,
+    sum_whole,
 )
 from rillhouse.functions.once import add_once, parse_once  # noqa: F401
 from rillhouse.functions.text import (  # noqa: F401

@@ -36,34 +36,44 @@ def json_field(obj: Column, name: str) -> Column:
     return F.from_json(obj, f"`{name}` string")[name]
 
 
-def _last_wins(m: Column) -> Column:
-    """Members of a parsed object without repeated names; the last one is kept."""
-    entries = F.map_entries(m)
-    names = F.map_keys(m)
-    unique = F.filter(
-        entries,
-        lambda e, i: ~F.array_contains(F.slice(names, i + F.lit(2), F.size(names)), e["key"]))
-    return F.when(F.size(F.array_distinct(names)) == F.size(names), m).otherwise(
-        F.map_from_entries(unique))
+# Spark's JSON functions write numbers anew (1.10 as 1.1, 1e400 as "Infinity").  Where a text
+# is sent on, its numbers are turned into marked strings first and back at the end.
+_MARK = "\ue000\ue001"
+_STRING_OR_NUMBER = r'("(?:[^"\\]|\\.)*+")|(-?[0-9][0-9.eE+-]*+)'
 
 
-def json_without_nulls(m: Column) -> Column:
-    """A map of variants as JSON text, leaving out null members."""
-    return F.to_json(F.map_filter(m, lambda _, v: v.isNotNull() & ~F.is_variant_null(v)))
+def keep_numbers(text: Column) -> Column:
+    """Every number of a JSON text as a marked string; strings are stepped over whole."""
+    fenced = F.regexp_replace(text, _STRING_OR_NUMBER, "$1\u0001$2\u0001")
+    return F.regexp_replace(F.replace(fenced, F.lit("\u0001\u0001"), F.lit("")),
+                            "\u0001([^\u0001]*)\u0001", f'"{_MARK}$1"')
 
 
-def as_variant(c: Column) -> Column:
-    """A plain value (string, number, ...) as a variant."""
-    return F.variant_get(F.to_variant_object(F.array(c)), "$[0]", "variant")
+def restore_numbers(text: Column) -> Column:
+    """Undo ``keep_numbers``: the numbers as they were spelled."""
+    return F.regexp_replace(text, f'"{_MARK}([^"]*)"', "$1")
+
+
+def json_value(c: Column) -> Column:
+    """A plain value (string, number, ...) as JSON text; null stays null."""
+    listed = F.to_json(F.array(c))
+    return F.when(c.isNotNull(), F.substring(listed, F.lit(2), F.length(listed) - 2))
 
 
 def json_put(obj: Column, members: dict[str, Column]) -> Column:
-    """Set members (variants) on an object held as text, replacing equal names.
+    """Set members (as JSON text) on an object held as text, replacing equal names.
 
-    Null members are left out of the result.
+    Of repeated names the last counts; null members are left out.
     """
     names = list(members)
-    parsed = _last_wins(F.from_json(obj, "map<string,variant>"))
-    kept = F.map_filter(parsed, lambda k, _: ~k.isin(*names))
-    added = F.create_map(*[x for n in names for x in (F.lit(n), members[n])])
-    return json_without_nulls(F.map_concat(kept, added))
+    texts = F.from_json(obj, "map<string,string>")  # strings without quotes, all else as JSON
+    kinds = F.map_values(F.from_json(obj, "map<string,variant>"))
+    keys = F.map_keys(texts)
+    listed = F.arrays_zip(keys.alias("k"), F.map_values(texts).alias("t"), kinds.alias("v"))
+    kept = F.filter(listed, lambda m, i: ~m["k"].isin(*names) & ~F.is_variant_null(m["v"])
+                    & ~F.array_contains(F.slice(keys, i + F.lit(2), F.size(keys)), m["k"]))
+    old = F.transform(kept, lambda m: F.concat(
+        json_value(m["k"]), F.lit(":"),
+        F.when(F.schema_of_variant(m["v"]) == "STRING", json_value(m["t"])).otherwise(m["t"])))
+    new = [F.when(members[n].isNotNull(), F.concat(json_value(F.lit(n)), F.lit(":"), members[n])) for n in names]
+    return F.concat(F.lit("{"), F.concat_ws(",", old, *new), F.lit("}"))

@@ -18,8 +18,10 @@ DECIMAL_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 BLANK_OR_DECIMAL_PATTERN = (r"^([\x00-\x20]*|[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)"
                             r"([eE][+-]?[0-9]+)?)\z")
 
-# in-flight precision of money; window tables store decimal(16,2)
-AMOUNT_TYPE = "decimal(28,6)"
+# in-flight precision of money: 18 places are kept until the sum is rounded; window tables
+# store decimal(16,2), and a single amount beyond that is no amount
+AMOUNT_TYPE = "decimal(38,18)"
+LARGEST_AMOUNT = "99999999999999.99"
 
 
 def parse_integer(c: Column) -> Column:
@@ -32,9 +34,12 @@ def is_valid_integer(c: Column) -> Column:
 
 
 def parse_amount(c: Column) -> Column:
-    """Decimal, blank counts as zero, null when the text is not a number."""
-    return (F.when(c.rlike(DECIMAL_PATTERN), c.try_cast(AMOUNT_TYPE))
-            .when(is_blank(c), F.lit(0).cast(AMOUNT_TYPE)))
+    """Decimal, blank counts as zero, null when the text is not a number or its amount is
+    more than a window table holds."""
+    amount = F.when(c.rlike(DECIMAL_PATTERN), c.try_cast(AMOUNT_TYPE))
+    most = F.lit(LARGEST_AMOUNT).cast(AMOUNT_TYPE)
+    return (F.when(is_blank(c), F.lit(0).cast(AMOUNT_TYPE))
+            .when(F.abs(amount) <= most, amount))
 
 
 def is_valid_amount(c: Column) -> Column:
@@ -48,5 +53,10 @@ def amount_or_zero(c: Column) -> Column:
 
 
 def round_money(c: Column) -> Column:
-    """Half-up to two places in the type of the window tables."""
-    return F.round(c, 2).cast("decimal(16,2)")
+    """Half-up to two places in the type of the window tables; null when it does not fit."""
+    return F.round(c, 2).try_cast("decimal(16,2)")
+
+
+def sum_whole(c: Column) -> Column:
+    """Sum of 64-bit integers; null when it does not fit, never an error."""
+    return F.sum(c.cast("decimal(38,0)")).try_cast("bigint")

@@ -12,8 +12,13 @@ SECOND_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DATE_FORMAT = "yyyy-MM-dd"
 
 
+# first and last millisecond of the years 1 to 9999
+FIRST_MILLI, LAST_MILLI = -62135596800000, 253402300799999
+
+
 def millis_to_timestamp(c: Column) -> Column:
-    return F.timestamp_millis(c)
+    """Null for a number outside the years 1 to 9999, which no timestamp can show."""
+    return F.timestamp_millis(F.when(c.between(FIRST_MILLI, LAST_MILLI), c))
 
 
 def second_label(ts: Column) -> Column:
@@ -35,7 +40,7 @@ def now_millis() -> Column:
 
 def parse_event_time(c: Column, fallback: Column) -> Column:
     """Lenient: epoch milliseconds, then ``yyyy-MM-dd HH:mm:ss``, else ``fallback``."""
-    by_number = F.timestamp_millis(parse_integer(c))
+    by_number = millis_to_timestamp(parse_integer(c))
     by_text = F.try_to_timestamp(c, F.lit(SECOND_FORMAT))
     return F.when(is_blank(c), fallback).otherwise(F.coalesce(by_number, by_text, fallback))
 

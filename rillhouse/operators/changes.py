@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillhouse.functions import (
-    add_once, as_variant, is_blank, is_object_text, json_field, json_put, parse_integer,
-    parse_once,
+    add_once, is_blank, is_object_text, json_field, json_put, json_value, keep_numbers,
+    parse_integer, parse_once, restore_numbers,
 )
 from rillhouse.sources.schemas import CHANGE_SCHEMA, DIRTY_STREAM, DWD_FIELDS, DWD_ROUTES
 
@@ -68,11 +68,11 @@ def split_changes(rows: DataFrame) -> DataFrame:
 
 def detail_text(routed: DataFrame) -> DataFrame:
     """``route, value`` as sent on: the row plus ``_source_table, _op, _ts_ms``;
-    dirty rows keep their original text."""
-    enriched = json_put(F.col("after"), {
-        "_source_table": as_variant(F.col("source_table")),
-        "_op": as_variant(F.col("op")),
-        "_ts_ms": as_variant(F.col("ts_ms"))})
+    dirty rows keep their original text.  Numbers keep their spelling."""
+    enriched = restore_numbers(json_put(json_field(keep_numbers(F.col("value")), "after"), {
+        "_source_table": json_value(F.col("source_table")),
+        "_op": json_value(F.col("op")),
+        "_ts_ms": json_value(F.col("ts_ms"))}))
     return routed.filter(F.col("route").isNotNull()).select(
         "route",
         F.when(F.col("route") == DIRTY_STREAM, F.col("value")).otherwise(enriched).alias("value"),

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillhouse.functions import (
-    add_once, as_variant, is_blank, is_object_text, json_field, json_put, parse_integer,
-    parse_once,
+    add_once, is_blank, is_object_text, json_field, json_put, json_value, keep_numbers,
+    parse_integer, parse_once, restore_numbers,
 )
 from rillhouse.sources.schemas import DIRTY_STREAM, LOG_ROUTES, LOG_SCHEMA
 
@@ -62,18 +62,23 @@ def log_stream(judged: DataFrame, kind: str) -> DataFrame:
     return clean.select(F.explode(f"{kind}_items").alias("item"), *columns)
 
 
-def _with_context(item: Column) -> Column:
-    """The item as JSON text with common, page and ts put over its own members."""
-    return json_put(item, {"common": F.try_parse_json(F.col("common")),
-                           "page": F.try_parse_json(F.col("page")),
-                           "ts": as_variant(F.col("ts"))})
-
-
 def log_text(judged: DataFrame) -> DataFrame:
-    """``route, value`` for all five streams and the dirty stream in one narrow pass."""
+    """``route, value`` for all five streams and the dirty stream in one narrow pass.
+
+    A display, action or error gets common, page and ts put over its own members; numbers
+    keep their spelling.
+    """
     def entry(route: str, value: Column) -> Column:
         return F.struct(F.lit(route).alias("route"), value.alias("value"))
 
+    parts = F.from_json(keep_numbers(F.col("value")),
+                        "common string, page string, displays array<string>, actions array<string>, err string")
+    kept = add_once(judged, kept=parts)
+
+    def with_context(item: Column) -> Column:
+        return restore_numbers(json_put(item, {
+            "common": F.col("kept.common"), "page": F.col("kept.page"), "ts": json_value(F.col("ts"))}))
+
     none = F.array().cast("array<struct<route:string,value:string>>")
     clean = F.col("reason").isNull()
 
@@ -81,7 +86,7 @@ def log_text(judged: DataFrame) -> DataFrame:
         return F.when(condition, entries).otherwise(none)
 
     def per_item(items: str, route: str) -> Column:
-        entries = F.transform(items, lambda x: entry(route, _with_context(x)))
+        entries = F.transform(items, lambda x: entry(route, with_context(x)))
         return when(clean & F.col(items).isNotNull(), entries)
 
     outputs = F.concat(
@@ -90,11 +95,11 @@ def log_text(judged: DataFrame) -> DataFrame:
              F.array(entry(LOG_ROUTES["start"], F.col("value")))),
         when(clean & F.col("page").isNotNull(),
              F.array(entry(LOG_ROUTES["page"], F.col("value")))),
-        per_item("display_items", LOG_ROUTES["display"]),
-        per_item("action_items", LOG_ROUTES["action"]),
+        per_item("kept.displays", LOG_ROUTES["display"]),
+        per_item("kept.actions", LOG_ROUTES["action"]),
         when(clean & F.col("err").isNotNull(),
-             F.array(entry(LOG_ROUTES["error"], _with_context(F.col("err"))))))
-    listed = add_once(judged, outputs=outputs)
+             F.array(entry(LOG_ROUTES["error"], with_context(F.col("kept.err"))))))
+    listed = add_once(kept, outputs=outputs)
     return listed.select(F.inline("outputs"), "arrival_ts", "seq")
 
 

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillhouse.functions import (
-    is_blank, is_object_text, now_millis, parse_amount, parse_event_time, parse_integer,
-    parse_once, round_money,
+    is_blank, is_object_text, millis_to_timestamp, now_millis, parse_amount, parse_event_time,
+    parse_integer, parse_once, round_money, sum_whole,
 )
 from rillhouse.sources.schemas import FACT_SCHEMA, WINDOW_TABLES
 
@@ -59,8 +59,9 @@ def parse_page_views(logs: DataFrame) -> DataFrame:
     c = F.col
     reason = (F.when(~is_object_text(c("common")) | ~is_object_text(c("page")) | c("ts").isNull(),
                      F.lit("missing common, page or ts"))
-              .when(is_blank(c("mid")), F.lit("missing mid")))
-    return logs.withColumn("event_ts", F.timestamp_millis("ts")).withColumn("reason", reason)
+              .when(is_blank(c("mid")), F.lit("missing mid"))
+              .when(millis_to_timestamp(c("ts")).isNull(), F.lit("bad ts")))
+    return logs.withColumn("event_ts", millis_to_timestamp(c("ts"))).withColumn("reason", reason)
 
 
 def _usable(rows: DataFrame, watermark: str | None) -> DataFrame:
@@ -82,9 +83,9 @@ def sku_windows(parsed: DataFrame, *, watermark: str | None = None,
     named = F.when(~is_blank(F.col("sku_name")), F.struct("_join_ts", "id", "sku_name"))
     totals = (_usable(parsed, watermark)
               .groupBy(F.window("event_ts", WINDOW_LENGTH), "sku_id")
-              .agg(round_money(F.sum("amount")).alias("order_amount"),
+              .agg(round_money(F.try_sum("amount")).alias("order_amount"),
                    F.count(F.lit(1)).alias("order_count"),
-                   F.sum("num").alias("sku_num"),
+                   sum_whole(F.col("num")).alias("sku_num"),
                    F.min(named)["sku_name"].alias("sku_name")))
     return _finish(totals, "dws_trade_sku_order_window", with_ts)
 
@@ -93,9 +94,9 @@ def province_windows(parsed: DataFrame, *, watermark: str | None = None,
                      with_ts: bool = True) -> DataFrame:
     totals = (_usable(parsed, watermark)
               .groupBy(F.window("event_ts", WINDOW_LENGTH), "province_id")
-              .agg(round_money(F.sum("amount")).alias("order_amount"),
+              .agg(round_money(F.try_sum("amount")).alias("order_amount"),
                    F.count(F.lit(1)).alias("order_count"),
-                   F.sum("num").alias("sku_num")))
+                   sum_whole(F.col("num")).alias("sku_num")))
     return _finish(totals, "dws_trade_province_order_window", with_ts)
 
 

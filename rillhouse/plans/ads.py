@@ -1,21 +1,29 @@
 """Reporting views over the window tables.
 
-"Today" is the newest ``cur_date`` in the table, not the calendar day.  The day
-is found by a scalar subquery, which prunes partitions of a table partitioned by
-``cur_date``.
+"Today" is the newest ``cur_date`` in the table, not the calendar day.  Of a stored
+table it is read from the names of its partitions and bound as a literal, so a report
+opens files of that day only; other frames are asked by a scalar subquery.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillhouse.functions import hour_label, now_millis
 from rillhouse.operators.ranking import rank_all
 
+_DAY = re.compile(r"/cur_date=(\d{4}-\d{2}-\d{2})/")
+
 
 def today(windows: DataFrame) -> DataFrame:
-    return windows.filter(F.col("cur_date") == windows.agg(F.max("cur_date")).scalar())
+    days = (_DAY.search(path) for path in windows.inputFiles())
+    newest = max((day[1] for day in days if day), default=None)
+    if newest is None:
+        return windows.filter(F.col("cur_date") == windows.agg(F.max("cur_date")).scalar())
+    return windows.filter(F.col("cur_date") == F.lit(newest).cast("date"))
 
 
 def _trade(amount: str, count: str) -> list[Column]:

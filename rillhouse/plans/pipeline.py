@@ -50,6 +50,21 @@ def traffic_windows(text: DataFrame, with_ts: bool = True) -> DataFrame:
     return windows.traffic_windows(page_views(text), with_ts=with_ts)
 
 
+def window_dirty(fact: DataFrame, time_mode: str = "event") -> DataFrame:
+    """Facts that a window table rejects: ``stage, reason`` and the fact's columns."""
+    sides = [parse(fact, time_mode).filter(F.col("reason").isNotNull())
+             .withColumn("stage", F.lit(stage)).drop("event_ts", "amount", "num")
+             for stage, parse in (("dws_trade_sku", windows.parse_sku_facts),
+                                  ("dws_trade_province", windows.parse_province_facts))]
+    return sides[0].unionByName(sides[1])
+
+
+def page_view_dirty(text: DataFrame) -> DataFrame:
+    """Page logs that the traffic window rejects."""
+    views = page_views(text).filter(F.col("reason").isNotNull())
+    return views.withColumn("stage", F.lit("dws_traffic"))
+
+
 def dirty_of_trade(text: DataFrame) -> DataFrame:
     """Everything the trade path rejects, with the original text and the stage that
     rejects it, in one narrow pass: a row is rejected at most once on its way."""

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -37,25 +35,26 @@ def build_session(master: str | None = None, app_name: str = "rillhouse",
     return builder.getOrCreate()
 
 
-@cache
-def _local_fallback() -> str:
-    return tempfile.mkdtemp(prefix="rillhouse-")
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
-
-    Only a local session may fall back to a temporary folder; on a cluster a
-    machine-local path would be lost with its executor, so that is refused.
-    """
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or a folder in the
+    warehouse, which is shared as well, where that is unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return _local_fallback()
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
+
+
+def _application_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no earlier run has used."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_application_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has written below ``scratch_path``; call it when no
+    result is read any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -52,21 +52,37 @@ def replay_text(spark: SparkSession, path: str, *, fmt: str = "parquet",
     if streaming and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if fmt == "text":
-        rows = reader.format("text").load(path)
-        return rows.select("value", F.current_timestamp().alias("arrival_ts"),
-                           F.col("_metadata.file_path").alias("seq"))
+        return _text_lines(reader, path, streaming)
     return reader.schema(TEXT_SCHEMA).format(fmt).load(path)
 
 
-def jdbc_snapshot(spark: SparkSession, url: str, table: str, *, partition_column: str,
-                  lower: int, upper: int, partitions: int,
-                  properties: dict[str, str] | None = None) -> DataFrame:
-    """A database table read in parallel ranges of a numeric column."""
-    return (spark.read.format("jdbc")
-            .options(**{"url": url, "dbtable": table, "partitionColumn": partition_column,
-                        "lowerBound": str(lower), "upperBound": str(upper),
-                        "numPartitions": str(partitions), **(properties or {})})
-            .load())
+def _text_lines(reader, path: str, streaming: bool) -> DataFrame:
+    """Lines with a ``seq`` that sorts like (file, position).
+
+    A batch reads split files; within a split rows are numbered as they are read.  A stream
+    cannot number rows, so it reads file by file and numbers the lines of each: recorded
+    files for streams should be of moderate size.
+    """
+    now = F.current_timestamp().alias("arrival_ts")
+    file = F.col("_metadata.file_path")
+    if streaming:
+        rows = reader.format("text").option("wholetext", "true").load(path)
+        lines = rows.select(file.alias("f"), F.posexplode(F.split(F.regexp_replace("value", "\\r?\\n\\z", ""), "\\r?\\n")))
+        return lines.select(F.col("col").alias("value"), now, F.format_string("%s|%019d", "f", "pos").alias("seq"))
+    rows = reader.format("text").load(path)
+    return rows.select("value", now, F.format_string(
+        "%s|%019d|%019d", file, F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("seq"))
+
+
+def jdbc_options(url: str, table: str, *, partition_column: str, lower: int, upper: int, partitions: int,
+                 properties: dict[str, str] | None = None) -> dict[str, str]:
+    return {"url": url, "dbtable": table, "partitionColumn": partition_column, "lowerBound": str(lower),
+            "upperBound": str(upper), "numPartitions": str(partitions), **(properties or {})}
+
+
+def jdbc_snapshot(spark: SparkSession, url: str, table: str, **options) -> DataFrame:
+    """A database table read in parallel ranges of a numeric column (``jdbc_options``)."""
+    return spark.read.format("jdbc").options(**jdbc_options(url, table, **options)).load()
 
 
 def table_snapshot_as_changes(rows: DataFrame, table: str) -> DataFrame:

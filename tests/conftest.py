@@ -9,8 +9,9 @@ from rillhouse.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session("local[4]", "tests", extra={
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "4",
         "spark.ui.showConsoleProgress": "false"})
     session.sparkContext.setLogLevel("ERROR")

@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from rillhouse.feeds import derive
-from rillhouse.operators import facts, replay, skew, windows
+from rillhouse.functions import millis_to_timestamp
+from rillhouse.operators import facts, logs, replay, windows
 from rillhouse.sources.schemas import FACT_FIELDS
 
 SF = "/root/testdata/sf0.001"
@@ -48,13 +49,13 @@ def test_settled_keeps_every_detail_and_newest_versions(spark):
     assert got["1"]._join_ts == (T0 + 9) * 1000
 
 
-@pytest.mark.parametrize("skew_mode", ["off", "force", "auto"])
-def test_changelog_state(spark, skew_mode):
+@pytest.mark.parametrize("slice_seconds", [1, 7, 60, 10_000])
+def test_changelog_state(spark, slice_seconds):
     d, o, a, c = inputs(
         spark, [(0, detail(1)), (10, detail(2)), (2000, detail(3))],
         [(20, {"id": "o", "user_id": "u1"})],
         [(30, {"order_detail_id": "2", "activity_id": "a"})])
-    got = replay.fact_changelog(d, o, a, c, skew=skew_mode)
+    got = replay.fact_changelog(d, o, a, c, slice_seconds=slice_seconds)
     # one detail per order is kept: 1 is lost; 2 is emitted again for its activity;
     # at 2000 the order (written at 20) has expired
     assert sorted((r.id, r._join_ts // 1000 - T0, r.activity_id) for r in got.collect()) == [
@@ -64,28 +65,69 @@ def test_changelog_state(spark, skew_mode):
 @pytest.mark.parametrize("age, emitted", [(1799, 1), (1800, 0)])
 def test_state_expires_at_thirty_minutes(spark, age, emitted):
     d, o, _, _ = inputs(spark, [(age, detail(1))], [(0, {"id": "o"})])
-    assert replay.base_changelog(d, o, skew="off").count() == emitted
-
-
-def test_hot_key_slices_give_the_same_changelog(spark):
-    """A key with a third of all rows, cut into slices, against the plain form."""
-    hot = spark.range(600).select(
-        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("key"),
-        (F.col("id") % 2).cast("int").alias("side"), (F.col("id") * 7919 % 4000 * 1000).alias("at"),
-        F.col("id").cast("string").alias("seq"),
-        F.struct(F.col("id").cast("string").alias("x")).alias("payload"))
+    assert replay.base_changelog(d, o).count() == emitted
+
+
+def brute_changelog(events, alone, ttl=1_800_000):
+    """Newest row per key and side, row by row: (key, at, seq, l, r)."""
+    out, known = [], {}
+    for key, side, at, seq in sorted(events, key=lambda e: (e[2], e[1], e[3])):
+        state = known.setdefault(key, {})
+        state[side] = (at, seq)
+        l, r = (state.get(i) for i in (0, 1))
+        l_ok, r_ok = (x is not None and at - x[0] < ttl for x in (l, r))
+        if l_ok and (r_ok or alone):
+            out.append((key, at, f"{side}|{seq}", l[1], r[1] if r_ok else None))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("alone", [True, False])
+def test_slices_give_the_changelog_row_by_row(spark, alone):
+    """One key with nine tenths of all rows; its timeline is shared by several tasks."""
+    hot = spark.range(900).select(
+        F.when(F.col("id") % 10 != 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("key"),
+        (F.col("id") % 7 % 2).cast("int").alias("side"), (F.col("id") * 7919 % 9000 * 1000).alias("at"),
+        F.format_string("%04d", "id").alias("seq"),
+        F.struct(F.format_string("%04d", "id").alias("x")).alias("payload"))
     sides = [hot.filter(F.col("side") == i) for i in (0, 1)]
-    slots = skew.hot_slots(hot, "key", min_rows=50)
-    assert [r.hot_slot for r in slots.collect()] == [
-        hot.filter("key = 'hot'").select(skew.slot_of(F.col("key"))).first()[0]]
-    for alone in (True, False):
-        def run(**options):
-            got = replay.keyed_changelog(*sides, emit_alone=alone, **options)
-            return sorted(tuple(r) for r in got.collect())
-
-        plain = run(skew="off")
-        assert plain == run(skew="auto", min_hot_rows=50, slice_seconds=30)
-        assert plain == run(skew="force", slice_seconds=7)
+    want = brute_changelog([tuple(r)[:4] for r in hot.collect()], alone)
+    for slice_seconds in (7, 60, 1800):
+        got = replay.keyed_changelog(*sides, emit_alone=alone, slice_seconds=slice_seconds)
+        assert sorted(((r.key, r.at, r.seq, r.l.x, r.r and r.r.x) for r in got.collect()), key=repr) == want
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = replay.keyed_changelog(*sides, emit_alone=alone)
+        assert got.filter("key = 'hot'").select(F.spark_partition_id()).distinct().count() > 2
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("REPARTITION_BY_COL") >= 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_no_value_stops_a_window(spark):
+    """Values no table or timestamp can hold are dirty or fall back; other rows stay."""
+    most = str(2 ** 63 - 1)
+    facts_in = [("1", "1e15", "1", "2024-01-01 00:00:01"), ("2", "-1e30", "1", "2024-01-01 00:00:01"),
+                ("3", "1", most, "2024-01-01 00:00:01"), ("4", "1.005", "1", "2024-01-01 00:00:01"),
+                ("5", "2", "1", most), ("6", "99999999999999.99", "1", "2024-01-01 00:01:01"),
+                ("7", "99999999999999.99", "1", "2024-01-01 00:01:01"), ("8", "0.0049999999", "2", "2024-01-01 00:02:01")]
+    made = spark.createDataFrame(facts_in, "id string, split_total_amount string, sku_num string, create_time string")
+    made = made.selectExpr("*", "'s' AS sku_id", "'o' AS order_id", "'p' AS province_id", "'n' AS sku_name",
+                           "0L AS _join_ts")
+    for parse, fold in ((windows.parse_sku_facts, windows.sku_windows),
+                        (windows.parse_province_facts, windows.province_windows)):
+        parsed = parse(made)
+        assert sorted(r.id for r in parsed.filter("reason = 'bad amount'").collect()) == ["1", "2"]
+        got = {str(r.stt): r for r in fold(parsed, with_ts=False).filter("stt < '2025-01-01'").collect()}
+        first, second, third = (got[f"2024-01-01 00:0{i}:00"] for i in range(3))
+        assert (str(first.order_amount), first.sku_num, first.order_count) == ("2.01", None, 2)
+        assert (second.order_amount, second.sku_num) == (None, 2)
+        assert str(third.order_amount) == "0.00"
+    text = spark.createDataFrame([(f'{{"common":{{"mid":"m"}},"page":{{}},"ts":{t}}}',) for t in (most, 1000)],
+                                 "value string")
+    views = windows.parse_page_views(logs.read_logs(text)).collect()
+    assert [r.reason for r in views] == ["bad ts", None]
+    assert spark.range(1).select(millis_to_timestamp(F.lit(2 ** 62)).alias("t")).first().t is None
 
 
 def test_window_aggregates(spark):

@@ -62,6 +62,14 @@ def test_event_time(spark):
 
 def test_json_put_replaces_and_drops_nulls(spark):
     got = column(spark, ['{"a":1,"ts":5,"n":null,"a":2}', '{}'],
-                 lambda c: fn.json_put(c, {"ts": fn.as_variant(F.lit(7)),
-                                           "t": fn.as_variant(F.lit('x"y'))}))
+                 lambda c: fn.json_put(c, {"ts": fn.json_value(F.lit(7)), "t": fn.json_value(F.lit('x"y')),
+                                           "gone": fn.json_value(F.lit(None).cast("string"))}))
     assert got == ['{"a":2,"ts":7,"t":"x\\"y"}', '{"ts":7,"t":"x\\"y"}']
+
+
+def test_json_put_keeps_the_spelling(spark):
+    text = ('{"n":12345678901234567890123456789012345678901234567890,"e":1e400,"d":1.10,"s":"1.10 , 2","q":"a\\"b\\u00e9",'
+            '"o":{"x":1.50,"y":null},"l":[1.0,"2"],"b":true}')
+    got = column(spark, [text], lambda c: fn.restore_numbers(
+        fn.json_put(fn.keep_numbers(c), {"_op": fn.json_value(F.lit("u"))})))
+    assert got == [text[:-1].replace("\\u00e9", "é") + ',"_op":"u"}']

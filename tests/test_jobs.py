@@ -1,14 +1,18 @@
 import json
+import time
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from rillhouse import session
 from rillhouse.feeds import derive
-from rillhouse.operators import changes, dims, facts
+from rillhouse.operators import changes, dims, facts, logs, windows
+from rillhouse.plans import tables
 from rillhouse.sources import replay_text, table_snapshot_as_changes
-from rillhouse.streaming import jobs, sinks
+from rillhouse.sources.text import jdbc_options
+from rillhouse.streaming import fact_state, jobs, sinks
 
 
 def write_text(spark, tmp_path, values):
@@ -29,7 +33,7 @@ def test_gate_job_routes_and_continues(spark, tmp_path):
 
     def once():
         text = replay_text(spark, path, streaming=True, max_files_per_trigger=1)
-        run(jobs.gate_job(text, "ods_db", out), tmp_path, "gate")
+        run(jobs.gate_job(text, "ods_db", sinks.files(out, "route")), tmp_path, "gate")
         return sorted((r.route, r.value) for r in spark.read.parquet(out).collect())
 
     assert once() == [("dirty_data", "x"), ("ods_db", '{"a":1}')]
@@ -38,15 +42,181 @@ def test_gate_job_routes_and_continues(spark, tmp_path):
     assert len(once()) == 3
 
 
-def test_text_files(spark, tmp_path):
-    (tmp_path / "a.txt").write_text('{"a":1}\n{"b":2}\n')
-    assert replay_text(spark, str(tmp_path / "a.txt"), fmt="text").count() == 2
+def test_repeated_batch_reaches_the_next_job_once(spark, tmp_path):
+    """The last commit is taken away, so the batch runs again; a stream that follows and a
+    batch reader both see its rows once."""
+    path, mid, out = write_text(spark, tmp_path, ['{"a":1}']), str(tmp_path / "mid"), str(tmp_path / "out")
+
+    def first():
+        text = replay_text(spark, path, streaming=True, max_files_per_trigger=1)
+        run(jobs.gate_job(text, "ods_db", sinks.files(mid)), tmp_path, "first")
+
+    def second():
+        rows = spark.readStream.schema("route string, value string, arrival_ts timestamp, seq string").parquet(mid)
+        run(sinks.files(out)(rows), tmp_path, "second")
+        return spark.read.parquet(out).count()
+
+    first()
+    assert second() == 1
+    (tmp_path / "checkpoint-first" / "commits" / "0").unlink()
+    for crc in (tmp_path / "checkpoint-first" / "commits").glob(".0.crc"):
+        crc.unlink()
+    first()
+    assert second() == 1
+    write_text(spark, tmp_path, ['{"b":2}'])
+    first()
+    assert second() == 2
+
+
+def test_kafka_sink_names_topics(spark, tmp_path):
+    """No broker here: the writer's rows and options are what can be checked."""
+    path = write_text(spark, tmp_path, ['{"a":1}'])
+    routed = jobs.gated_routes(replay_text(spark, path, streaming=True), "ods_db")
+    rows, options = sinks.kafka_rows(routed), sinks.kafka_options("host:9092")
+    assert rows.columns == ["topic", "value"] and options == {"kafka.bootstrap.servers": "host:9092"}
+
+
+def test_text_lines_keep_their_order(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines = [f'{{"a":{i}}}' for i in range(12)]
+    (tmp_path / "in" / "a.txt").write_text("\n".join(lines) + "\n")
+    (tmp_path / "in" / "b.txt").write_text("x")
+    read = replay_text(spark, str(tmp_path / "in"), fmt="text")
+    assert [r.value for r in read.orderBy("seq").collect()] == [*lines, "x"]
+    out = str(tmp_path / "out")
+    run(sinks.files(out)(replay_text(spark, str(tmp_path / "in"), fmt="text", streaming=True)), tmp_path, "lines")
+    assert [r.value for r in spark.read.parquet(out).orderBy("seq").collect()] == [*lines, "x"]
+
+
+def test_jdbc_options():
+    made = jdbc_options("jdbc:x", "t", partition_column="id", lower=1, upper=9, partitions=4, properties={"user": "u"})
+    assert made == {"url": "jdbc:x", "dbtable": "t", "partitionColumn": "id", "lowerBound": "1",
+                    "upperBound": "9", "numPartitions": "4", "user": "u"}
+
+
+def test_failed_query_is_restarted(spark, tmp_path):
+    path, seen = write_text(spark, tmp_path, ["x"]), []
+
+    def start():
+        def write(batch, number):
+            seen.append(number)
+            if len(seen) < 3:
+                raise ValueError("not yet")
+
+        writer = sinks.each_batch(replay_text(spark, path, streaming=True), write)
+        return sinks.start(writer, str(tmp_path / "checkpoint"), once=True)
+
+    sinks.keep_running(start, attempts=3, pause_seconds=0)
+    assert seen == [0, 0, 0]
+    seen.clear()
+    with pytest.raises(StreamingQueryException):
+        write_text(spark, tmp_path, ["y"])
+        sinks.keep_running(start, attempts=1, pause_seconds=0)
+
+
+def test_console_sink_runs(spark, tmp_path):
+    path = write_text(spark, tmp_path, ["x"])
+    run(sinks.to_console(replay_text(spark, path, streaming=True)), tmp_path, "console")
+
+
+def test_targets_appear_with_their_configuration(spark):
+    config = dims.read_config(derive.config_text(spark))
+    jobs.ensure_dim_targets(config, "dim_targets_test")
+    jobs.ensure_dim_targets(config, "dim_targets_test")
+    names = {r.tableName for r in spark.sql("SHOW TABLES IN dim_targets_test").collect()}
+    assert {"dim_user_info", "dim_sku_info", "dim_base_province"} <= names
+    families = [r.partition for r in spark.sql("SHOW PARTITIONS dim_targets_test.dim_sku_info").collect()]
+    assert "family=cf" in families
+    spark.sql("DROP DATABASE dim_targets_test CASCADE")
+
+
+def test_state_outlives_a_lag(spark, tmp_path):
+    """Rows one second apart by arrival, handled later than the TTL by the clock."""
+    def side(name, fields, values):
+        path = str(tmp_path / name)
+        made = spark.createDataFrame([(values,)], "v map<string,string>")
+        (made.select(*[F.col("v")[f].alias(f) for f in fields], F.lit("").alias("seq"),
+                     F.timestamp_seconds(F.lit(1704067200 + (name == "orders"))).alias("arrival_ts"))
+         .write.mode("append").parquet(path))
+
+    out = str(tmp_path / "facts")
+
+    def once():
+        streams = []
+        for name, fields in (("details", facts.DETAIL_FIELDS), ("orders", facts.ORDER_FIELDS)):
+            schema = ", ".join(f"{f} string" for f in fields) + ", seq string, arrival_ts timestamp"
+            (tmp_path / name).mkdir(exist_ok=True)
+            streams.append(spark.readStream.schema(schema).parquet(str(tmp_path / name)))
+        rows = fact_state.base_stream(*streams, ttl_seconds=3)
+        sinks.start_stateful(spark, sinks.files(out)(rows), str(tmp_path / "state"), once=True).awaitTermination()
+
+    side("details", facts.DETAIL_FIELDS, {"id": "1", "order_id": "o", "sku_id": "s", "sku_num": "1"})
+    once()
+    time.sleep(6)
+    side("orders", facts.ORDER_FIELDS, {"id": "o", "user_id": "u"})
+    once()
+    assert [(r.id, r.user_id) for r in spark.read.parquet(out).collect()] == [("1", "u")]
+
+
+def test_late_rows_are_dropped(spark, tmp_path):
+    """A row behind the watermark of an earlier batch does not come back into its window."""
+    out = str(tmp_path / "windows")
+    path = str(tmp_path / "in")
+
+    def batch(*seconds):
+        text = [('{"common":{"mid":"m%d"},"page":{},"ts":%d}' % (s, (1704067200 + s) * 1000),) for s in seconds]
+        (spark.createDataFrame(text, "value string").select("value", F.current_timestamp().alias("arrival_ts"),
+                                                            F.lit("").alias("seq"))
+         .coalesce(1).write.mode("append").parquet(path))
+        rows = logs.read_logs(replay_text(spark, path, streaming=True))
+        run(jobs.traffic_window_job(rows, tables.window_writer(out)), tmp_path, "late")
+        return sorted((r.stt.second + 60 * r.stt.minute, r.pv_ct) for r in spark.read.parquet(out).collect())
+
+    assert batch(1, 29, 34) == [(0, 2)]
+    assert batch(5, 40, 70) == [(0, 2), (30, 2)]   # second 5 is late, its window is closed
+    assert batch(58, 200) == [(0, 2), (30, 2), (60, 1)]
+
+
+def test_fact_job_from_detail_text(spark, tmp_path):
+    """Detail text in, fact text and rejected rows out."""
+    def text(name, *bodies):
+        return write_text(spark, tmp_path / name, list(bodies))
+
+    details = text("details", '{"id":"1","order_id":"o","sku_id":"s","sku_num":"1","split_total_amount":"2.50"}',
+                   '{"id":"2","order_id":"o","sku_id":"s","sku_num":"x"}')
+    orders = text("orders", '{"id":"o","user_id":"u"}')
+
+    def read(path, table):
+        return jobs.detail_rows(replay_text(spark, path, streaming=True), table)
+
+    out, bad = str(tmp_path / "fact"), str(tmp_path / "bad")
+    writer = jobs.fact_base_job(read(details, "order_detail"), read(orders, "order_info"), sinks.files(out))
+    sinks.start_stateful(spark, writer, str(tmp_path / "c1"), once=True).awaitTermination()
+    run(jobs.fact_dirty_job({"order_detail": replay_text(spark, details, streaming=True)}, sinks.files(bad)), tmp_path, "bad")
+    fact = json.loads(spark.read.parquet(out).first().value)
+    assert (fact["id"], fact["user_id"], fact["split_total_amount"]) == ("1", "u", "2.50")
+    row = spark.read.parquet(bad).first()
+    assert (row.stage, row.reason, json.loads(row.value)["id"]) == ("fact_order_detail", "bad sku_num", "2")
+    rejected = str(tmp_path / "rejected")
+    facts_text = spark.readStream.schema(jobs.TEXT).parquet(out)
+    run(jobs.window_dirty_job(windows.read_facts(facts_text), "dws_trade_province", windows.parse_province_facts,
+                              sinks.files(rejected)), tmp_path, "rejected")
+    assert spark.read.parquet(rejected).first().reason == "missing province_id"
+
+
+def test_tsv_batches_replace_themselves(spark, tmp_path):
+    rows = spark.sql("SELECT timestamp'2024-01-01' AS stt, timestamp'2024-01-01' AS edt, date'2024-01-01' AS cur_date, "
+                     "1L AS pv_ct, 1L AS uv_ct, 1L AS sv_ct, 0L AS ts")
+    write = tables.tsv_writer("dws_traffic_page_view_window", str(tmp_path / "tsv"))
+    for batch in (0, 1, 1):
+        write(rows, batch)
+    assert spark.read.text(str(tmp_path / "tsv")).count() == 2
 
 
 def test_dirty_job(spark, tmp_path):
     path, out = write_text(spark, tmp_path, ['{"op":"x","table":"t"}']), str(tmp_path / "out")
     judged = changes.split_changes(replay_text(spark, path, streaming=True))
-    run(jobs.dirty_job(judged, "dwd_split", out), tmp_path, "dirty")
+    run(jobs.dirty_job(judged, "dwd_split", sinks.files(out, "stage")), tmp_path, "dirty")
     row = spark.read.parquet(out).first()
     assert (row.stage, row.reason, json.loads(row.value)["op"]) == ("dwd_split", "unknown op", "x")
 
@@ -91,20 +261,21 @@ def test_fact_text_round_trip(spark):
         "id": "1", "_fact_type": "order_detail", "_join_ts": 5}
 
 
-def test_shared_folder_rules(spark, monkeypatch):
-    class Conf:
-        def __init__(self, values):
-            self.values = values
+def test_scratch_is_in_the_shared_folder_and_cleared(spark):
+    path = session.scratch_path(spark, "x")
+    assert path.startswith(spark.conf.get("spark.checkpoint.dir"))
+    spark.range(1).write.parquet(path)
+    session.clear_scratch(spark)
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path)
 
-        def get(self, key, default=None):
-            return self.values.get(key, default)
+
+def test_warehouse_serves_where_no_shared_folder_is_set():
+    class Conf:
+        def get(self, key, *default):
+            return {"spark.sql.warehouse.dir": "file:/w"}.get(key, *default)
 
     class Session:
-        def __init__(self, **values):
-            self.conf = Conf({k.replace("_", "."): v for k, v in values.items()})
-
-    assert session.shared_dir(Session(spark_checkpoint_dir="/shared/x/")) == "/shared/x"
-    local = session.shared_dir(Session(spark_master="local[2]"))
-    assert session.shared_dir(Session(spark_master="local[2]")) == local
-    with pytest.raises(ValueError):
-        session.shared_dir(Session(spark_master="yarn"))
+        conf = Conf()
+
+    assert session.shared_dir(Session()) == "file:/w/scratch"

@@ -1,5 +1,7 @@
 """Registered queries against their SQL at the smallest scale, streams included."""
 
+import re
+
 import duckdb
 import pytest
 
@@ -11,7 +13,8 @@ CHOSEN = ["ods_json_gate", "dwd_cdc_validity", "dwd_trade_order_detail", "dwd_di
           "dwd_log_split_counts", "fact_settled", "fact_changelog", "fact_dirty_union",
           "dws_sku_window", "dws_traffic_window", "ads_trade_sku_order_topn_today",
           "dash_summary", "dim_snapshot", "stream_log_split", "stream_traffic_window",
-          "stream_sku_window", "stream_fact_base", "stream_dim_snapshot"]
+          "stream_sku_window", "stream_fact", "stream_dim_snapshot", "sku_fact_dirty",
+          "page_view_dirty", "e2e_fact_settled", "e2e_sku_topn", "e2e_dirty"]
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +26,8 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    own = {n for n in entry.queries() if n != "pipeline" and not re.match(r"op\d+_", n)}
+    assert own == {n for n in entry.oracle_sql() if not re.match(r"op\d+_", n)}
 
 
 @pytest.mark.parametrize("name", CHOSEN)

@@ -54,10 +54,12 @@ def test_sql_reports_equal_frame_reports(spark):
     t = window_tables(spark)
     ads.register_views(t)
     pairs = {"trade_trend": dashboard.trade_trend(t), "traffic_trend": dashboard.traffic_trend(t),
-             "sku_topn": dashboard.sku_topn(t, 2), "province_topn": dashboard.province_topn(t, 2)}
+             "sku_topn": dashboard.sku_topn(t, 2), "province_topn": dashboard.province_topn(t, 2),
+             "hour_trade": dashboard.hour_trade(t), "hour_traffic": dashboard.hour_traffic(t)}
+    assert {*pairs, "trade_stats", "traffic_stats"} == set(dashboard.REPORTS)
     for name, frame in pairs.items():
         by_sql = dashboard.sql_report(spark, name, 2)
-        key = ["rn"] if "rn" in by_sql.columns else ["stt"]
+        key = [c for c in ("rn", "stt", "hour_time") if c in by_sql.columns][:1]
         assert by_sql.orderBy(*key).collect() == frame.select(*by_sql.columns).orderBy(*key).collect()
     assert set(dashboard.hour_trend(t)) == {"trade", "traffic"}
 
