@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -477,12 +478,11 @@ def entry(spark: SparkSession) -> DataFrame:
 def _corpus_entries():
     """Queries of the corpus operators, or None where that subpackage is left out."""
     try:
-        from rillhouse.llm import entries
+        return importlib.import_module("rillhouse.llm.entries")
     except ModuleNotFoundError as missing:
         if not str(missing.name).startswith("rillhouse.llm"):
             raise
         return None
-    return entries
 
 
 def queries() -> dict[str, Query]:
