@@ -107,7 +107,10 @@ def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
 
 
 def anchors(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """place, k-gram hash, two context hashes, bytes to the left and to the right."""
+    """place, k-gram hash, context hash, bytes to the left and to the right.
+
+    Contexts are told apart by both hashes, 128 bits of two different bases.
+    """
     k, w = window_of(length)
     one, two = _hashes(length)
     n, found = len(data), []
@@ -127,10 +130,9 @@ def anchors(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, ...]:
         right = np.minimum(n - low - at, length)
         salt = _mix((left * 65_537 + right).astype(np.uint64) + np.uint64(1))
         more = two.sums(part)
-        found.append((at + low, grams[chosen], one.of(sums, at - left, at + right) ^ salt,
-                      two.of(more, at - left, at + right) ^ salt, left, right))
+        found.append((at + low, grams[chosen], two.of(more, at - left, at + right) ^ salt, left, right))
     if not found:
-        return tuple(np.zeros(0, np.int64) for _ in range(6))
+        return tuple(np.zeros(0, np.int64) for _ in range(5))
     out = [np.concatenate(x) for x in zip(*found)]
     _, first = np.unique(out[0], return_index=True)
     return tuple(x[first].view(np.int64) for x in out)
@@ -288,7 +290,7 @@ def keyed(documents: DataFrame) -> DataFrame:
                             F.xxhash64(doc, text).alias("k2"), text.alias("text"))
 
 
-_ANCHOR = "aid bigint, k1 bigint, k2 bigint, at bigint, gram bigint, c1 bigint, c2 bigint, l bigint, r bigint"
+_ANCHOR = "aid bigint, k1 bigint, k2 bigint, at bigint, gram bigint, context bigint, l bigint, r bigint"
 
 
 def anchor_rows(rows: DataFrame, length: int) -> DataFrame:
@@ -342,7 +344,8 @@ def _with_bytes(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                                pa.array([data[x:x + length] for x in at], pa.binary())]
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return (rows.join(per_document, list(_KEY)).select(*_KEY, "text", "a").mapInArrow(run, _CONTEXT))
+    # doc_id is carried so that this side equals that of the last join, and is shuffled once
+    return rows.join(per_document, list(_KEY)).select("doc_id", *_KEY, "text", "a").mapInArrow(run, _CONTEXT)
 
 
 _SPAN = "k1 bigint, k2 bigint, begin bigint, finish bigint"
@@ -407,17 +410,21 @@ def _counted_spans(contexts: DataFrame, length: int) -> DataFrame:
 def spans(rows: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFrame:
     """(k1, k2, begin, finish): repeated bytes of documents from ``keyed``; may overlap."""
     marks = stored(anchor_rows(rows, length), "anchors")
-    contexts = stored(marks.groupBy("gram", "c1", "c2").agg(
+    contexts = stored(marks.groupBy("gram", "context").agg(
         F.count(F.lit(1)).alias("n"), F.min("aid").alias("aid")), "contexts")
-    copies = contexts.filter("n > 1").select("gram", "c1", "c2")
-    covered = (marks.join(copies, ["gram", "c1", "c2"], "left_semi").filter(F.col("l") + F.col("r") >= length)
+    copies = contexts.filter("n > 1").select("gram", "context")
+    covered = (marks.join(copies, ["gram", "context"], "left_semi").filter(F.col("l") + F.col("r") >= length)
                .select("k1", "k2", (F.col("at") - F.col("l")).alias("begin"),
                        (F.col("at") + F.col("r")).alias("finish")))
     mixed = (contexts.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("fewest"))
              .filter("m > 1 AND fewest = 1").select("gram", "m"))
     wanted = contexts.join(mixed, "gram").select("aid", "m", "n").join(
         marks.select("aid", "gram", "k1", "k2", "at"), "aid")
-    near = stored(_with_bytes(rows, wanted, length), "borders")
+    near = _with_bytes(rows, wanted, length)
+    largest = mixed.agg(F.max("m")).first()[0] or 0
+    if largest <= group:  # read once: the documents' shuffle then serves the caller's join too
+        return covered.unionByName(_sorted_spans(near, length))
+    near = stored(near, "borders")
     return (covered.unionByName(_sorted_spans(near.filter(F.col("m") <= group), length))
             .unionByName(_counted_spans(near.filter(F.col("m") > group), length)))
 
