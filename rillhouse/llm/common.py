@@ -35,6 +35,14 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def dropped(rows: DataFrame) -> None:
+    """Delete what ``stored`` wrote, once nothing reads it any more."""
+    spark = rows.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in rows.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -41,7 +41,7 @@ PAIR_BLOCK = 2048
 
 # ------------------------------------------------------------------ fingerprints
 
-def _word_blocks(data: bytes) -> Iterator[list[bytes]]:
+def word_blocks(data: bytes) -> Iterator[list[bytes]]:
     """Words of a text, block by block; a word is never cut."""
     at, n = 0, len(data)
     while at < n:
@@ -52,18 +52,22 @@ def _word_blocks(data: bytes) -> Iterator[list[bytes]]:
         at = end
 
 
-def _votes(words: list[bytes], width: int) -> np.ndarray:
-    """How many of the shingles set each of the 64 bits, highest bit first."""
+def shingle_hashes(words: list[bytes], width: int) -> list[int]:
+    """Hashes of all runs of ``width`` words; fewer words are one run."""
     joined = b" ".join(words)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(lengths + 1) - 1
     starts = ends - lengths
     if len(words) < width:
-        hashes = [xxhash.xxh64_intdigest(joined, 42)]
-    else:
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(joined[a:b], 42) for a, b in
-                  zip(starts[: len(words) - width + 1].tolist(), ends[width - 1:].tolist())]
+        return [xxhash.xxh64_intdigest(joined, 42)]
+    digest = xxhash.xxh64_intdigest
+    return [digest(joined[a:b], 42) for a, b in
+            zip(starts[: len(words) - width + 1].tolist(), ends[width - 1:].tolist())]
+
+
+def _votes(words: list[bytes], width: int) -> np.ndarray:
+    """How many of the shingles set each of the 64 bits, highest bit first."""
+    hashes = shingle_hashes(words, width)
     bits = np.unpackbits(np.array(hashes, ">u8").view(np.uint8).reshape(-1, 8), axis=1)
     votes = np.zeros(64, np.int64)
     for at in range(0, len(bits), 255):  # sums of 255 bits fit a byte, which numpy adds fastest
@@ -74,7 +78,7 @@ def _votes(words: list[bytes], width: int) -> np.ndarray:
 def fingerprint(text: str, width: int = 3) -> int:
     """Unsigned 64-bit fingerprint of a text."""
     votes, shingles, carry = np.zeros(64, np.int64), 0, []
-    for words in _word_blocks(text.encode().lower()):
+    for words in word_blocks(text.encode().lower()):
         words = carry + words
         if len(words) >= width:
             votes += _votes(words, width)
