@@ -21,6 +21,11 @@ and the bytes it covers are [a - L, a + R).
    hold) would be one huge group.  Their windows are counted by hash instead, with partial
    sums, over all tasks; the result is the same.
 
+The same search runs over words (``cut_passages``): each word becomes ``CODE`` bytes, so a
+passage of n words is a string of ``CODE * n`` bytes whatever its words' lengths and the white
+space between them.  Two different windows of 51 words are taken for equal only if all 32-bit
+codes agree.
+
 Defined results
 * null text counts as empty; texts shorter than ``length`` keep all bytes.
 * repeated rows are repeats of each other and lose what is long enough.
@@ -32,11 +37,13 @@ Defined results
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,6 +59,10 @@ GROUP = 50_000
 SORTED = 20_000
 #: Bytes that multikey quicksort looks at before blind tries take over.
 SHALLOW = 32
+#: Words that a passage must have to be cut by ``cut_passages``; bytes that stand for a word.
+PASSAGE, CODE = 51, 4
+#: Words whose codes a worker remembers.
+CODES = 500_000
 
 
 def window_of(length: int) -> tuple[int, int]:
@@ -60,6 +71,26 @@ def window_of(length: int) -> tuple[int, int]:
     return length - w + 1, w
 
 
+# ------------------------------------------------------------------ words
+
+# characters of scripts without spaces between words count as a word each, and long runs
+# (encoded data) as a word for every 64 characters
+_SINGLE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+WORD = re.compile(f"[{_SINGLE}]|[^\\s{_SINGLE}]{{1,64}}")
+_codes: dict[str, bytes] = {}
+
+
+def word_codes(text: str) -> bytes:
+    """``CODE`` bytes for each word."""
+    words = WORD.findall(text)
+    for word in set(words).difference(_codes):
+        if len(_codes) >= CODES:
+            _codes.clear()
+            return b"".join(xxhash.xxh32_digest(w.encode()) for w in words)
+        _codes[word] = xxhash.xxh32_digest(word.encode())
+    return b"".join([_codes[w] for w in words])
+
+
 # ------------------------------------------------------------------ hashes
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -293,7 +324,9 @@ def keyed(documents: DataFrame) -> DataFrame:
 _ANCHOR = "aid bigint, k1 bigint, k2 bigint, at bigint, gram bigint, context bigint, l bigint, r bigint"
 
 
-def anchor_rows(rows: DataFrame, length: int) -> DataFrame:
+def anchor_rows(rows: DataFrame, length: int, encode: Callable[[str], bytes] = str.encode,
+                least: int | None = None) -> DataFrame:
+    """Anchors of the encoded texts; ``least`` bytes of text are needed for ``length`` encoded ones."""
     names = [x.split()[0] for x in _ANCHOR.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,7 +336,7 @@ def anchor_rows(rows: DataFrame, length: int) -> DataFrame:
                 part = batch.slice(start, SLICE_ROWS)
                 keys, out = [[], []], []
                 for k1, k2, text in zip(*(part.column(i).to_pylist() for i in range(3))):
-                    found = anchors(text.encode(), length)
+                    found = anchors(encode(text), length)
                     if len(found[0]):
                         out.append(found)
                         keys[0].append(np.full(len(found[0]), k1))
@@ -316,14 +349,15 @@ def anchor_rows(rows: DataFrame, length: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [longs(x) for x in (ids, *map(np.concatenate, keys), *columns)], names=names)
 
-    long_enough = rows.filter(F.octet_length("text") >= length)
+    long_enough = rows.filter(F.octet_length("text") >= (length if least is None else least))
     return long_enough.select(*_KEY, "text").mapInArrow(run, _ANCHOR)
 
 
 _CONTEXT = "gram bigint, m bigint, n bigint, k1 bigint, k2 bigint, at bigint, head binary, tail binary"
 
 
-def _with_bytes(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+def _with_bytes(rows: DataFrame, wanted: DataFrame, length: int,
+                encode: Callable[[str], bytes] = str.encode) -> DataFrame:
     """The bytes around the wanted anchors, cut out of the documents they stand in."""
     _, w = window_of(length)
     per_document = wanted.groupBy(*_KEY).agg(F.collect_list(F.struct("gram", "m", "n", "at")).alias("a"))
@@ -332,7 +366,7 @@ def _with_bytes(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                data = batch.column("text")[i].as_py().encode()
+                data = encode(batch.column("text")[i].as_py())
                 found = batch.column("a")[i].values
                 for j in range(0, len(found), 5000):
                     some = found.slice(j, 5000)
@@ -407,9 +441,10 @@ def _counted_spans(contexts: DataFrame, length: int) -> DataFrame:
         (F.col("at") + length - F.col("least")).alias("finish"))
 
 
-def spans(rows: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFrame:
+def spans(rows: DataFrame, length: int = LENGTH, group: int = GROUP, *,
+          encode: Callable[[str], bytes] = str.encode, least: int | None = None) -> DataFrame:
     """(k1, k2, begin, finish): repeated bytes of documents from ``keyed``; may overlap."""
-    marks = stored(anchor_rows(rows, length), "anchors")
+    marks = stored(anchor_rows(rows, length, encode, least), "anchors")
     contexts = stored(marks.groupBy("gram", "context").agg(
         F.count(F.lit(1)).alias("n"), F.min("aid").alias("aid")), "contexts")
     copies = contexts.filter("n > 1").select("gram", "context")
@@ -420,7 +455,7 @@ def spans(rows: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFram
              .filter("m > 1 AND fewest = 1").select("gram", "m"))
     wanted = contexts.join(mixed, "gram").select("aid", "m", "n").join(
         marks.select("aid", "gram", "k1", "k2", "at"), "aid")
-    near = _with_bytes(rows, wanted, length)
+    near = _with_bytes(rows, wanted, length, encode)
     largest = mixed.agg(F.max("m")).first()[0] or 0
     if largest <= group:  # read once: the documents' shuffle then serves the caller's join too
         return covered.unionByName(_sorted_spans(near, length))
@@ -480,14 +515,28 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     return rows.select("doc_id", "text", "begins", "finishes").mapInArrow(run, schema)
 
 
-def cut_documents(documents: DataFrame, length: int = LENGTH) -> DataFrame:
-    """The documents with repeated bytes taken out of their texts and all columns kept."""
+def _kept_words(text: str, cut: list[tuple[int, int]]) -> str:
+    """The text without the words whose codes are in a span."""
+    places = [m.span() for m in WORD.finditer(text)]
+    at, parts = 0, []
+    for a, b in cut:
+        parts.append(text[at:places[a // CODE][0]])
+        at = places[b // CODE - 1][1]
+    parts.append(text[at:])
+    return "".join(parts)
+
+
+def _kept_bytes(text: str, cut: list[tuple[int, int]]) -> str:
+    return _kept(text.encode(), cut).decode(errors="ignore")
+
+
+def _cut(documents: DataFrame, found: DataFrame, kept: Callable[[str, list[tuple[int, int]]], str]) -> DataFrame:
     @F.pandas_udf("string")
     def cut(texts: pd.Series, begins: pd.Series, finishes: pd.Series) -> pd.Series:
-        return pd.Series([_kept(t.encode(), merged(list(a), list(b))).decode(errors="ignore")
+        return pd.Series([kept(t, merged(list(a), list(b)))
                           for t, a, b in zip(texts, begins, finishes)], dtype=object)
 
-    found = spans(keyed(documents), length).groupBy(*_KEY).agg(
+    found = found.groupBy(*_KEY).agg(
         F.collect_list("begin").alias("_begins"), F.collect_list("finish").alias("_finishes"))
     found = found.withColumnsRenamed({"k1": "_k1", "k2": "_k2"})
     text, doc = F.coalesce(F.col("text"), F.lit("")), F.col("doc_id").cast("bigint")
@@ -497,3 +546,20 @@ def cut_documents(documents: DataFrame, length: int = LENGTH) -> DataFrame:
         text, F.coalesce("_begins", F.array().cast("array<bigint>")),
         F.coalesce("_finishes", F.array().cast("array<bigint>")))).otherwise(F.col("text"))
     return joined.withColumn("text", shorter).select(*documents.columns)
+
+
+def cut_documents(documents: DataFrame, length: int = LENGTH) -> DataFrame:
+    """The documents with repeated bytes taken out of their texts and all columns kept."""
+    return _cut(documents, spans(keyed(documents), length), _kept_bytes)
+
+
+def cut_passages(documents: DataFrame, words: int = PASSAGE) -> DataFrame:
+    """The documents without the passages of ``words`` words or more that also stand elsewhere.
+
+    What stays keeps its own white space; all columns are kept.
+    """
+    found = spans(keyed(documents), CODE * words, encode=word_codes, least=words)
+    # part of a code may be shared by chance: only whole ones are words
+    found = found.select(*_KEY, F.expr(f"({CODE - 1} + begin) div {CODE} * {CODE}").alias("begin"),
+                         F.expr(f"finish div {CODE} * {CODE}").alias("finish")).filter("begin < finish")
+    return _cut(documents, found, _kept_words)
