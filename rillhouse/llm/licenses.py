@@ -1,7 +1,9 @@
 """License scans: phrases, and an exact set-similarity join of text blocks with templates.
 
-A block is a line of a text, as a set of words.  It matches a template if it contains at
-least ``threshold`` of the template's words.  Words are ordered by how many blocks of the
+A block is a run of words about as long as a template (its words / threshold), inside a line
+or, where no line matches the template, inside a paragraph, so that notices survive wrapping.
+It matches a template if it contains at least ``threshold`` of the template's words and the
+words that name the licence (``NAMES``), side by side.  Words are ordered by how many blocks of the
 whole corpus have them, rarest first, and the join runs through three filters that lose
 nothing:
 
@@ -51,6 +53,14 @@ TEMPLATES = [
     ("cc-by-nc", "licensed under cc by nc 4 0"),
 ]
 THRESHOLD = 0.8
+#: Words that must stand side by side, and words that must stand, by template.
+NAMES = {
+    TEMPLATES[0][1]: ("mit license", ""),
+    TEMPLATES[1][1]: ("associated documentation files", ""),
+    TEMPLATES[2][1]: ("apache", "2"),
+    TEMPLATES[3][1]: ("gnu general public", "3"),
+    TEMPLATES[4][1]: ("cc by nc", ""),
+}
 
 _WORD_BYTES = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
@@ -89,35 +99,69 @@ class Templates:
         for number, (label, text) in enumerate(templates):
             ordered = sorted(set(words_of(text.encode())), key=self.order.get)
             need = math.ceil(threshold * len(ordered) - 1e-9)
-            self.sets.append((label, ordered, need))
+            name, must = (x.encode().split() for x in NAMES.get(text, ("", "")))
+            reach = math.ceil(len(words_of(text.encode())) / threshold - 1e-9)
+            self.sets.append((label, ordered, need, b" ".join([b"", *name, b""]), name + must, reach))
             for place, word in enumerate(ordered[:len(ordered) - need + 1]):
                 self.index.setdefault(word, []).append((number, place))
         self.prefixes = set(self.index)
 
-    def matches(self, block: list[bytes]) -> dict[str, float]:
-        """Label and highest containment of the templates that this block contains."""
+    def matches(self, block: list[bytes], skip: frozenset | set = frozenset()) -> dict[int, float]:
+        """Template and highest containment in a run of words of this block."""
         met = self.prefixes.intersection(block)
         if not met:
             return {}
         have = set(block)
         shared = sorted((w for w in have if w in self.order), key=self.order.get)
         rank = {w: i for i, w in enumerate(shared)}
-        out: dict[str, float] = {}
-        judged = set()
+        out: dict[int, float] = {}
+        judged = set(skip)
         for word in sorted(met, key=self.order.get):
             for number, place in self.index[word]:
-                label, ordered, need = self.sets[number]
+                _, ordered, need, name, must, reach = self.sets[number]
                 if number in judged or len(have) < need:
                     continue
                 judged.add(number)
                 # the first shared word of this template: all that may follow, in either
                 if 1 + min(len(ordered) - place - 1, len(shared) - rank[word] - 1) < need:
                     continue
-                overlap = sum(w in have for w in ordered)
-                if overlap >= need:
-                    out[label] = max(out.get(label, 0.0), overlap / len(ordered))
+                if not have.issuperset(must) or sum(w in have for w in ordered) < need:
+                    continue
+                best = self._best_run(block, set(ordered), name, must, reach)
+                if best >= need:
+                    out[number] = best / len(ordered)
         return out
 
+    @staticmethod
+    def _best_run(block: list[bytes], wanted: set[bytes], name: bytes, must: list[bytes], reach: int) -> int:
+        """Most words of the template in a run of ``reach`` words that has its name."""
+        best, held = 0, Counter()
+        for end, word in enumerate(block):
+            if word in wanted:
+                held[word] += 1
+            if end >= reach and block[end - reach] in wanted:
+                gone = block[end - reach]
+                held[gone] -= 1
+                if not held[gone]:
+                    del held[gone]
+            if len(held) > best:
+                run = block[max(0, end - reach + 1):end + 1]
+                if name in b" ".join([b"", *run, b""]) and all(w in run for w in must):
+                    best = len(held)
+        return best
+
+
+def _paragraphs(lines: list[list[bytes]]) -> Iterator[list[bytes]]:
+    """Words of each run of two or more lines with words."""
+    held: list[list[bytes]] = []
+    for line in [*lines, []]:
+        if line:
+            held.append(line)
+            continue
+        if len(held) > 1:
+            yield [w for x in held for w in x]
+        held = []
+
 
 def _phrase_places(words: list[bytes], phrases: list[tuple[bytes, str]]) -> list[tuple[int, str]]:
     joined = b" " + b" ".join(words) + b" "
@@ -145,10 +189,18 @@ def scan(documents: DataFrame, phrases: dict[str, str] = PHRASES,
                 words = [w for line in lines for w in line]
                 places = _phrase_places(words, spaced)
                 base = {label for _, label in places}
-                scores: dict[str, float] = {}
+                met: dict[int, float] = {}
                 for line in lines:
-                    for label, score in known.matches(line).items():
-                        scores[label] = max(scores.get(label, 0.0), score)
+                    for number, score in known.matches(line).items():
+                        met[number] = max(met.get(number, 0.0), score)
+                whole = set(met)
+                for block in _paragraphs(lines):
+                    for number, score in known.matches(block, whole).items():
+                        met[number] = max(met.get(number, 0.0), score)
+                scores: dict[str, float] = {}
+                for number, score in met.items():
+                    label = known.sets[number][0]
+                    scores[label] = max(scores.get(label, 0.0), score)
                 starts = [at for at, _ in places]
                 row = (len(words), len(places), min(starts, default=None), max(starts, default=None),
                        ",".join(sorted(base)), ",".join(sorted(base | set(scores))),
