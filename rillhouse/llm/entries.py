@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillhouse.llm import (
-    chunk_bpe, exact_dedup, html_text, language_id, licenses, packing, simhash, suffix_dedup,
-    top_k, url_filter,
+    chunk_bpe, exact_dedup, hard_negatives, html_text, language_id, licenses, packing,
+    piecewise_hash, simhash, suffix_dedup, token_alignment, top_k, url_filter,
 )
 from rillhouse.llm.common import table
 
@@ -64,6 +64,21 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predicted(documents, net, held_out())
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    return hard_negatives.hard_negatives(
+        table(spark, sf_dir, "embeddings"), vec_id % 100 == 0,
+        label=F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label))
+
+
+def op12_piecewise_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piecewise_hash.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -72,7 +87,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     found = [op1_suffix_dedup, op2_exact_dedup, op3_html_text, op4_simhash, op5_licenses,
-             op6_url_filter, op7_packing, op8_chunk_bpe, op9_top_k, op10_language_id, pipeline]
+             op6_url_filter, op7_packing, op8_chunk_bpe, op9_top_k, op10_language_id,
+             op11_hard_negatives, op12_piecewise_hash, op13_token_alignment, pipeline]
     return {f.__name__: f for f in found}
 
 
@@ -125,6 +141,31 @@ r AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS vec_id, a.label = c.label AS same,
+         CAST(list_dot_product(a.e, c.e) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS r
+  FROM s WHERE same),
+n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score,
+         s.vec_id AS negative_id, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+    AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+  WHERE p.r <= 5)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": _EXACT, "op6_url_filter": _URLS, "op9_top_k": _TOP_K}
+    return {"op2_exact_dedup": _EXACT, "op6_url_filter": _URLS, "op9_top_k": _TOP_K,
+            "op11_hard_negatives": _NEGATIVES}
