@@ -28,6 +28,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ from rillhouse.llm.common import id_and_text, longs, stored, strings
 
 BYTE_BPE, PIECE_BPE = "byte_bpe_50k", "piece_bpe_32k"
 #: A block of documents ends at so many rows, or at so many bytes of text.
-BLOCK_ROWS, BLOCK_BYTES = 1024, 4 << 20
+BLOCK_ROWS, BLOCK_BYTES = 512, 1 << 20
 
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 
@@ -123,11 +124,15 @@ class Aligned:
     """Tokens, groups and links of a slice of documents, laid one behind the other."""
 
     def __init__(self, pair: TokenizerPair, texts: list):
-        ids = [pair.encode(t) for t in texts]
-        self.n_a = np.array([len(a) for a, _ in ids], np.int64)
-        self.n_b = np.array([len(b) for _, b in ids], np.int64)
-        self.a = np.array([i for a, _ in ids for i in a], np.int64)
-        self.b = np.array([i for _, b in ids for i in b], np.int64)
+        a_ids, b_ids = array("q"), array("q")
+        counts = np.zeros((2, len(texts)), np.int64)
+        for row, text in enumerate(texts):
+            a, b = pair.encode(text)
+            a_ids.extend(a)
+            b_ids.extend(b)
+            counts[:, row] = len(a), len(b)
+        self.n_a, self.n_b = counts
+        self.a, self.b = (np.frombuffer(x, np.int64) if x else np.zeros(0, np.int64) for x in (a_ids, b_ids))
         sizes_a, sizes_b = pair.a_sizes[self.a], pair.b_sizes[self.b]
         ends_a, ends_b = np.cumsum(sizes_a), np.cumsum(sizes_b)
         ends = np.concatenate([ends_a, ends_b])
