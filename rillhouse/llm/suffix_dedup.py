@@ -9,17 +9,19 @@ and the bytes it covers are [a - L, a + R).
 
 1. One pass over the texts writes a row per anchor: hash of its k-gram and of its whole
    context (all bytes that windows around it can reach).
-2. Contexts are counted, copies being added up before the shuffle.  A context that stands
+2. K-grams are counted, partial sums first.  Most stand once, and their anchors go no
+   further: everything below touches anchors of repeated k-grams only.
+3. Contexts are counted, copies being added up before the shuffle.  A context that stands
    twice is covered whole: copies of any number end here.
-3. An anchor whose context is unique but whose k-gram is not stands near the border of a
+4. An anchor whose context is unique but whose k-gram is not stands near the border of a
    repeat.  Only these go on: their contexts are sorted, to the right and (reversed) to the
    left of the anchor, by deep-shallow sorting: multikey quicksort to a shallow depth, then
    blind tries for the groups whose long common prefix it has not split.  The prefixes
    shared with neighbours in both orders give, for every offset, which contexts share the
    whole window.
-4. K-grams with very many different contexts (a passage that a large share of all texts
-   hold) would be one huge group.  Their windows are counted by hash instead, with partial
-   sums, over all tasks; the result is the same.
+5. A k-gram with more than ``GROUP`` different contexts (a passage that a large share of all
+   texts hold, each with other text beside it) is no group for one task.  Its windows are
+   counted by hash instead, with partial sums, over all tasks; the result is the same.
 
 The same search runs over words (``cut_passages``): each word becomes ``CODE`` bytes, so a
 passage of n words is a string of ``CODE * n`` bytes whatever its words' lengths and the white
@@ -48,15 +50,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillhouse.llm.common import SLICE_ROWS, longs, partitions, stored, strings
+from rillhouse.llm.common import SLICE_ROWS, dropped, longs, partitions, stored, strings
 
 LENGTH = 400
 #: Window starts handled at once, which bounds a task's memory for very long texts.
 BLOCK = 1 << 17
-#: Different contexts of one k-gram sorted in one task at most: about 100 MB in Python.
-GROUP = 50_000
-#: Contexts sorted together, in whole groups.
-SORTED = 20_000
+#: Different contexts of one k-gram that are sorted in one task at most, and contexts sorted
+#: together, in whole groups.
+GROUP, SORTED = 20_000, 20_000
 #: Bytes that multikey quicksort looks at before blind tries take over.
 SHALLOW = 32
 #: Words that a passage must have to be cut by ``cut_passages``; bytes that stand for a word.
@@ -321,12 +322,15 @@ def keyed(documents: DataFrame) -> DataFrame:
                             F.xxhash64(doc, text).alias("k2"), text.alias("text"))
 
 
-_ANCHOR = "aid bigint, k1 bigint, k2 bigint, at bigint, gram bigint, context bigint, l bigint, r bigint"
+#: ``spot`` holds the anchor's place and, in its low bits, the bytes of context to the right.
+_ANCHOR = "gram bigint, context bigint, doc bigint, spot bigint, k1 bigint, k2 bigint"
+_SPOT_BITS = 20
 
 
 def anchor_rows(rows: DataFrame, length: int, encode: Callable[[str], bytes] = str.encode,
                 least: int | None = None) -> DataFrame:
-    """Anchors of the encoded texts; ``least`` bytes of text are needed for ``length`` encoded ones."""
+    """Anchors of the encoded texts, documents numbered by task; ``least`` bytes of text are
+    needed for ``length`` encoded ones."""
     names = [x.split()[0] for x in _ANCHOR.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,20 +338,16 @@ def anchor_rows(rows: DataFrame, length: int, encode: Callable[[str], bytes] = s
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(start, SLICE_ROWS)
-                keys, out = [[], []], []
-                for k1, k2, text in zip(*(part.column(i).to_pylist() for i in range(3))):
-                    found = anchors(encode(text), length)
-                    if len(found[0]):
-                        out.append(found)
-                        keys[0].append(np.full(len(found[0]), k1))
-                        keys[1].append(np.full(len(found[0]), k2))
-                if out:
-                    columns = [np.concatenate(x) for x in zip(*out)]
-                    n = len(columns[0])
-                    ids = np.arange(number, number + n)
-                    number += n
-                    yield pa.RecordBatch.from_arrays(
-                        [longs(x) for x in (ids, *map(np.concatenate, keys), *columns)], names=names)
+                out, sizes = [], []
+                for text in part.column(2).to_pylist():
+                    at, gram, context, _, right = anchors(encode(text), length)
+                    out.append((gram, context, at << _SPOT_BITS | right))
+                    sizes.append(len(at))
+                docs = np.repeat(np.arange(number, number + len(sizes)), sizes)
+                number += len(sizes)
+                gram, context, spot = (longs(np.concatenate(x)) for x in zip(*out))
+                keys = [longs(np.repeat(part.column(i).to_numpy(), sizes)) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([gram, context, longs(docs), spot, *keys], names=names)
 
     long_enough = rows.filter(F.octet_length("text") >= (length if least is None else least))
     return long_enough.select(*_KEY, "text").mapInArrow(run, _ANCHOR)
@@ -364,16 +364,20 @@ def _with_bytes(rows: DataFrame, wanted: DataFrame, length: int,
     names = [x.split()[0] for x in _CONTEXT.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None
         for batch in batches:
             for i in range(batch.num_rows):
+                key = [batch.column(k)[i].as_py() for k in _KEY]
+                if key == before:
+                    continue  # a repeated row has the same contexts
+                before = key
                 data = encode(batch.column("text")[i].as_py())
                 found = batch.column("a")[i].values
                 for j in range(0, len(found), 5000):
                     some = found.slice(j, 5000)
                     at = some.field("at").to_pylist()
                     columns = [some.field("gram"), some.field("m"), some.field("n"),
-                               *(longs([batch.column(k)[i].as_py()] * len(at)) for k in _KEY),
-                               some.field("at"),
+                               *(longs([k] * len(at)) for k in key), some.field("at"),
                                pa.array([data[max(0, x - w + 1):x] for x in at], pa.binary()),
                                pa.array([data[x:x + length] for x in at], pa.binary())]
                     yield pa.RecordBatch.from_arrays(columns, names=names)
@@ -444,24 +448,32 @@ def _counted_spans(contexts: DataFrame, length: int) -> DataFrame:
 def spans(rows: DataFrame, length: int = LENGTH, group: int = GROUP, *,
           encode: Callable[[str], bytes] = str.encode, least: int | None = None) -> DataFrame:
     """(k1, k2, begin, finish): repeated bytes of documents from ``keyed``; may overlap."""
+    _, w = window_of(length)
     marks = stored(anchor_rows(rows, length, encode, least), "anchors")
-    contexts = stored(marks.groupBy("gram", "context").agg(
-        F.count(F.lit(1)).alias("n"), F.min("aid").alias("aid")), "contexts")
+    owners = stored(marks.select("doc", *_KEY).distinct(), "owners")
+    twice = marks.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    again = stored(marks.select("gram", "context", "doc", "spot")
+                   .join(twice.hint("shuffle_hash"), "gram", "left_semi"), "repeated-anchors")
+    dropped(marks)
+
+    # both firsts come from one row, and contexts that stand once have only one
+    contexts = stored(again.groupBy("gram", "context").agg(
+        F.count(F.lit(1)).alias("n"), F.first("doc").alias("doc"), F.first("spot").alias("spot")), "contexts")
     copies = contexts.filter("n > 1").select("gram", "context")
-    covered = (marks.join(copies, ["gram", "context"], "left_semi").filter(F.col("l") + F.col("r") >= length)
-               .select("k1", "k2", (F.col("at") - F.col("l")).alias("begin"),
-                       (F.col("at") + F.col("r")).alias("finish")))
+    at, right = F.shiftright("spot", _SPOT_BITS), F.col("spot").bitwiseAND((1 << _SPOT_BITS) - 1)
+    left = F.least(F.col("at"), F.lit(w - 1))
+    covered = (again.join(copies, ["gram", "context"], "left_semi")
+               .select("doc", at.alias("at"), right.alias("r")).filter(left + F.col("r") >= length)
+               .select("doc", (F.col("at") - left).alias("begin"), (F.col("at") + F.col("r")).alias("finish"))
+               .join(owners, "doc").select(*_KEY, "begin", "finish").distinct())
     mixed = (contexts.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("fewest"))
              .filter("m > 1 AND fewest = 1").select("gram", "m"))
-    wanted = contexts.join(mixed, "gram").select("aid", "m", "n").join(
-        marks.select("aid", "gram", "k1", "k2", "at"), "aid")
-    near = _with_bytes(rows, wanted, length, encode)
-    largest = mixed.agg(F.max("m")).first()[0] or 0
-    if largest <= group:  # read once: the documents' shuffle then serves the caller's join too
-        return covered.unionByName(_sorted_spans(near, length))
-    near = stored(near, "borders")
-    return (covered.unionByName(_sorted_spans(near.filter(F.col("m") <= group), length))
-            .unionByName(_counted_spans(near.filter(F.col("m") > group), length)))
+    wanted = (contexts.join(mixed, "gram").join(owners, "doc")
+              .select(*_KEY, "gram", "m", "n", at.alias("at")))
+    small = _with_bytes(rows, wanted.filter(F.col("m") <= group), length, encode)
+    large = _with_bytes(rows, wanted.filter(F.col("m") > group), length, encode)
+    return (covered.unionByName(_sorted_spans(small, length))
+            .unionByName(_counted_spans(large, length)))
 
 
 def merged(begins: list[int], finishes: list[int]) -> list[tuple[int, int]]:
@@ -484,44 +496,64 @@ def _kept(data: bytes, cut: list[tuple[int, int]]) -> bytes:
     return b"".join(parts)
 
 
-def _with_spans(rows: DataFrame, length: int) -> DataFrame:
-    found = spans(rows, length).groupBy(*_KEY).agg(
-        F.collect_list("begin").alias("begins"), F.collect_list("finish").alias("finishes"))
-    return rows.join(found, list(_KEY), "left")
+def _word_spans(rows: DataFrame, words: int) -> DataFrame:
+    """(k1, k2, begin, finish): words of passages that repeat, numbered from 0."""
+    found = spans(rows, CODE * words, encode=word_codes, least=words)
+    # part of a code may be shared by chance: only whole ones are words
+    return found.select(*_KEY, F.expr(f"({CODE - 1} + begin) div {CODE}").alias("begin"),
+                        F.expr(f"finish div {CODE}").alias("finish")).filter("begin < finish")
+
+
+def _collected(found: DataFrame, name: str) -> DataFrame:
+    return found.groupBy(*_KEY).agg(F.collect_list(F.struct("begin", "finish")).alias(name))
 
 
-def repeated_spans(documents: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans for every row."""
+def repeated_spans(documents: DataFrame, length: int = LENGTH, words: int = PASSAGE) -> DataFrame:
+    """Every row's repeated bytes and, beside them, its repeated passages: doc_id, n_bytes,
+    n_removed, n_spans, kept_sha256, spans, then n_passages (runs of repeated passages of
+    ``words`` words or more) and n_passage_words (their words)."""
     schema = ("doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, "
-              "spans array<struct<begin:bigint,finish:bigint>>")
+              "spans array<struct<begin:bigint,finish:bigint>>, n_passages bigint, n_passage_words bigint")
     kind = pa.list_(pa.struct([("begin", pa.int64()), ("finish", pa.int64())]))
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"]
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "n_passages", "n_passage_words"]
+
+    def runs(found: list | None) -> list[tuple[int, int]]:
+        return merged([x["begin"] for x in found or []], [x["finish"] for x in found or []])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
                 part, out = batch.slice(start, SLICE_ROWS), [[] for _ in names]
-                for doc, text, begins, finishes in zip(*(c.to_pylist() for c in part.columns)):
-                    data, cut = text.encode(), merged(begins or [], finishes or [])
+                for doc, text, in_bytes, in_words in zip(*(c.to_pylist() for c in part.columns)):
+                    data, cut, passages = text.encode(), runs(in_bytes), runs(in_words)
                     row = (doc, len(data), sum(b - a for a, b in cut), len(cut),
                            hashlib.sha256(_kept(data, cut)).hexdigest(),
-                           [{"begin": a, "finish": b} for a, b in cut])
+                           [{"begin": a, "finish": b} for a, b in cut],
+                           len(passages), sum(b - a for a, b in passages))
                     for column, value in zip(out, row):
                         column.append(value)
                 yield pa.RecordBatch.from_arrays(
-                    [*map(longs, out[:4]), strings(out[4]), pa.array(out[5], kind)], names=names)
+                    [*map(longs, out[:4]), strings(out[4]), pa.array(out[5], kind), *map(longs, out[6:])],
+                    names=names)
 
-    rows = _with_spans(keyed(documents), length)
-    return rows.select("doc_id", "text", "begins", "finishes").mapInArrow(run, schema)
+    rows = keyed(documents)
+    tagged = spans(rows, length).withColumn("words", F.lit(False)).unionByName(
+        _word_spans(rows, words).withColumn("words", F.lit(True)))
+    place = F.struct("begin", "finish")
+    found = tagged.groupBy(*_KEY).agg(
+        F.collect_list(F.when(~F.col("words"), place)).alias("in_bytes"),
+        F.collect_list(F.when(F.col("words"), place)).alias("in_words"))
+    return (rows.join(found, list(_KEY), "left").select("doc_id", "text", "in_bytes", "in_words")
+            .mapInArrow(run, schema))
 
 
 def _kept_words(text: str, cut: list[tuple[int, int]]) -> str:
-    """The text without the words whose codes are in a span."""
+    """The text without the words in a span."""
     places = [m.span() for m in WORD.finditer(text)]
     at, parts = 0, []
     for a, b in cut:
-        parts.append(text[at:places[a // CODE][0]])
-        at = places[b // CODE - 1][1]
+        parts.append(text[at:places[a][0]])
+        at = places[b - 1][1]
     parts.append(text[at:])
     return "".join(parts)
 
@@ -530,27 +562,33 @@ def _kept_bytes(text: str, cut: list[tuple[int, int]]) -> str:
     return _kept(text.encode(), cut).decode(errors="ignore")
 
 
-def _cut(documents: DataFrame, found: DataFrame, kept: Callable[[str, list[tuple[int, int]]], str]) -> DataFrame:
+def _cut(documents: DataFrame, find: Callable[[DataFrame], DataFrame],
+         kept: Callable[[str, list[tuple[int, int]]], str]) -> DataFrame:
+    """The documents, with what was found cut out.  Their columns travel in one struct, so no
+    name of theirs can clash."""
     @F.pandas_udf("string")
     def cut(texts: pd.Series, begins: pd.Series, finishes: pd.Series) -> pd.Series:
         return pd.Series([kept(t, merged(list(a), list(b)))
                           for t, a, b in zip(texts, begins, finishes)], dtype=object)
 
-    found = found.groupBy(*_KEY).agg(
-        F.collect_list("begin").alias("_begins"), F.collect_list("finish").alias("_finishes"))
-    found = found.withColumnsRenamed({"k1": "_k1", "k2": "_k2"})
+    found = _collected(find(keyed(documents)), "found")
     text, doc = F.coalesce(F.col("text"), F.lit("")), F.col("doc_id").cast("bigint")
-    rows = documents.withColumns({"_k1": F.coalesce(doc, F.lit(-1)), "_k2": F.xxhash64(doc, text)})
-    joined = rows.join(found, ["_k1", "_k2"], "left")
-    shorter = F.when(F.col("_begins").isNotNull(), cut(
-        text, F.coalesce("_begins", F.array().cast("array<bigint>")),
-        F.coalesce("_finishes", F.array().cast("array<bigint>")))).otherwise(F.col("text"))
-    return joined.withColumn("text", shorter).select(*documents.columns)
+    others = [F.col(f"`{c}`") for c in documents.columns if c != "text"]
+    rows = documents.select(F.coalesce(doc, F.lit(-1)).alias("k1"), F.xxhash64(doc, text).alias("k2"),
+                            F.col("text").alias("whole"), F.struct(*others).alias("row"))
+    joined = rows.join(found, list(_KEY), "left")
+    shorter = F.when(F.col("found").isNotNull(), cut(
+        F.coalesce(F.col("whole"), F.lit("")),
+        *(F.coalesce(F.col(f"found.{x}"), F.array().cast("array<bigint>")) for x in ("begin", "finish"))
+    )).otherwise(F.col("whole"))
+    cut_text = joined.select("row", shorter.alias("text"))
+    return cut_text.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c)
+                             for c in documents.columns])
 
 
 def cut_documents(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     """The documents with repeated bytes taken out of their texts and all columns kept."""
-    return _cut(documents, spans(keyed(documents), length), _kept_bytes)
+    return _cut(documents, lambda rows: spans(rows, length), _kept_bytes)
 
 
 def cut_passages(documents: DataFrame, words: int = PASSAGE) -> DataFrame:
@@ -558,8 +596,4 @@ def cut_passages(documents: DataFrame, words: int = PASSAGE) -> DataFrame:
 
     What stays keeps its own white space; all columns are kept.
     """
-    found = spans(keyed(documents), CODE * words, encode=word_codes, least=words)
-    # part of a code may be shared by chance: only whole ones are words
-    found = found.select(*_KEY, F.expr(f"({CODE - 1} + begin) div {CODE} * {CODE}").alias("begin"),
-                         F.expr(f"finish div {CODE} * {CODE}").alias("finish")).filter("begin < finish")
-    return _cut(documents, found, _kept_words)
+    return _cut(documents, lambda rows: _word_spans(rows, words), _kept_words)

@@ -50,3 +50,61 @@ def test_text_without_spaces_counts_characters(spark):
     shared = "".join(chr(rng.randint(0x4e00, 0x9000)) for _ in range(60))
     rows = [(d, "".join(chr(rng.randint(0x4e00, 0x9000)) for _ in range(40)) + shared) for d in range(2)]
     assert stage(spark, rows) == {d: [t[:40]] for d, t in rows}
+
+
+def brute_counts(rows, n=51):
+    """(runs of repeated passages, their words) per document."""
+    out = {}
+    for d, kept in brute(rows, n).items():
+        words = next((t or "") for x, t in rows if x == d).split()
+        out[d] = len(words) - len(kept)
+    return out
+
+
+def test_query_counts_passages_beside_bytes(spark):
+    """Passages of 51 words that 400 bytes do not reach show in the added columns."""
+    from rillhouse.llm.suffix_dedup import repeated_spans
+
+    rng = random.Random(12)
+    passage = prose(rng, 51, 3)
+    rows = [(d, " ".join(prose(rng, 20 + d) + (passage if d % 3 == 0 else []) + prose(rng, 9))) for d in range(12)]
+    rows += [(20, None), (21, ""), (22, " ".join(["y"] * 200))]
+    found = {r.doc_id: r for r in repeated_spans(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    want = brute_counts(rows)
+    assert {d: r.n_passage_words for d, r in found.items()} == want
+    assert all(found[d].n_passages == (want[d] > 0) for d in want)
+    assert all(found[d].n_removed == 0 and want[d] == 51 for d in range(0, 12, 3))
+
+
+def test_very_many_equal_rows(spark):
+    """10,000 equal rows, with and without an id, and one more text that holds theirs."""
+    from rillhouse.llm.suffix_dedup import cut_passages, repeated_spans
+
+    rng = random.Random(13)
+    text, other = " ".join(prose(rng, 200, 6)), " ".join(prose(rng, 90, 6))
+    rows = [(None, text)] * 6000 + [(7, text)] * 4000 + [(8, other + " " + text), (9, other[:100])]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = repeated_spans(frame).groupBy("doc_id", "n_removed", "n_spans", "n_passage_words").count().collect()
+    assert sorted(map(tuple, found), key=repr) == sorted(
+        [(None, len(text), 1, 200, 6000), (7, len(text), 1, 200, 4000), (8, len(text), 1, 200, 1), (9, 0, 0, 0, 1)], key=repr)
+    kept = cut_passages(frame).groupBy("text").count().collect()
+    assert sorted(map(tuple, kept)) == sorted([("", 10000), (other + " ", 1), (other[:100], 1)])
+
+
+def test_extra_columns_keep_their_names(spark):
+    from pyspark.sql import functions as F
+
+    from rillhouse.llm.suffix_dedup import cut_documents, cut_passages
+
+    rng = random.Random(14)
+    shared = " ".join(prose(rng, 150, 6))
+    frame = spark.createDataFrame([(1, "a " + shared), (2, shared + " b"), (3, None)], "doc_id bigint, text string")
+    names = ["_k1", "k1", "k2", "found", "row", "whole", "begin", "_begins", "a.b"]
+    for name in names:
+        frame = frame.withColumn(name, F.lit(f"value of {name}"))
+    for cut in (cut_documents, cut_passages):
+        got = cut(frame)
+        assert got.columns == frame.columns
+        rows = got.collect()
+        assert {r.doc_id: (r.text or "").strip() for r in rows} == {1: "a", 2: "b", 3: ""}
+        assert all(r[n] == f"value of {n}" for r in rows for n in names)
