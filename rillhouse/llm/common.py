@@ -26,21 +26,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Folders that ``stored`` has written, in this order.
+_folders: list[str] = []
+
+
 def stored(rows: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: evaluated once, lineage cut, and
     still there when an executor is lost."""
     spark = rows.sparkSession
     path = scratch_path(spark, name)
     rows.write.parquet(path)
+    _folders.append(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def dropped(rows: DataFrame) -> None:
     """Delete what ``stored`` wrote, once nothing reads it any more."""
-    spark = rows.sparkSession
     for folder in {name.rsplit("/", 1)[0] for name in rows.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(rows.sparkSession, folder)
+
+
+def stored_result(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """``stored`` for what ``make`` returns; everything that it stored on its way is deleted."""
+    since = len(_folders)
+    result = stored(make(), name)
+    for folder in _folders[since:-1]:
+        _delete(result.sparkSession, folder)
+    del _folders[since:-1]
+    return result
 
 
 def partitions(spark: SparkSession) -> int:

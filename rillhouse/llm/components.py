@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillhouse.llm.common import stored
+from rillhouse.llm.common import dropped, stored
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -42,6 +42,7 @@ def components(links: DataFrame) -> DataFrame:
     now = stored(links.distinct(), "links")
     before, state = None, _state(now)
     while state != before:
-        now = stored(_small_star(_large_star(now)), "links")
+        old, now = now, stored(_small_star(_large_star(now)), "links")
+        dropped(old)
         before, state = state, _state(now)
     return now.select(F.col("hi").alias("node"), F.col("lo").alias("root"))

@@ -183,35 +183,40 @@ def duplicate_groups(snapshot: DataFrame, incoming: DataFrame) -> DataFrame:
     return joined.select("key", "sha", "size", "n", "best.*").unionByName(fresh)
 
 
+def _judged(documents: DataFrame, incoming_share: int) -> DataFrame:
+    """The digest rows with the size of their group and the row that stays."""
+    rows = digest_rows(documents)
+    batch = F.pmod(F.xxhash64("doc", F.lit("batch")), F.lit(incoming_share)) == 0
+    groups = duplicate_groups(rows.filter(~batch), rows.filter(batch)).select(
+        "key", "sha", "size", F.col("n").alias("group_size"), F.col("doc").alias("keep_id"),
+        F.col("rid").alias("keep_rid"))
+    return rows.join(groups, ["key", "sha", "size"]).withColumn("kept", F.col("rid") == F.col("keep_rid"))
+
+
 def exact_dedup(documents: DataFrame, incoming_share: int = 4) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for every row.
 
     One row in ``incoming_share`` (by a hash of its id) plays the new batch, all others
     the snapshot; the groups do not depend on that share.
     """
-    rows = digest_rows(documents)
-    batch = F.pmod(F.xxhash64("doc", F.lit("batch")), F.lit(incoming_share)) == 0
-    groups = duplicate_groups(rows.filter(~batch), rows.filter(batch)).select(
-        "key", "sha", "size", F.col("n").alias("group_size"), F.col("doc").alias("keep_id"),
-        F.col("rid").alias("keep_rid"))
-    return rows.join(groups, ["key", "sha", "size"]).select(
-        F.col("doc").alias("doc_id"), "keep_id", "group_size",
-        (F.col("rid") == F.col("keep_rid")).alias("kept"), F.col("sha").alias("text_sha256"))
-
-
-def deduplicated(documents: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns; equal rows stay once."""
-    kept = exact_dedup(documents).filter("kept").select(
-        F.col("doc_id").alias("_keep_doc"), F.col("text_sha256").alias("_keep_sha"))
-    sha = F.sha2(normalised(F.col("text")).cast("binary"), 256)
-    rows = documents.withColumn("_row_sha", sha)
-    # a row of the same id and normalised text, but shorter, is not the one that stays
-    longest = F.max(F.length(F.coalesce("text", F.lit("")))).alias("_row_chars")
-    size = rows.groupBy("doc_id", "_row_sha").agg(longest)
-    one = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("_keep_doc"))
-                    & (F.col("_row_sha") == F.col("_keep_sha")), "left_semi")
-    one = one.join(size.withColumnsRenamed({"doc_id": "_size_doc", "_row_sha": "_size_sha"}),
-                   F.col("doc_id").eqNullSafe(F.col("_size_doc"))
-                   & (F.col("_row_sha") == F.col("_size_sha"))
-                   & (F.length(F.coalesce("text", F.lit(""))) == F.col("_row_chars")))
-    return one.dropDuplicates(["doc_id", "_row_sha"]).select(*documents.columns)
+    return _judged(documents, incoming_share).select(
+        F.col("doc").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256"))
+
+
+def deduplicated(documents: DataFrame, incoming_share: int = 4) -> DataFrame:
+    """The documents that stay, with all their columns; equal rows stay once.
+
+    The columns travel in one struct, so no name of theirs can clash.  Texts are shuffled
+    once: equal rows are reduced before that, and what stays is chosen on the same keys.
+    """
+    same = ["doc", "noid", "sha", "less"]
+    kept = _judged(documents, incoming_share).filter("kept").select(*same)
+    doc = F.col("doc_id").cast("bigint")
+    rows = documents.select(
+        F.coalesce(doc, F.lit(0)).alias("doc"), doc.isNull().alias("noid"),
+        F.sha2(normalised(F.col("text")).cast("binary"), 256).alias("sha"),
+        (-F.length(F.coalesce("text", F.lit(""))).cast("bigint")).alias("less"),
+        F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+    one = rows.groupBy(*same).agg(F.first("row").alias("row"))
+    return (one.join(kept.withColumn("doc", F.coalesce("doc", F.lit(0))), same, "left_semi")
+            .select(*[F.col("row").getField(c).alias(c) for c in documents.columns]))

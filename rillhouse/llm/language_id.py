@@ -18,11 +18,11 @@ Defined results
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -37,7 +37,7 @@ WINDOW, WIDTHS, FILTERS, EMBEDDING = 256, (2, 3, 4), 12, 8
 BATCH = 64
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def windows_of(data: bytes) -> np.ndarray:
@@ -228,3 +228,11 @@ def with_language(documents: DataFrame, net: ByteConvNet | None, name: str = "_l
         return pd.DataFrame({"lang": names, "score": scores})
 
     return documents.withColumn(name, judge(F.col("text")))
+
+
+def recognised(documents: DataFrame, net: ByteConvNet | None) -> DataFrame:
+    """The documents that are not ``UNKNOWN``, with all their columns, whatever their names."""
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
+    judged = with_language(documents.select(row, F.col("text")), net, "judged")
+    return judged.filter(F.col("judged.lang") != UNKNOWN).select(
+        *[F.col("row").getField(c).alias(c) for c in documents.columns])

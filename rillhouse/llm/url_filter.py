@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillhouse.llm.common import longs, map_slices, strings
+from rillhouse.llm.common import dropped, longs, map_slices, stored, strings
 
 #: False positives of the first level, and of each later one.
 FIRST_RATE, LATER_RATE = 2.0 ** -10, 0.5
@@ -119,11 +119,11 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), "^(?s).*?://[^/?#]*([^?#]*)", 1)
 
 
-def candidate_keys(host: str, path: str, lengths: list[int]) -> list[str]:
-    """Host suffixes with path prefixes, longest first."""
+def candidate_keys(host: str, path: str, lengths: list[int], most: int) -> list[str]:
+    """Host suffixes of at most ``most`` labels with path prefixes, longest first."""
     if not host:
         return []
-    labels = host.split(".")
+    labels = host.rsplit(".", most)[-most:]
     hosts = [".".join(labels[i:]) for i in range(len(labels))]
     keys = [h + path[:n] for h in hosts for n in lengths if len(path) >= n]
     return sorted(keys, key=lambda k: (-len(k), k))
@@ -138,28 +138,29 @@ def filter_urls(pages: DataFrame, block: list[tuple[str, str]], allow: list[tupl
     blocked = {h + p for h, p in block}
     allowed = {h + p for h, p in allow} - blocked
     lengths = sorted({len(p) for _, p in (*block, *allow)})
+    most = max((h.count(".") + 1 for h, _ in (*block, *allow)), default=1)  # longer suffixes fit no rule
     urls = pages.select(F.col("page_id").cast("bigint").alias("page_id"),
                         host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
 
     def keys_of():
         def work(hosts, paths):
-            found = [candidate_keys(h, p, lengths) for h, p in zip(hosts, paths)]
+            found = [candidate_keys(h, p, lengths, most) for h, p in zip(hosts, paths)]
             return [pa.array(found, pa.list_(pa.string()))]
         return work
 
     heads = urls.select("host", F.substring("path", 1, max(lengths, default=0)).alias("path"))
     keys = map_slices(heads.distinct(), keys_of, "keys array<string>")
     universe = keys.select(F.explode("keys").alias("key")).distinct()
-    if not lengths:
-        universe = universe.limit(0)
+    universe = stored(universe if lengths else universe.limit(0), "universe")
     blocks, allows = (build_cascade(sorted(x), universe) for x in (blocked, allowed))
+    dropped(universe)
 
     def judge():
         def work(ids, hosts, paths):
             rules, verdicts = [], []
             for h, p in zip(hosts, paths):
                 rule, verdict = None, default
-                for key in candidate_keys(h, p, lengths):
+                for key in candidate_keys(h, p, lengths, most):
                     if key in blocks:
                         rule, verdict = key, "block"
                     elif key in allows:

@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rillhouse.llm import entries, html_text, simhash, top_k, url_filter
+from rillhouse.llm import (
+    common, entries, html_text, language_id, suffix_dedup, top_k, url_filter,
+)
 
 # ------------------------------------------------------------------ main text
 
@@ -167,26 +169,111 @@ def test_top_k_with_few_rows(spark):
 
 # ------------------------------------------------------------------ pipeline
 
+def shingles(text, n=5):
+    words = re.findall(r"[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(words[i:i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
+
+
+def brute_near(rows):
+    """Ids that stay: the smallest one of each group that similarities of 0.8 link."""
+    sets = [shingles(r.text) for r in rows]
+    root = list(range(len(rows)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and 5 * len(a & sets[j]) >= 4 * len(a | sets[j]):
+                root[top(i)] = top(j)
+    groups = {}
+    for i, r in enumerate(rows):
+        groups.setdefault(top(i), []).append((r.doc_id is None, r.doc_id))
+    return sorted(min(g) for g in groups.values())
+
+
+def brute_passages(rows, n=51):
+    """Texts as words without repeated passages."""
+    seen, gone = {}, set()
+    words = {r.doc_id: suffix_dedup.WORD.findall(r.text) for r in rows}
+    for d, w in words.items():
+        for i in range(len(w) - n + 1):
+            seen.setdefault(tuple(w[i:i + n]), []).append((d, i))
+    for places in seen.values():
+        if len(places) > 1:
+            gone |= {(d, j) for d, i in places for j in range(i, i + n)}
+    return {d: [x for j, x in enumerate(w) if (d, j) not in gone] for d, w in words.items()}
+
+
 def test_pipeline_stages(spark):
+    """Each stage against a brute-force version over what the one before it kept."""
     sf_dir = "/root/testdata/sf0.001"
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    passage = " ".join(f"word{i}" for i in range(60))
     extra = spark.createDataFrame(
-        [(9001, "12 34", "en", "s", 5), (9002, None, None, None, None), (None, "words here", "en", "s", 10)], rows.schema)
+        [(9001, "12 34", "en", "s", 5), (9002, None, None, None, None), (None, "words here", "en", "s", 10),
+         (9003, "½ ² ①", "en", "s", 5), (9004, " ".join(f"before{i}" for i in range(40)) + " " + passage, "en", "s", 1),
+         (9005, passage + " " + " ".join(f"after{i}" for i in range(40)), "en", "s", 1),
+         (9006, " ".join(f"near{i}" for i in range(80)), "en", "s", 1),
+         (9007, " ".join(f"near{i}" for i in range(78)), "en", "s", 1)], rows.schema)
     docs = rows.unionByName(rows.limit(5)).unionByName(extra)
-    kept = {}
+    kept, given = {}, {}
     for name, stage in corpus_pipeline.STAGES:
-        before, docs = docs, corpus_pipeline.stored(stage(spark, docs, sf_dir), "test-stage")
-        kept[name] = docs
+        before, docs = docs, common.stored(stage(spark, docs, sf_dir), "test-stage")
+        given[name], kept[name] = before.collect(), docs.collect()
         if name != "best_fit_packing":
             assert docs.columns == before.columns
-    ids = [r.doc_id for r in kept["language_id"].collect()]
-    assert 9001 not in ids and 9002 not in ids and None in ids and len(ids) == rows.count() + 6
-    texts = [re.sub("[\x20\x09-\x0d]", "", r.text) for r in kept["exact_dedup"].collect()]
-    assert len(set(texts)) == len(texts)
-    prints = [simhash.fingerprint(r.text) for r in kept["simhash_near_dedup"].collect()]
-    assert all(bin(a ^ b).count("1") > 3 for i, a in enumerate(prints) for b in prints[:i])
-    cut = {r.doc_id: r.text for r in kept["suffix_array_dedup"].collect()}
-    assert set(cut) == {r.doc_id for r in kept["simhash_near_dedup"].collect()}
-    assert {r.doc_id for r in kept["best_fit_packing"].collect()} == set(cut)
+    ids = [r.doc_id for r in kept["language_id"]]
+    assert not {9001, 9002, 9003} & set(ids) and None in ids and len(ids) == rows.count() + 5 + 5
+
+    def plain(r):
+        return re.sub("[\x20\x09-\x0d]", "", r.text or "")
+
+    best = {}
+    for r in given["exact_dedup"]:
+        best[plain(r)] = min(best.get(plain(r), (1, True, 0)), (-len(r.text), r.doc_id is None, r.doc_id or 0))
+    assert sorted((-len(r.text), r.doc_id is None, r.doc_id or 0) for r in kept["exact_dedup"]) == sorted(best.values())
+    near = brute_near(given["simhash_near_dedup"])
+    assert sorted((r.doc_id is None, r.doc_id) for r in kept["simhash_near_dedup"]) == near
+    assert 9006 in {d for _, d in near} and 9007 not in {d for _, d in near}
+    cut = {r.doc_id: suffix_dedup.WORD.findall(r.text) for r in kept["suffix_array_dedup"]}
+    want = brute_passages(given["suffix_array_dedup"])
+    assert cut == want and not any("word5" in w for w in want.values())
+    assert sum(map(len, want.values())) < sum(len(suffix_dedup.WORD.findall(r.text)) for r in given["suffix_array_dedup"])
+    assert {r.doc_id for r in kept["best_fit_packing"]} == set(cut)
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "language_id", "exact_dedup", "simhash_near_dedup", "suffix_array_dedup", "best_fit_packing"]
+
+
+def test_pipeline_run_and_clashing_columns(spark, tmp_path):
+    """run() leaves only its result behind, and columns named like the library's own stay."""
+    from pathlib import Path
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(40)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    written = len(common._folders)
+    packed = corpus_pipeline.run(spark, str(tmp_path))
+    assert packed.count() > 0
+    left = [f for f in common._folders[written:] if Path(f.removeprefix("file:")).exists()]
+    assert [f.rsplit("/", 1)[1].rsplit("-", 1)[0] for f in left] == ["pipeline-best_fit_packing"]
+    for name in ("_language", "judged", "_keep_doc", "row", "sha", "less", "found", "k1", "node"):
+        docs = docs.withColumn(name, F.lit(name))
+    rows = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        rows = common.stored(stage(spark, rows, ""), "clash")
+    assert rows.columns == docs.columns
+    assert all(r[c] == c for r in rows.collect() for c in docs.columns[5:])
+
+
+def test_letters_are_letters_only():
+    for text in ("²", "½", "①", "Ⅷ", "_", "12", ""):
+        assert not language_id._LETTER.search(text)
+    for text in ("a", "é", "ß", "日", "ʰ", "ǅ"):
+        assert language_id._LETTER.search(text)
+
+
+def test_hosts_of_very_many_labels():
+    keys = url_filter.candidate_keys(".".join(["a"] * 100_000), "/de/x", [1, 4], 2)
+    assert keys == ["a.a/de/", "a/de/", "a.a/", "a/"]
