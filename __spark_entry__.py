@@ -14,13 +14,16 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from rillhouse.feeds import derive  # noqa: E402
 from rillhouse.functions import date_label, second_label  # noqa: E402
-from rillhouse.operators import changes, dims, facts, gate, logs, replay, windows  # noqa: E402
+from rillhouse.operators import (  # noqa: E402
+    changes, dims, facts, gate, handover, lateness, logs, replay, windows,
+)
 from rillhouse.plans import ads, dashboard, pipeline, tables  # noqa: E402
 from rillhouse.session import scratch_path  # noqa: E402
 from rillhouse.sources.schemas import (  # noqa: E402
     DWD_FIELDS, DWD_ROUTES, FACT_FIELDS, LOG_ROUTES, WINDOW_TABLES, window_schema,
 )
-from rillhouse.streaming import fact_state, jobs, sinks  # noqa: E402
+from rillhouse.streaming import fact_state, jobs, sinks, window_state  # noqa: E402
+from rillhouse.streaming.batch_store import BatchStore  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 SKU, PROVINCE, TRAFFIC = dashboard.SKU, dashboard.PROVINCE, dashboard.TRAFFIC
@@ -116,9 +119,12 @@ def _detail_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.filter(F.col("route") == DWD_ROUTES["order_status_log"]).select("value")
 
 
-def _display_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = logs.log_text(_judged_logs(spark, sf_dir))
-    return rows.filter(F.col("route") == LOG_ROUTES["display"]).select("value")
+def _item_text(kind: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = logs.log_text(_judged_logs(spark, sf_dir))
+        return rows.filter(F.col("route") == LOG_ROUTES[kind]).select("value")
+
+    return query
 
 
 # ------------------------------------------------------------------ order-detail fact
@@ -230,6 +236,27 @@ def _page_view_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
         "stage", "reason", "seq")
 
 
+def _timed_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page views that arrive out of order, judged row by row."""
+    views = pipeline.page_views(derive.delayed_log_text(_tables(spark, sf_dir)))
+    return lateness.with_lateness(views, ["arrival_ts", "seq"])
+
+
+def _late_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _timed_views(spark, sf_dir).filter("late").select(
+        "seq", F.unix_seconds("event_ts").alias("event_second"), F.unix_seconds("watermark").alias("watermark_second"))
+
+
+def _exact_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain(windows.traffic_windows(_timed_views(spark, sf_dir).filter("NOT late"), with_ts=False))
+
+
+def _handover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _tables(spark, sf_dir)
+    return handover.stitched(derive.order_snapshot(t), derive.order_chunks(t), derive.order_changes(t),
+                             F.expr(f"key DIV {derive.CHUNK}"))
+
+
 # ------------------------------------------------------------------ from change text to reports
 
 def _text_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,7 +284,7 @@ def _e2e_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ stored window tables
 
-_stored: dict[tuple, dict[str, str]] = {}
+_stored: dict[tuple, BatchStore] = {}
 
 
 def _input_state(spark: SparkSession, sf_dir: str) -> tuple:
@@ -270,20 +297,22 @@ def _input_state(spark: SparkSession, sf_dir: str) -> tuple:
 
 
 def stored_windows(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    """The window tables as stored tables, which is what the reports read.
+    """The newest day of the window tables, which is what the reports read.
 
-    Each is written once per application and input, partitioned by day, into the
-    shared folder; reports then prune to the newest day.
+    Each table is written once per application and input, by day, into a store in the
+    shared folder, whose commit is the index of days.
     """
     key = (spark.sparkContext.applicationId, sf_dir, _input_state(spark, sf_dir))
-    paths = _stored.setdefault(key, {})
+    if key not in _stored:
+        _stored[key] = BatchStore(spark, scratch_path(spark, "windows"))
+    store = _stored[key]
     for name in names:
-        if name not in paths:
-            path = scratch_path(spark, name)
-            tables.write_windows(_window_rows(name, spark, sf_dir), path)
-            paths[name] = path
-    return {n: spark.read.schema(window_schema(n, with_ts=False)).parquet(paths[n])
-            for n in names}
+        last = store.last()
+        if name not in last["tables"]:
+            turn = store.begin(last["batch"] + 1)
+            turn.append(name, _window_rows(name, spark, sf_dir), by="cur_date")
+            turn.commit()
+    return {n: store.table(n, window_schema(n, with_ts=False), store.days(n)[-1:]) for n in names}
 
 
 def _view(name: str) -> Query:
@@ -351,11 +380,9 @@ def _dim_user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 SLICES = 5
 
 
-def _run(spark: SparkSession, writer, checkpoint: str, stateful: bool = False) -> None:
+def _run(spark: SparkSession, writer, checkpoint: str) -> None:
     """Work off what is there and stop."""
-    query = (sinks.start_stateful(spark, writer, checkpoint, once=True) if stateful
-             else sinks.start(writer, checkpoint, once=True))
-    query.awaitTermination()
+    sinks.start(writer, checkpoint, once=True).awaitTermination()
 
 
 def _checkpoint(spark: SparkSession, name: str) -> str:
@@ -435,37 +462,80 @@ def _stream_trade(table: str, job: Callable) -> Query:
 
 
 def _stream_fact(upto: str) -> Query:
-    """The chained joins, one job per join, each with its own checkpoint; facts go from job
-    to job as text."""
+    """The chained joins as one job over the detail streams, with its state in snapshots."""
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        feeds = [_Replay(rows, F.unix_seconds("arrival_ts"))
-                 for rows in _inputs(_tables(spark, sf_dir))][:2 if upto == "base" else 4]
-        names = ["base", "activity", "coupon"][:len(feeds) - 1]
-        paths = [scratch_path(spark, name) for name in names]
-        checkpoints = [_checkpoint(spark, name) for name in names]
-        for _ in _slices(feeds):
-            streams = [feed.stream() for feed in feeds]
-            _run(spark, jobs.fact_base_job(*streams[:2], sinks.files(paths[0])), checkpoints[0], stateful=True)
-            joins = (fact_state.activity_stream, fact_state.coupon_stream)
-            for i, (join, side) in enumerate(zip(joins, streams[2:])):
-                before = spark.readStream.schema(jobs.TEXT).parquet(paths[i])
-                job = jobs.fact_promotion_job(before, side, join, sinks.files(paths[i + 1]))
-                _run(spark, job, checkpoints[i + 1], stateful=True)
-        return _fact_columns(windows.read_facts(_files_of(spark, paths[-1], jobs.TEXT)))
+        t = _tables(spark, sf_dir)
+        inputs = {"order_detail": derive.details(t), "order_info": derive.orders(t),
+                  "order_detail_activity": derive.activities(t), "order_detail_coupon": derive.coupons(t)}
+        feed = _Replay(derive.as_detail_text(inputs), F.unix_seconds("arrival_ts"))
+        store = BatchStore(spark, scratch_path(spark, "facts"))
+        checkpoint = _checkpoint(spark, "facts")
+        for _ in _slices([feed]):
+            _run(spark, jobs.fact_job(feed.stream(), store, upto=upto), checkpoint)
+        return _fact_columns(store.table(upto, fact_state.FACT_TABLE))
 
     return query
 
 
+def _stream_outputs(make: Callable, text: Callable, second: Callable, kind: Callable) -> Query:
+    """A window job's outputs from one pass: closed windows, rejected and late rows."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        feed = _Replay(text(spark, sf_dir), second())
+        partials = kind()
+        store = BatchStore(spark, scratch_path(spark, partials.table))
+        checkpoint = _checkpoint(spark, partials.table)
+        for _ in _slices([feed]):
+            _run(spark, jobs.window_job(make(feed.stream()), store, partials), checkpoint)
+        dirty = store.table(fact_state.DIRTY, fact_state.DIRTY_TABLE).select("stage", "reason")
+        late = store.table(window_state.LATE, window_state.LATE_TABLE).select(
+            F.lit(partials.stage).alias("stage"), F.lit("late").alias("reason"))
+        closed = store.table(partials.table, window_schema(partials.table)).select(
+            F.lit(partials.table).alias("stage"), F.concat_ws(" ", "cur_date", F.date_format("stt", "HH:mm:ss")).alias("reason"))
+        return closed.unionByName(dirty).unionByName(late).groupBy("stage", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+    return query
+
+
+def _traffic_stream(rows: DataFrame) -> DataFrame:
+    return logs.log_stream(logs.split_logs(pipeline.gated(rows)), "page").drop("item")
+
+
+_sku_outputs = _stream_outputs(
+    windows.read_facts, lambda spark, sf_dir: facts.fact_text(_fact(spark, sf_dir)),
+    lambda: F.unix_seconds(F.get_json_object("value", "$.create_time").cast("timestamp")),
+    lambda: window_state.sku("event"))
+_traffic_outputs = _stream_outputs(
+    _traffic_stream, lambda spark, sf_dir: derive.log_text(_tables(spark, sf_dir)),
+    lambda: F.unix_seconds("arrival_ts"), window_state.traffic)
+
+
+def _dim_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of dimension rows and of their configuration as one stream."""
+    rows = derive.dim_text(_tables(spark, sf_dir)).withColumn("route", F.lit("ods_db"))
+    return rows.unionByName(derive.config_text(spark).withColumn("route", F.lit(jobs.CONFIG_ROUTE)))
+
+
 def _stream_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The configuration grows from batch to batch, as far as its events have arrived."""
-    feed = _Replay(derive.dim_text(_tables(spark, sf_dir)), F.unix_seconds("arrival_ts"))
-    path, checkpoint = scratch_path(spark, "cells"), _checkpoint(spark, "cells")
-    for end in _slices([feed]):
-        known = _config(spark).filter(F.unix_seconds("arrival_ts") < end)
-        _run(spark, jobs.dim_job(feed.stream(), lambda k=known: k, path), checkpoint)
-    log = _files_of(spark, path, "sink_table string, row_key string, family string, "
-                    "`column` string, cell string, arrival_ts timestamp, seq string")
-    return _cell_columns(dims.fold_cells(log))
+    """The configuration arrives with the changes and grows from batch to batch."""
+    feed = _Replay(_dim_feed(spark, sf_dir), F.unix_seconds("arrival_ts"))
+    store, checkpoint = BatchStore(spark, scratch_path(spark, "cells")), _checkpoint(spark, "cells")
+    for _ in _slices([feed]):
+        _run(spark, jobs.dim_job(feed.stream(), store), checkpoint)
+    return _cell_columns(jobs.current_cells(store))
+
+
+def _dims_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The configuration first, then the changes in five batches, the latest ones first: a
+    cell that comes after a later delete of its row stays dead."""
+    rows = _dim_feed(spark, sf_dir)
+    store = BatchStore(spark, scratch_path(spark, "cells"))
+    write = jobs.dim_batches(store, buckets=16)
+    is_config = F.col("route") == jobs.CONFIG_ROUTE
+    write(rows.filter(is_config), 0)
+    part = F.pmod(F.unix_seconds("arrival_ts"), F.lit(3600)) / F.lit(720)
+    for batch in range(1, SLICES + 1):
+        write(rows.filter(~is_config & (F.floor(part) == SLICES - batch)), batch)
+    return _cell_columns(jobs.current_cells(store))
 
 
 # ------------------------------------------------------------------ contract
@@ -501,7 +571,9 @@ def queries() -> dict[str, Query]:
         "dwd_error_log": _log_stream("error", ["error_code", "msg"]),
         "dwd_log_dirty": _log_dirty,
         "dwd_order_status_text": _detail_text,
-        "dwd_display_text": _display_text,
+        "dwd_display_text": _item_text("display"),
+        "dwd_action_text": _item_text("action"),
+        "dwd_error_text": _item_text("error"),
         "dwd_log_split_counts": _log_counts,
         "fact_detail_validity": _checked(derive.details, facts.check_details),
         "fact_order_validity": _checked(derive.orders, facts.check_orders),
@@ -553,9 +625,15 @@ def queries() -> dict[str, Query]:
         "stream_traffic_window": _stream_traffic,
         "stream_sku_window": _stream_trade(SKU, jobs.sku_window_job),
         "stream_province_window": _stream_trade(PROVINCE, jobs.province_window_job),
-        "stream_fact_base": _stream_fact("base"),
-        "stream_fact": _stream_fact("coupon"),
+        "stream_fact_base": _stream_fact(fact_state.BASE),
+        "stream_fact": _stream_fact(fact_state.COUPON),
         "stream_dim_snapshot": _stream_dims,
+        "dim_snapshot_incremental": _dims_incremental,
+        "stream_sku_outputs": _sku_outputs,
+        "stream_traffic_outputs": _traffic_outputs,
+        "dws_traffic_late_rows": _late_views,
+        "dws_traffic_window_exact": _exact_traffic,
+        "ods_snapshot_handover": _handover,
     })
     if corpus := _corpus_entries():
         found.update(corpus.queries())

@@ -535,6 +535,15 @@ SELECT '{{"item":"' || item || '","pos_id":' || pos_id || ',"common":{{"mid":"'
        || coalesce(',"sid":"' || sid || '"', '') || '}},"page":{{"page_id":"' || page_id || '","during_time":'
        || CAST(e % 3000 AS VARCHAR) || '}},"ts":' || CAST(ts AS VARCHAR) || '}}' AS value
 FROM ({LOG_QUERIES["dwd_display_log"].replace("SELECT ", "SELECT e, ", 1)})"""
+    for kind, own in (("action", """'{{"action_id":"' || action_id || '","item":' || item"""),
+                      ("error", """'{{"error_code":' || error_code || ',"msg":"' || msg || '"'""")):
+        own = own.replace("{{", "{")
+        sql[f"dwd_{kind}_text"] = f"""{_with(EVENTS)}
+SELECT {own} || ',"common":{{"mid":"' || mid || '"' || coalesce(',"sid":"' || sid || '"', '') || '}}'
+       || CASE WHEN page_id IS NOT NULL THEN ',"page":{{"page_id":"' || page_id || '","during_time":'
+               || CAST(e % 3000 AS VARCHAR) || '}}' ELSE '' END
+       || ',"ts":' || CAST(ts AS VARCHAR) || '}}' AS value
+FROM ({LOG_QUERIES[f"dwd_{kind}_log"].replace("SELECT ", "SELECT e, ", 1)})"""
     sql["dwd_log_split_counts"] = f"{_with(EVENTS)} SELECT route, count(*) AS n FROM (" + \
         " UNION ALL ".join(
             f"SELECT '{r}' AS route FROM ({LOG_QUERIES[q]})" for q, r in (
@@ -660,6 +669,38 @@ FROM now WHERE sink_table = 'dim_user_info' GROUP BY row_key"""
         f"AND {ROUTE} IS NOT NULL)) "
         "GROUP BY ALL")
     sql["stream_log_split"] = _stream_log_split()
+    sql["stream_sku_outputs"] = SKU + f"""
+SELECT 'dws_trade_sku_order_window' AS stage, cur_date || ' ' || substr(stt, 12, 8) AS reason, count(*) AS n
+FROM ({SKU_SELECT} WHERE {closed_fact}) GROUP BY ALL
+UNION ALL SELECT 'dws_trade_sku', 'bad amount', count(*) FROM fact WHERE NOT ({IN_RANGE}) HAVING count(*) > 0"""
+    sql["stream_traffic_outputs"] = TRAFFIC + f"""
+SELECT 'dws_traffic_page_view_window' AS stage, cur_date || ' ' || substr(stt, 12, 8) AS reason, count(*) AS n
+FROM ({TRAFFIC_SELECT} WHERE (SELECT max(sec) FROM views) - 3 >= w + 30) GROUP BY ALL
+UNION ALL SELECT 'dws_traffic_page_view', 'bad ts', count(*) FROM ev
+WHERE {LOG_OK} AND kind <> 'signup' AND e % 103 = 5 HAVING count(*) > 0"""
+    timed = f"""{_with(EVENTS)},
+timed AS (SELECT {MID} AS mid, {SID} AS sid, sec, CAST(e AS VARCHAR) AS seq,
+                 sec + ((e * 13) % 10) * ((e * 7) % 10) AS arr FROM ev
+          WHERE {LOG_OK} AND kind <> 'signup' AND e % 103 <> 5),
+marked AS (SELECT *, max(sec) OVER (ORDER BY arr, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 3
+                  AS watermark FROM timed),
+judged AS (SELECT *, coalesce((sec // 30) * 30 + 30 <= watermark, false) AS late FROM marked)"""
+    sql["dws_traffic_late_rows"] = f"""{timed}
+SELECT seq, sec AS event_second, watermark AS watermark_second FROM judged WHERE late"""
+    sql["dws_traffic_window_exact"] = f"""{timed},
+views AS (SELECT * FROM judged WHERE NOT late),{TRAFFIC_WINDOW}
+{TRAFFIC_SELECT}"""
+    sql["ods_snapshot_handover"] = """WITH c AS (
+  SELECT o_orderkey AS key, v, (o_orderkey * 7919) % 50000 + v * 20000 AS position,
+         CASE WHEN v = 2 AND o_orderkey % 5 = 0 THEN 'd' WHEN v = 0 THEN 'c' ELSE 'u' END AS op,
+         CAST(CAST(o_totalprice AS DECIMAL(16,2)) AS VARCHAR) || ' v' || v AS value,
+         ((o_orderkey // 1000) * 1543) % 60000 + 15000 AS high
+  FROM orders, range(0, 3) AS r(v)),
+s AS (SELECT * FROM c WHERE position <= high
+      QUALIFY row_number() OVER (PARTITION BY key ORDER BY position DESC) = 1)
+SELECT key, 'r' AS op, high AS position, value FROM s WHERE op <> 'd'
+UNION ALL SELECT key, op, position, value FROM c WHERE position > high"""
+    sql["dim_snapshot_incremental"] = sql["dim_snapshot"]
     sql["stream_fact_base"] = sql["fact_base_changelog"]
     sql["stream_fact"] = sql["fact_changelog"]
     sql["stream_dim_snapshot"] = sql["dim_snapshot"]

@@ -7,6 +7,9 @@ the same rules in its own dialect.  Every given table is scanned once per feed.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rillhouse.sources.schemas import DWD_ROUTES
 
 DAY_ONE = 1704067200  # 2024-01-01 00:00:00 UTC
 
@@ -131,6 +134,17 @@ def coupons(t: Tables) -> DataFrame:
     return _typed(_lines(t).filter(IS_COUPON), COUPON_COLUMNS, _line_arrival(2500))
 
 
+def as_detail_text(inputs: dict[str, DataFrame]) -> DataFrame:
+    """Typed fact inputs (by table) as detail text under their routes."""
+    found = None
+    for table, rows in inputs.items():
+        fields = [n for n in rows.columns if n not in ("arrival_ts", "seq")]
+        text = rows.select(F.lit(DWD_ROUTES[table]).alias("route"), F.to_json(F.struct(*fields)).alias("value"),
+                           "arrival_ts", "seq")
+        found = text if found is None else found.unionByName(text)
+    return found
+
+
 def _orders(t: Tables) -> DataFrame:
     buyers = t.lookup("customer").select("c_custkey", "c_nationkey")
     rows = t["orders"].selectExpr(
@@ -288,6 +302,40 @@ def log_text(t: Tables) -> DataFrame:
         f"timestamp_seconds({PAGE_SECONDS})", f"CAST({e} AS STRING)")
 
 
+def delayed_log_text(t: Tables) -> DataFrame:
+    """The same records, each arriving up to ten times nine seconds after its time."""
+    delay = "((CAST(seq AS BIGINT) * 13) % 10) * ((CAST(seq AS BIGINT) * 7) % 10)"
+    return log_text(t).selectExpr("value", f"arrival_ts + make_dt_interval(0, 0, 0, {delay}) AS arrival_ts", "seq")
+
+
+#: Orders per chunk of the order snapshot.
+CHUNK = 1000
+
+
+def order_changes(t: Tables) -> DataFrame:
+    """Up to three versions of every order along one change log; every fifth order ends with
+    a delete.  ``key, op, position, value``."""
+    return t["orders"].selectExpr(
+        "o_orderkey AS key", "explode(sequence(0, 2)) AS v", "o_totalprice").selectExpr(
+        "key", "CASE WHEN v = 2 AND key % 5 = 0 THEN 'd' WHEN v = 0 THEN 'c' ELSE 'u' END AS op",
+        "(key * 7919) % 50000 + v * 20000 AS position",
+        "concat(CAST(CAST(o_totalprice AS DECIMAL(16,2)) AS STRING), ' v', v) AS value")
+
+
+def order_chunks(t: Tables) -> DataFrame:
+    """Positions of the log before and after each chunk of orders was read."""
+    return (t["orders"].selectExpr(f"o_orderkey DIV {CHUNK} AS chunk").distinct()
+            .selectExpr("chunk", "(chunk * 1543) % 60000 AS low", "(chunk * 1543) % 60000 + 15000 AS high"))
+
+
+def order_snapshot(t: Tables) -> DataFrame:
+    """What reading the chunks found, each at some position between low and high."""
+    changes = order_changes(t).withColumn("chunk", F.expr(f"key DIV {CHUNK}")).join(order_chunks(t), "chunk")
+    seen = changes.filter(F.col("position") <= F.col("low") + F.col("key") % 15000)
+    newest = seen.groupBy("key").agg(F.max_by(F.struct("op", "value"), "position").alias("row"))
+    return newest.filter("row.op <> 'd'").select("key", "row.value")
+
+
 # configuration changes: second, op, source table, sink table, family, row key, columns, type
 CONFIG_EVENTS = """
     (0, 'r', 'user_info', 'dim_user_info', NULL, NULL, 'name, nation', 'dim'),

@@ -6,6 +6,8 @@ check, read and extend them without a Python function.
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,9 +39,10 @@ def json_field(obj: Column, name: str) -> Column:
 
 
 # Spark's JSON functions write numbers anew (1.10 as 1.1, 1e400 as "Infinity").  Where a text
-# is sent on, its numbers are turned into marked strings first and back at the end.
-_MARK = "\ue000\ue001"
-_STRING_OR_NUMBER = r'("(?:[^"\\]|\\.)*+")|(-?[0-9][0-9.eE+-]*+)'
+# is sent on, its numbers are turned into marked strings first and back at the end.  The mark
+# is drawn anew for each driver, so that no text can hold it, spelled out or escaped.
+_MARK = "\ue000" + secrets.token_hex(12)
+_STRING_OR_NUMBER = r"""("(?:[^"\\]|\\.)*+"|'(?:[^'\\]|\\.)*+')|(-?[0-9][0-9.eE+-]*+)"""
 
 
 def keep_numbers(text: Column) -> Column:

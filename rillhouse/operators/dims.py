@@ -127,6 +127,20 @@ def fold_cells(log: DataFrame) -> DataFrame:
                     F.col("written.seq").alias("seq")))
 
 
+def compact_log(log: DataFrame, forget_before: Column | None = None) -> DataFrame:
+    """The shortest log with the same current cells, now and with whatever is added later:
+    the newest value of each living cell, and the last delete of each row.  Deletes before
+    ``forget_before`` are left out; no cell that old may be added any more."""
+    order = F.struct("arrival_ts", "seq")
+    deleted = (log.filter(F.col("column").isNull())
+               .groupBy(*ROW, "family").agg(F.max(order).alias("last"))
+               .select(*ROW, "family", F.lit(None).cast("string").alias("column"),
+                       F.lit(None).cast("string").alias("cell"), "last.arrival_ts", "last.seq"))
+    if forget_before is not None:
+        deleted = deleted.filter(F.col("arrival_ts") >= forget_before)
+    return fold_cells(log).unionByName(deleted)
+
+
 def dim_table(cells: DataFrame, sink_table: str, columns: list[str]) -> DataFrame:
     """One dimension table with named text columns."""
     picked = [F.max(F.when(F.col("column") == n, F.col("cell"))).alias(n) for n in columns]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from rillhouse.functions import hour_label, now_millis
 from rillhouse.operators.ranking import rank_all
 
-_DAY = re.compile(r"/cur_date=(\d{4}-\d{2}-\d{2})/")
+_DAY = re.compile(r"/(?:cur_date|_day)=(\d{4}-\d{2}-\d{2})/")
 
 
 def today(windows: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
+import datetime
 import json
-import time
+import random
 from decimal import Decimal
 
 import pytest
@@ -8,11 +9,13 @@ from pyspark.sql import functions as F
 
 from rillhouse import session
 from rillhouse.feeds import derive
-from rillhouse.operators import changes, dims, facts, logs, windows
+from rillhouse.operators import changes, dims, logs, replay, windows
 from rillhouse.plans import tables
 from rillhouse.sources import replay_text, table_snapshot_as_changes
+from rillhouse.sources.schemas import DWD_ROUTES
 from rillhouse.sources.text import jdbc_options
 from rillhouse.streaming import fact_state, jobs, sinks
+from rillhouse.streaming.batch_store import BatchStore
 
 
 def write_text(spark, tmp_path, values):
@@ -130,32 +133,94 @@ def test_targets_appear_with_their_configuration(spark):
     spark.sql("DROP DATABASE dim_targets_test CASCADE")
 
 
-def test_state_outlives_a_lag(spark, tmp_path):
-    """Rows one second apart by arrival, handled later than the TTL by the clock."""
-    def side(name, fields, values):
-        path = str(tmp_path / name)
-        made = spark.createDataFrame([(values,)], "v map<string,string>")
-        (made.select(*[F.col("v")[f].alias(f) for f in fields], F.lit("").alias("seq"),
-                     F.timestamp_seconds(F.lit(1704067200 + (name == "orders"))).alias("arrival_ts"))
-         .write.mode("append").parquet(path))
-
-    out = str(tmp_path / "facts")
-
-    def once():
-        streams = []
-        for name, fields in (("details", facts.DETAIL_FIELDS), ("orders", facts.ORDER_FIELDS)):
-            schema = ", ".join(f"{f} string" for f in fields) + ", seq string, arrival_ts timestamp"
-            (tmp_path / name).mkdir(exist_ok=True)
-            streams.append(spark.readStream.schema(schema).parquet(str(tmp_path / name)))
-        rows = fact_state.base_stream(*streams, ttl_seconds=3)
-        sinks.start_stateful(spark, sinks.files(out)(rows), str(tmp_path / "state"), once=True).awaitTermination()
-
-    side("details", facts.DETAIL_FIELDS, {"id": "1", "order_id": "o", "sku_id": "s", "sku_num": "1"})
-    once()
-    time.sleep(6)
-    side("orders", facts.ORDER_FIELDS, {"id": "o", "user_id": "u"})
-    once()
-    assert [(r.id, r.user_id) for r in spark.read.parquet(out).collect()] == [("1", "u")]
+DETAIL = '{"id":"%s","order_id":"o","sku_id":"s","sku_num":"1","split_total_amount":"2.50"}'
+
+
+def detail_batch(spark, *rows):
+    """(table, JSON text, arrival second) as rows of the split's detail streams."""
+    return spark.createDataFrame(
+        [(DWD_ROUTES[t], text, datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=s), str(i))
+         for i, (t, text, s) in enumerate(rows)], "route string, value string, arrival_ts timestamp, seq string")
+
+
+def fact_ids(store, table):
+    rows = store.table(table, fact_state.FACT_TABLE)
+    return sorted(((r.id, r.user_id, r.activity_id, r.coupon_id, r._join_ts) for r in rows.collect()),
+                  key=lambda x: (x[4], x[0], repr(x)))
+
+
+def test_fact_state_lives_by_arrival_time(spark, tmp_path):
+    """However long a job was down, rows of one half hour of arrival meet; state that lies
+    further behind than TTL and lag is removed, in buckets no row falls into as well."""
+    store = BatchStore(spark, str(tmp_path / "store"))
+    write = fact_state.fact_batches(store, fact_state.BASE, ttl_seconds=100, lag_seconds=50, buckets=4)
+
+    def held():
+        return sum(b["rows"] for b in store.last()["state"][fact_state.BASE]["buckets"].values())
+
+    write(detail_batch(spark, ("order_detail", DETAIL % 1, 0)), 0)
+    write(detail_batch(spark, ("order_info", '{"id":"o","user_id":"u"}', 99)), 1)
+    assert [x[:2] for x in fact_ids(store, fact_state.BASE)] == [("1", "u")] and held() == 1
+    write(detail_batch(spark, ("order_info", '{"id":"o","user_id":"v"}', 100)), 2)   # the detail is too old
+    assert len(fact_ids(store, fact_state.BASE)) == 1
+    # other keys move the watermark on; order o was last written at second 100
+    write(detail_batch(spark, *[("order_info", '{"id":"p%d"}' % i, 249) for i in range(8)]), 3)
+    assert held() == 9
+    write(detail_batch(spark, ("order_detail", (DETAIL % 2).replace('"o"', '"late"'), 150)), 4)   # 99 s behind others
+    write(detail_batch(spark, ("order_info", '{"id":"late","user_id":"w"}', 160)), 5)
+    assert [x[:2] for x in fact_ids(store, fact_state.BASE)] == [("1", "u"), ("2", "w")]
+    write(detail_batch(spark, ("order_info", '{"id":"q"}', 251)), 6)
+    assert held() == 10                                                  # o is gone; p0..p7, late, q stay
+    write(detail_batch(spark, ("order_info", '{"id":"q"}', 1000)), 7)
+    assert held() == 1
+
+
+def test_repeated_and_failed_batches_change_nothing(spark, tmp_path):
+    store = BatchStore(spark, str(tmp_path / "store"))
+    write = fact_state.fact_batches(store)
+    first = detail_batch(spark, ("order_detail", DETAIL % 1, 0), ("order_info", '{"id":"o","user_id":"u"}', 1),
+                         ("order_detail", DETAIL % "", 2))
+    second = detail_batch(spark, ("order_detail_activity", '{"id":"9","order_detail_id":"1","activity_id":"a"}', 3),
+                          ("order_detail_coupon", '{"id":"8","order_detail_id":"1","coupon_id":"c"}', 4))
+    write(first, 0)
+    before = store.last()
+    write(first, 0)
+    assert store.last() == before and len(fact_ids(store, fact_state.COUPON)) == 1
+
+    turn = store.begin(1)   # a batch that fails before its commit leaves nothing behind
+    turn.append(fact_state.COUPON, store.table(fact_state.COUPON, fact_state.FACT_TABLE))
+    assert store.last() == before and len(fact_ids(store, fact_state.COUPON)) == 1
+    write(second, 1)
+    write(second, 1)
+    assert [x[1:4] for x in fact_ids(store, fact_state.COUPON)] == [
+        ("u", None, None), ("u", "a", None), ("u", "a", "c")]
+    dirty = store.table(fact_state.DIRTY, fact_state.DIRTY_TABLE).collect()
+    assert [(r.stage, r.reason) for r in dirty] == [("fact_order_detail", "missing key")]
+
+
+def test_any_cut_into_batches_gives_the_same_facts(spark, tmp_path):
+    """Against the batch form over everything, for several ways to cut the arrivals."""
+    rng = random.Random(4)
+    rows = []
+    for second in range(0, 6000, 40):
+        o, d = rng.randrange(5), rng.randrange(9)
+        rows.append(rng.choice([
+            ("order_detail", (DETAIL % d).replace('"o"', f'"o{o}"'), second),
+            ("order_info", f'{{"id":"o{o}","user_id":"u{second}"}}', second),
+            ("order_detail_activity", f'{{"id":"1","order_detail_id":"{d}","activity_id":"a{second}"}}', second),
+            ("order_detail_coupon", f'{{"id":"1","order_detail_id":"{d}","coupon_id":"c{second}"}}', second)]))
+    rows.sort(key=lambda r: r[2])
+    good = [f.filter("reason IS NULL").drop("reason") for f in fact_state.read_inputs(detail_batch(spark, *rows)).values()]
+    want = sorted(((r.id, r.user_id, r.activity_id, r.coupon_id, r._join_ts)
+                   for r in replay.fact_changelog(*good).collect()), key=lambda x: (x[4], x[0], repr(x)))
+    assert len(want) > 100
+    for cuts in ([150], [10, 60, 61, 150]):
+        store = BatchStore(spark, str(tmp_path / f"store{len(cuts)}"))
+        write, at = fact_state.fact_batches(store, buckets=3), 0
+        for number, end in enumerate(cuts):
+            write(detail_batch(spark, *rows[at:end]), number)
+            at = end
+        assert fact_ids(store, fact_state.COUPON) == want
 
 
 def test_late_rows_are_dropped(spark, tmp_path):
@@ -178,30 +243,19 @@ def test_late_rows_are_dropped(spark, tmp_path):
 
 
 def test_fact_job_from_detail_text(spark, tmp_path):
-    """Detail text in, fact text and rejected rows out."""
-    def text(name, *bodies):
-        return write_text(spark, tmp_path / name, list(bodies))
-
-    details = text("details", '{"id":"1","order_id":"o","sku_id":"s","sku_num":"1","split_total_amount":"2.50"}',
-                   '{"id":"2","order_id":"o","sku_id":"s","sku_num":"x"}')
-    orders = text("orders", '{"id":"o","user_id":"u"}')
-
-    def read(path, table):
-        return jobs.detail_rows(replay_text(spark, path, streaming=True), table)
-
-    out, bad = str(tmp_path / "fact"), str(tmp_path / "bad")
-    writer = jobs.fact_base_job(read(details, "order_detail"), read(orders, "order_info"), sinks.files(out))
-    sinks.start_stateful(spark, writer, str(tmp_path / "c1"), once=True).awaitTermination()
-    run(jobs.fact_dirty_job({"order_detail": replay_text(spark, details, streaming=True)}, sinks.files(bad)), tmp_path, "bad")
-    fact = json.loads(spark.read.parquet(out).first().value)
-    assert (fact["id"], fact["user_id"], fact["split_total_amount"]) == ("1", "u", "2.50")
-    row = spark.read.parquet(bad).first()
+    """Detail text in, facts and rejected rows out, in one query; then the window's rejects."""
+    rows = detail_batch(spark, ("order_detail", DETAIL % 1, 0), ("order_info", '{"id":"o","user_id":"u"}', 1),
+                        ("order_detail", '{"id":"2","order_id":"o","sku_id":"s","sku_num":"x"}', 2))
+    rows.write.parquet(str(tmp_path / "details"))
+    store = BatchStore(spark, str(tmp_path / "facts"))
+    for _ in range(2):
+        run(jobs.fact_job(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "details")), store), tmp_path, "fact")
+    fact = store.table(fact_state.COUPON, fact_state.FACT_TABLE).collect()
+    assert [(r.id, r.user_id, r.split_total_amount) for r in fact] == [("1", "u", "2.50")]
+    row = store.table(fact_state.DIRTY, fact_state.DIRTY_TABLE).first()
     assert (row.stage, row.reason, json.loads(row.value)["id"]) == ("fact_order_detail", "bad sku_num", "2")
-    rejected = str(tmp_path / "rejected")
-    facts_text = spark.readStream.schema(jobs.TEXT).parquet(out)
-    run(jobs.window_dirty_job(windows.read_facts(facts_text), "dws_trade_province", windows.parse_province_facts,
-                              sinks.files(rejected)), tmp_path, "rejected")
-    assert spark.read.parquet(rejected).first().reason == "missing province_id"
+    rejected = windows.parse_province_facts(store.table(fact_state.COUPON, fact_state.FACT_TABLE))
+    assert rejected.first().reason == "missing province_id"
 
 
 def test_tsv_batches_replace_themselves(spark, tmp_path):
