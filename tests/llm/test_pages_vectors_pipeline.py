@@ -89,9 +89,98 @@ def test_tree_matching_keeps_order():
         pairs = html_text.match(a, b)
         assert len({x for x, _ in pairs}) == len({y for _, y in pairs}) == len(pairs)
         assert sorted(pairs) == sorted(pairs, key=lambda p: p[1])
+        shapes = html_text._Shapes()
+        assert shapes.score(shapes.of(a, {}), shapes.of(b, {})) == brute_match(a, b)
         assert len(pairs) <= brute_match(a, b)
 
 
+def texts_of(spark, rows):
+    found = html_text.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+    return {r.page_id: r.text for r in found.collect()}
+
+
+@pytest.mark.parametrize("html, want", [
+    ('<div class="layout has-sidebar"><article><p>One</p></article></div>', "One"),
+    ('<div class="with-menu"><article><p>One</p></article></div>', "One"),
+    ('<div id="page-no-sidebar"><article><p>One</p></article></div>', "One"),
+    ('<div class="main social-science"><article><p>One</p></article></div>', "One"),
+    ('<form action="/"><article><p>One</p></article></form>', "One"),
+    ('<div class="sidebar"><article><p>One</p></article></div>', "One"),
+    ('<article><section id="related-work"><p>One</p></section></article>', "One"),
+    ('<article><p>One <math><mi>x</mi></math></p><noscript>Two</noscript></article>', "One x\nTwo"),
+    ('<article><p>The whole long text</p><article><p>A reader says</p></article></article>', "The whole long text"),
+    ('<article><p>The whole long text of it</p></article><article><p>Teaser</p></article>', "The whole long text of it"),
+    ('<article><p>Text</p><div class="comments"><article><p>Reader</p></article></div></article>', "Text"),
+    ('<div class="comments"><article><p>Reader</p></article></div><p>Text</p>', "Text"),
+    ('<div class="main-menu">Menu</div><div class="share-buttons">Share</div><p>Text</p>', "Text"),
+    ('<article><header><h1>Title</h1></header><p>Text</p><footer>By</footer></article>', "Title\nText"),
+])
+def test_articles_and_wrappers(spark, html, want):
+    assert "\n".join(x.text for x in html_text.content_leaves(html)) == want
+
+
+def varied(rng, n):
+    return " ".join(f"w{rng.randrange(400)}" for _ in range(n))
+
+
+def test_host_with_more_template_than_article(spark):
+    rng = random.Random(2)
+    menu = "".join(f"<p>Entry {i} of the menu</p>" for i in range(9))
+    rows, want = [], {}
+    for i in range(40):
+        title, body = varied(rng, 4), varied(rng, 30)
+        rows.append((i, "http://heavy.org/", f"<body><div>{menu}</div><h2>{title}</h2><p>{body}</p></body>"))
+        want[i] = f"{title}\n{body}"
+    assert texts_of(spark, rows) == want
+
+
+def test_two_layouts_and_reposted_articles(spark):
+    """Templates of both layouts are learned; the article that is posted again with another
+    date is no template."""
+    rng = random.Random(3)
+    rows, want = [], {}
+    for i in range(30):
+        body = varied(rng, 40)
+        html = (f"<body><div><p>Old menu</p></div><p>{body}</p></body>" if i % 2 else
+                f"<body><section><ul><li>New menu</li></ul></section><div><div><p>{body}</p></div></div></body>")
+        rows.append((i, "http://two.org/", html))
+        want[i] = body
+    again = varied(rng, 60)
+    for i in range(100, 120):
+        rows.append((i, "http://again.org/", f"<body><p>Date {i}</p><p>{again}</p></body>"))
+        want[i] = f"Date {i}\n{again}"
+    assert texts_of(spark, rows) == want
+
+
+def test_deep_wide_and_long_pages(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(0, "http://deep.org/", "<div>" * 10_000 + "deep" + "</section>" * 10_000 + "</div>" * 10_000),
+            (1, "http://deep.org/", "<div>" * 3000 + "<p>other" * 50), (2, "http://deep.org/", "<b>" * 50_000 + "x"),
+            (3, "http://long.org/", "<p>" + "word " * 400_000 + "</p>")]
+    for i in range(4, 8):
+        items = "".join(f"<li><a>{varied(rng, 2)}</a>" if rng.random() < .5 else f"<li>{varied(rng, 2)}" for _ in range(5000))
+        rows.append((i, "http://wide.org/", f"<ul>{items}</ul>"))
+    found = texts_of(spark, rows)
+    assert found[0] == "deep" and found[1].endswith("other") and found[2] == "x"
+    assert found[3] == ("word " * 400_000).strip() and found[4].count("\n") > 3500
+
+
+def test_large_hosts_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(html_text, "HOST_PAGES", 5)
+    rng = random.Random(6)
+    rows, want = [], {}
+    for i in range(33):
+        body = varied(rng, 20)
+        host = "http://big.org/" if i < 25 else f"http://small{i % 2}.org/"
+        rows.append((i, host, f"<body><div>Menu of it</div><p>{body}</p></body>"))
+        want[i] = body
+    rows += [(None, None, "<p>no url</p>"), (1, "http://big.org/", rows[1][2])]
+    found = html_text.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")
+                                .withColumn("host", F.lit("x")).withColumn("salt", F.lit(1)).withColumn("parts", F.lit("y")))
+    got = sorted(((r.page_id, r.text) for r in found.collect()), key=repr)
+    assert got == sorted([*want.items(), (None, "no url"), (1, want[1])], key=repr)
+
+
 # ------------------------------------------------------------------ urls
 
 RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
