@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rillhouse import session
 from rillhouse.feeds import derive
-from rillhouse.operators import changes, dims, logs, replay, windows
+from rillhouse.operators import changes, dims, facts, logs, replay, windows
 from rillhouse.plans import tables
 from rillhouse.sources import replay_text, table_snapshot_as_changes
 from rillhouse.sources.schemas import DWD_ROUTES
@@ -292,7 +292,7 @@ def test_compacted_dim_log_goes_on(spark, tmp_path):
     everything = derive.dim_text(t)
     early, late = (everything.filter(f"seq {op} '3'") for op in ("<", ">="))
     path = str(tmp_path / "cells")
-    jobs.compact_cells(log_of(early), path)
+    dims.compact_log(log_of(early)).withColumn("batch_id", F.lit(-1)).write.partitionBy("sink_table", "batch_id").parquet(path)
     sinks.batch_files(path, "sink_table")(log_of(late), 0)
     sinks.batch_files(path, "sink_table")(log_of(late), 0)  # the batch runs again
     columns = [*dims.CELL, "cell"]
