@@ -57,13 +57,13 @@ LENGTH = 400
 BLOCK = 1 << 17
 #: Different contexts of one k-gram that are sorted in one task at most, and contexts sorted
 #: together, in whole groups.
-GROUP, SORTED = 20_000, 20_000
+GROUP, SORTED = 8_000, 8_000
 #: Bytes that multikey quicksort looks at before blind tries take over.
 SHALLOW = 32
 #: Words that a passage must have to be cut by ``cut_passages``; bytes that stand for a word.
 PASSAGE, CODE = 51, 4
 #: Words whose codes a worker remembers.
-CODES = 500_000
+CODES = 100_000
 
 
 def window_of(length: int) -> tuple[int, int]:
