@@ -2,10 +2,12 @@
 
 A fingerprint is eight positional bytes.  Two that differ in at most three bits differ in
 at most three bytes, so they share at least five of the eight: that is the guaranteed
-minimum number of matches.  The index therefore files a fingerprint under each choice of
-five positions with their bytes; two fingerprints meet in a list exactly when they reach
-the minimum.  Inside a list the shared positional bytes are tallied, a pair is judged only
-in the first of the lists it shares, and its bits are compared.
+minimum number of matches.  Lists of single bytes would hold a 256th of all fingerprints
+each, so the index files a fingerprint under each choice of five positions with their bytes;
+two fingerprints meet in a list exactly when they reach the minimum.  Inside a list the
+shared positional bytes of each pair are tallied; a pair is retained only where the tally
+reaches the minimum and this list is the first of those it shares, and only the bits of
+retained pairs are compared.
 
 A list fixes five bytes, so it holds 2^24 distinct fingerprints at the very most whatever
 the corpus, and equal fingerprints are one entry.  Of a list only links to the smallest
@@ -121,7 +123,31 @@ def _merge(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             root[:] = root[root]
 
 
-def _list_links(values: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+def first_choices(minimum: int) -> np.ndarray:
+    """For every set of shared positions (a bit each): the number of the first choice of
+    ``minimum`` of them, or -1 if there are not as many."""
+    numbers = {chosen: i for i, chosen in enumerate(combinations(range(8), minimum))}
+    out = []
+    for shared in range(256):
+        positions = [p for p in range(8) if shared >> p & 1]
+        out.append(numbers[tuple(positions[:minimum])] if len(positions) >= minimum else -1)
+    return np.array(out)
+
+
+def shared_positions(apart: np.ndarray) -> np.ndarray:
+    """The positions of equal bytes, a bit each, from two fingerprints' difference."""
+    zero = (np.ascontiguousarray(apart).astype("<u8").view(np.uint8).reshape(*apart.shape, 8) == 0)
+    return np.packbits(zero, axis=-1, bitorder="little")[..., 0]
+
+
+def _near(apart: np.ndarray, choice, first: np.ndarray, max_bits: int) -> tuple:
+    """Places of the pairs that this list retains and whose bits are near enough."""
+    retained = np.nonzero(first[shared_positions(apart)] == choice)  # one choice, or one per pair
+    near = np.bitwise_count(apart[retained]) <= max_bits
+    return tuple(x[near] for x in retained)
+
+
+def _list_links(values: np.ndarray, choice: int, first: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Links (hi, lo) inside one sorted list of distinct fingerprints, as star edges.
 
     Block by block, so that neither all pairs nor all links are ever held.
@@ -130,7 +156,7 @@ def _list_links(values: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarr
     for i in range(0, n, PAIR_BLOCK):
         for j in range(i, n, PAIR_BLOCK):
             apart = bits[i:i + PAIR_BLOCK, None] ^ bits[None, j:j + PAIR_BLOCK]
-            a, b = np.nonzero(np.bitwise_count(apart) <= max_bits)
+            a, b = _near(apart, choice, first, max_bits)
             _merge(root, a + i, b + j)
     linked = np.flatnonzero(root != np.arange(n))
     return values[linked], values[root[linked]]
@@ -144,7 +170,7 @@ def links(prints: DataFrame, max_bits: int = 3) -> DataFrame:
     if not 0 <= max_bits <= 7:
         raise ValueError("max_bits must be 0 to 7: at 8 no positional byte has to match")
     minimum = 8 - max_bits
-    masks = _choices(minimum)
+    masks, first = _choices(minimum), first_choices(minimum)
     filed = F.explode(F.array(*[
         F.struct(F.lit(i).alias("choice"), F.col("fp").bitwiseAND(F.lit(m)).alias("held"))
         for i, m in enumerate(masks)]))
@@ -163,10 +189,13 @@ def links(prints: DataFrame, max_bits: int = 3) -> DataFrame:
             bounds = np.concatenate([[0], new, [len(fp)]])
             last = len(bounds) - 1 if batch is None else len(bounds) - 2
             sizes = np.diff(bounds)[:last]
-            out = [_pairs(fp, bounds[:-1][:last][sizes == 2], max_bits)]
+            at = bounds[:-1][:last][sizes == 2]
+            apart = (fp[at] ^ fp[at + 1]).view(np.uint64)  # all lists of two members at once
+            two, = _near(apart, choice[at], first, max_bits)
+            out = [(fp[at[two] + 1], fp[at[two]])]  # lists are sorted
             for k in np.flatnonzero(sizes > 2):
                 a, b = bounds[k], bounds[k + 1]
-                out.append(_list_links(fp[a:b], max_bits))
+                out.append(_list_links(fp[a:b], int(choice[a]), first, max_bits))
             hi, lo = (np.concatenate(x) for x in zip(*out))
             yield pa.RecordBatch.from_arrays([longs(hi), longs(lo)], names=["hi", "lo"])
             carry = None if batch is None else [x[bounds[last]:] for x in now]
@@ -180,13 +209,6 @@ def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
             yield [c.to_numpy(zero_copy_only=False) for c in batch.columns]
 
 
-def _pairs(fp: np.ndarray, at: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links of all lists of two members at once; they start at ``at``."""
-    lo, hi = fp[at], fp[at + 1]  # lists are sorted
-    near = np.bitwise_count((lo ^ hi).view(np.uint64)) <= max_bits
-    return hi[near], lo[near]
-
-
 # ------------------------------------------------------------------ the operator
 
 def near_duplicates(documents: DataFrame, width: int = 3, max_bits: int = 3) -> DataFrame:
