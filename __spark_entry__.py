@@ -260,7 +260,7 @@ def _handover(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ from change text to reports
 
 def _text_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pipeline.settled_fact(derive.db_text(_tables(spark, sf_dir)))
+    return pipeline.settled_fact(derive.db_text(_tables(spark, sf_dir)), scratch_path(spark, "routes"))
 
 
 def _e2e_fact(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from rillhouse.functions import add_once, parse_once
 from rillhouse.operators import changes, facts, gate, logs, windows
 from rillhouse.sources.schemas import (
-    ACTIVITY_FIELDS, COUPON_FIELDS, DETAIL_FIELDS, ORDER_FIELDS,
+    ACTIVITY_FIELDS, COUPON_FIELDS, DETAIL_FIELDS, DWD_ROUTES, ORDER_FIELDS,
 )
 
 
@@ -20,15 +20,25 @@ def gated(text: DataFrame) -> DataFrame:
     return gate.passed(gate.with_gate_reason(text))
 
 
-def trade_inputs(text: DataFrame) -> list[DataFrame]:
-    """The four fact inputs from change-event text."""
+FACT_INPUTS = ("order_detail", "order_info", "order_detail_activity", "order_detail_coupon")
+
+
+def trade_inputs(text: DataFrame, spool: str | None = None) -> list[DataFrame]:
+    """The four fact inputs from change-event text.
+
+    With ``spool``, a new folder, the text goes through gate and split once and is kept there
+    by route, as the streaming jobs do; each input then reads its own route.
+    """
     routed = changes.split_changes(gated(text))
-    return [changes.detail_table(routed, t) for t in
-            ("order_detail", "order_info", "order_detail_activity", "order_detail_coupon")]
+    if spool is not None:
+        wanted = F.col("route").isin(*(DWD_ROUTES[t] for t in FACT_INPUTS))
+        routed.filter(wanted).write.partitionBy("route").parquet(spool)
+        routed = text.sparkSession.read.schema(routed.schema).parquet(spool)
+    return [changes.detail_table(routed, t) for t in FACT_INPUTS]
 
 
-def settled_fact(text: DataFrame) -> DataFrame:
-    return facts.settle(*facts.clean_inputs(*trade_inputs(text)))
+def settled_fact(text: DataFrame, spool: str | None = None) -> DataFrame:
+    return facts.settle(*facts.clean_inputs(*trade_inputs(text, spool)))
 
 
 def trade_windows(fact: DataFrame, time_mode: str = "event",

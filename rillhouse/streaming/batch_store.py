@@ -187,14 +187,11 @@ class Batch:
         paths = [f"{path}/_day={d}" for d in days] if by else [path]
         return self.store.spark.read.schema(rows.schema).parquet(*paths) if paths else rows.limit(0)
 
-    def buckets_of(self, name: str, rows: DataFrame, bucket: Column, due_before: int | None = None) -> list[int]:
-        """Buckets that a batch touches: those of its rows, and those whose oldest row lies
-        before ``due_before``."""
-        found = {r[0] for r in rows.select(bucket).distinct().collect()}
-        if due_before is not None:
-            known = self.before["state"].get(name, {"buckets": {}})["buckets"]
-            found |= {int(b) for b, e in known.items() if e["oldest"] is not None and e["oldest"] <= due_before}
-        return sorted(found)
+    def due(self, name: str, before: int | None) -> set[int]:
+        """Buckets whose oldest row lies at or before a time."""
+        known = self.before["state"].get(name, {"buckets": {}})["buckets"]
+        return set() if before is None else {
+            int(b) for b, e in known.items() if e["oldest"] is not None and e["oldest"] <= before}
 
     def state(self, name: str, schema: str, buckets: Iterable[int]) -> DataFrame:
         """Rows of some buckets before this batch."""
