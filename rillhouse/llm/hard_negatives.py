@@ -27,60 +27,28 @@ Defined results
 
 from __future__ import annotations
 
-import heapq
-import math
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rillhouse.llm.common import longs, stored
+from rillhouse.llm.common import stored
+from rillhouse.llm.vectors import (
+    FOUND, TILE_QUERIES, Best, clipped, first_columns, found_rows, padded, query_block, query_blocks,
+    ranked, tiles, usable,
+)
 
-#: Components in a block of anchors, on average (8 bytes each); an anchor counts as so many
-#: more, for its positives.  Then candidates and anchors handled at once.
-BLOCK_COMPONENTS, ANCHOR_COST = 1 << 20, 16
-TILE_ROWS, TILE_ANCHORS = 1024, 512
 #: Candidates packed into one of Python's wide integers.
 WIDE_FIELDS = 16
 #: Bits that a double holds exactly.
 EXACT_BITS = 53
 
-_HIGH, _LOW = 2 ** 63 - 1, -(2 ** 63)
-
 
 # ------------------------------------------------------------------ exact products
 
-def quantised(vectors: pa.ListArray) -> np.ndarray:
-    """floor(256 * x) of each component, one row per vector: int64, or Python integers where
-    those are too small."""
-    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    sizes = np.diff(vectors.offsets.to_numpy())
-    width = int(sizes.max(initial=0))
-    small = np.abs(flat).max(initial=0) < 2.0 ** 44
-    if small:
-        values = np.floor(flat * 256).astype(np.int64)
-    else:
-        values = np.array([math.floor(x * 256) if abs(x) < 2.0 ** 44 else int(x) * 256
-                           for x in flat.tolist()], object)
-    out = np.zeros((len(sizes), width), values.dtype)
-    out[np.arange(width) < sizes[:, None]] = values
-    return out
-
-
-def _padded(values: np.ndarray, width: int) -> np.ndarray:
-    if values.shape[1] == width:
-        return values
-    out = np.zeros((len(values), width), values.dtype)
-    out[:, :values.shape[1]] = values
-    return out
-
-
 def products(anchors: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     """Exact inner products of all rows with all rows by packed multiplications."""
     width = max(anchors.shape[1], candidates.shape[1])
-    a, c = _padded(anchors, width), _padded(candidates, width)
+    a, c = padded(anchors, width), padded(candidates, width)
     if not width or not len(a) or not len(c):
         return np.zeros((len(a), len(c)), np.int64)
     # Python integers, as biased values of 64 bits may need one more
@@ -108,93 +76,20 @@ def products(anchors: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     return biased - c_bias * a.sum(axis=1)[:, None] - a_bias * c.sum(axis=1)[None, :] + width * a_bias * c_bias
 
 
-# ------------------------------------------------------------------ the best few
-
-def _first(scores: np.ndarray, valid: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and columns of the k highest valid scores of each row; ties go to smaller columns."""
-    n = scores.shape[1]
-    if scores.dtype == object or int(np.abs(scores).max(initial=0)) >= 2 ** 62 // max(n, 1):
-        found = [(row, col) for row in range(len(scores)) for col in heapq.nsmallest(
-            k, np.flatnonzero(valid[row]).tolist(), key=lambda c, row=row: (-scores[row, c], c))]
-        return (np.array([r for r, _ in found], np.int64), np.array([c for _, c in found], np.int64))
-    keys = np.where(valid, scores * n + (n - 1 - np.arange(n)), _LOW)
-    if n > k:
-        cols = np.argpartition(keys, n - k, axis=1)[:, n - k:]
-    else:
-        cols = np.broadcast_to(np.arange(n), keys.shape)
-    keep = np.take_along_axis(valid, cols, 1)
-    rows = np.broadcast_to(np.arange(len(scores))[:, None], cols.shape)
-    return rows[keep], cols[keep]
-
-
-class _Best:
-    """The best few of each key, over everything that a task has read."""
-
-    def __init__(self, k: int):
-        self.k, self.kept = k, {}
-
-    def add(self, key, score: int, unnamed: bool, vec_id: int, rid: int) -> None:
-        heap = self.kept.setdefault(key, [])
-        entry = (score, not unnamed, -vec_id, -rid)  # the least of a heap is the worst
-        if len(heap) < self.k:
-            heapq.heappush(heap, entry)
-        elif entry > heap[0]:
-            heapq.heapreplace(heap, entry)
-
-    def rows(self):
-        for key, heap in self.kept.items():
-            for score, named, vec_id, rid in heap:
-                yield key, score, not named, -vec_id, -rid
-
-
-class _Tile:
-    """Candidates of a batch in the order in which ties are broken."""
-
-    def __init__(self, batch: pa.RecordBatch):
-        rid, ids, label = (batch.column(n) for n in ("rid", "vec_id", "label"))
-        unnamed = ids.is_null().to_numpy(zero_copy_only=False)
-        ids = ids.fill_null(0).to_numpy()
-        rid = rid.to_numpy()
-        order = np.lexsort((rid, ids, unnamed))
-        self.rid, self.ids, self.unnamed = rid[order], ids[order], unnamed[order]
-        self.label = label.to_numpy()[order]
-        self.parts = quantised(batch.column("embedding"))[order]
-
-
-def _tiles(batches):
-    for batch in batches:
-        for at in range(0, batch.num_rows, TILE_ROWS):
-            yield _Tile(batch.slice(at, TILE_ROWS))
-
-
-#: Scores travel as text of whole numbers, as they may need more than 64 bits; the best of a
-#: task are few.
-_FOUND = "anchor bigint, positive int, score string, unnamed boolean, vec_id bigint, rid bigint"
-
-
-def _emit(best: _Best) -> pa.RecordBatch:
-    rows = [(key[0], key[1], str(score), unnamed, None if unnamed else vec_id, rid)
-            for key, score, unnamed, vec_id, rid in best.rows()]
-    types = [pa.int64(), pa.int32(), pa.string(), pa.bool_(), pa.int64(), pa.int64()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 6, types)],
-        names=[x.split()[0] for x in _FOUND.split(", ")])
-
-
 def _positives(anchors, k: int):
     """The k best other rows of an anchor's label."""
     def run(batches):
         rids, labels, parts = anchors.value
-        best = _Best(k)
-        for tile in _tiles(batches):
-            for at in range(0, len(rids), TILE_ANCHORS):
-                part = slice(at, at + TILE_ANCHORS)
+        best = Best(k)
+        for tile in tiles(batches):
+            for at in range(0, len(rids), TILE_QUERIES):
+                part = slice(at, at + TILE_QUERIES)
                 scores = products(parts[part], tile.parts)
                 valid = (labels[part, None] == tile.label) & (rids[part, None] != tile.rid)
-                for row, col in zip(*(x.tolist() for x in _first(scores, valid, k))):
+                for row, col in zip(*(x.tolist() for x in first_columns(scores, valid, k))):
                     best.add((int(rids[at + row]), 0), int(scores[row, col]), bool(tile.unnamed[col]),
                              int(tile.ids[col]), int(tile.rid[col]))
-        yield _emit(best)
+        yield found_rows(best)
     return run
 
 
@@ -205,10 +100,10 @@ def _negatives(anchors, limits, k: int, share: tuple[int, int]):
     def run(batches):
         rids, labels, parts = anchors.value
         tops = [limits.value.get(rid, []) for rid in rids.tolist()]
-        best = _Best(k)
-        for tile in _tiles(batches):
-            for at in range(0, len(rids), TILE_ANCHORS):
-                part = slice(at, at + TILE_ANCHORS)
+        best = Best(k)
+        for tile in tiles(batches):
+            for at in range(0, len(rids), TILE_QUERIES):
+                part = slice(at, at + TILE_QUERIES)
                 scores = products(parts[part], tile.parts)
                 other = labels[part, None] != tile.label
                 for number in range(max((len(t) for t in tops[part]), default=0)):
@@ -219,54 +114,15 @@ def _negatives(anchors, limits, k: int, share: tuple[int, int]):
                     some = scores[rows]
                     valid = (other[rows] & (some <= np.array(top, kind)[:, None])
                              & (some >= np.array(least, kind)[:, None]))
-                    for row, col in zip(*(x.tolist() for x in _first(some, valid, k))):
+                    for row, col in zip(*(x.tolist() for x in first_columns(some, valid, k))):
                         best.add((int(rids[at + rows[row]]), number), int(some[row, col]),
                                  bool(tile.unnamed[col]), int(tile.ids[col]), int(tile.rid[col]))
-        yield _emit(best)
+        yield found_rows(best)
     return run
 
 
 # ------------------------------------------------------------------ the operator
 
-def _usable(vectors: DataFrame, is_anchor: Column, label: Column) -> DataFrame:
-    """Rows that take part, with a row number."""
-    kind = vectors.schema["embedding"].dataType.elementType.typeName()
-    vector = F.col("embedding") if kind in ("float", "double") else F.col("embedding").cast("array<double>")
-    odd = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return vectors.select(
-        F.col("vec_id").cast("bigint").alias("vec_id"), label.cast("bigint").alias("label"),
-        vector.alias("embedding"), F.coalesce(is_anchor, F.lit(False)).alias("anchor"),
-        F.monotonically_increasing_id().alias("rid")).filter(
-            F.col("label").isNotNull() & F.col("embedding").isNotNull() & ~F.coalesce(odd, F.lit(False)))
-
-
-def _ranked(found: DataFrame, k: int) -> DataFrame:
-    """The k best of each anchor and positive, from the best of all tasks; scores of more
-    than 38 digits are ordered by sign, length and digits."""
-    negative = F.col("score").startswith("-")
-    digits = F.length("score")
-    order = W.partitionBy("anchor", "positive").orderBy(
-        negative, F.when(negative, -digits).otherwise(digits).desc(),
-        F.when(~negative, F.col("score")).desc(), F.when(negative, F.col("score")).asc(),
-        "unnamed", "vec_id", "rid")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-
-
-def _block(rows: DataFrame) -> tuple | None:
-    """The anchors of one block: rows, labels, components."""
-    table = rows.select("rid", "label", "embedding").toArrow().combine_chunks()
-    if not table.num_rows:
-        return None
-    batch = table.to_batches()[0]
-    return (batch.column("rid").to_numpy(), batch.column("label").to_numpy(),
-            quantised(batch.column("embedding")))
-
-
-def _clipped(score: Column) -> Column:
-    return F.coalesce(score.try_cast("bigint"),
-                      F.when(score.startswith("-"), F.lit(_LOW)).otherwise(F.lit(_HIGH)))
-
-
 def hard_negatives(vectors: DataFrame, is_anchor: Column, label: Column | None = None,
                    positives: int = 5, negatives: int = 5, share: tuple[int, int] = (80, 100)) -> DataFrame:
     """anchor_id, positive_id, rank, negative_id, positive_score, negative_score.
@@ -276,32 +132,31 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, label: Column | None =
     scores, and at least ``share`` (a fraction as two numbers) of it.
     """
     spark = vectors.sparkSession
-    rows = stored(_usable(vectors, is_anchor, F.col("label") if label is None else label), "candidates")
+    rows = stored(usable(vectors, is_anchor, F.col("label") if label is None else label), "candidates")
     candidates = rows.select("rid", "vec_id", "label", "embedding")
-    asked = stored(rows.filter("anchor").drop("anchor"), "anchors")
-    total = asked.agg(F.sum(F.size("embedding") + ANCHOR_COST)).first()[0] or 0
-    blocks = max(1, -(-total // BLOCK_COMPONENTS))
+    asked = stored(rows.filter("asks").drop("asks"), "anchors")
+    blocks = query_blocks(asked)
     results = None
     for number in range(blocks):
-        block = _block(asked.filter(F.pmod(F.xxhash64("rid"), F.lit(blocks)) == number))
+        block = query_block(asked, number, blocks, "label")
         if block is None:
             continue
         anchors = spark.sparkContext.broadcast(block)
-        near = stored(_ranked(candidates.mapInArrow(_positives(anchors, positives), _FOUND), positives), "positives")
+        near = stored(ranked(candidates.mapInArrow(_positives(anchors, positives), FOUND), positives), "positives")
         tops: dict[int, list[int]] = {}
-        for row in near.select("anchor", "rank", "score").orderBy("anchor", "rank").collect():
-            tops.setdefault(row["anchor"], []).append(int(row["score"]))
+        for row in near.select("query", "rank", "score").orderBy("query", "rank").collect():
+            tops.setdefault(row["query"], []).append(int(row["score"]))
         limits = spark.sparkContext.broadcast(tops)
-        far = _ranked(candidates.mapInArrow(_negatives(anchors, limits, negatives, share), _FOUND), negatives)
-        pairs = near.select("anchor", (F.col("rank") - 1).alias("positive"),
-                            F.col("vec_id").alias("positive_id"), _clipped(F.col("score")).alias("positive_score"))
-        found = stored(far.select("anchor", "positive", "rank", F.col("vec_id").alias("negative_id"),
-                                  _clipped(F.col("score")).alias("negative_score"))
-                       .join(pairs, ["anchor", "positive"]), "negatives")
+        far = ranked(candidates.mapInArrow(_negatives(anchors, limits, negatives, share), FOUND), negatives)
+        pairs = near.select("query", (F.col("rank") - 1).alias("part"),
+                            F.col("vec_id").alias("positive_id"), clipped(F.col("score")).alias("positive_score"))
+        found = stored(far.select("query", "part", "rank", F.col("vec_id").alias("negative_id"),
+                                  clipped(F.col("score")).alias("negative_score"))
+                       .join(pairs, ["query", "part"]), "negatives")
         results = found if results is None else results.unionByName(found)
     if results is None:
         return spark.createDataFrame([], "anchor_id bigint, positive_id bigint, rank int, "
                                          "negative_id bigint, positive_score bigint, negative_score bigint")
-    named = asked.select(F.col("rid").alias("anchor"), F.col("vec_id").alias("anchor_id"))
-    return results.join(named, "anchor").select(
+    named = asked.select(F.col("rid").alias("query"), F.col("vec_id").alias("anchor_id"))
+    return results.join(named, "query").select(
         "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")

@@ -3,23 +3,25 @@
 The components of the vectors are cut into lists of neighbouring components; a score is
 the sum of its partial scores over the lists.
 
-1. Every block of candidates takes, for each query and list, the k best partial scores,
-   works out the full scores of those candidates and sends the k best.  The k-th best of
-   all that were sent is a score that k candidates reach: a safe cutoff.
-2. The cutoff t of each query goes to all blocks.  A candidate that reaches t has a
-   partial score of at least t / lists in some list, so each list collects its entries
-   from that uniform threshold on; nothing else can be among the best k.
-3. The missing partial scores of the collected entries are added, those below t leave,
-   and the rest are ranked.
-
-Queries and candidates are packed into blocks of bounded size; every pair of blocks is a
-row of its own, so no task holds all queries.
+1. Every task takes its first tile of candidates and gathers, for each query and list, the k
+   best partial scores.  The full scores of these heads are worked out, and the k-th best of
+   all tasks is a score that k candidates reach: a safe cutoff.
+2. The cutoff t of each query is broadcast.  A candidate that reaches t has a partial score of
+   at least t / lists in some list, so each list collects its entries from that uniform
+   threshold on; nothing else can be among the best k.  A list is read only for candidates
+   whose part is long enough to reach the threshold at all (Cauchy-Schwarz).
+3. The partial scores that the collected entries miss are worked out exactly, entries below t
+   leave, and the rest are ranked.
+
+Queries are a stated share of the rows.  They are read in blocks of bounded size and
+broadcast to the candidates, which stay where they are stored and are never shuffled.  A task
+returns the best few per query, whatever it reads.
 
 Defined results
 * components become floor(256 * x), x as double; vectors that are null or hold a null or
-  non-finite component take no part.
+  non-finite component take no part; finite ones of any size do.
 * shorter vectors are padded with zeros; an empty vector is all zeros.
-* scores beyond 64 bits are held at the ends of that range.
+* scores are compared exactly; those beyond 64 bits are returned as the ends of that range.
 * candidates are all rows but the query's own; a repeated ``vec_id`` is told apart by the
   row, so copies of a query's row are candidates, and each repeated query row is one
   query.  A null ``vec_id`` is a candidate that loses ties, never a query.
@@ -29,57 +31,24 @@ Defined results
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rillhouse.llm.common import partitions, stored
+from rillhouse.llm.common import stored
+from rillhouse.llm.vectors import (
+    FOUND, TILE_QUERIES, Best, clipped, first_columns, found_rows, padded, query_block, query_blocks,
+    ranked, tiles, usable,
+)
 
-#: Vectors in a block of candidates or of queries, on average.
-BLOCK_VECTORS = 2048
 #: Lists that the components are cut into.
 LISTS = 4
 
-_HIGH, _LOW = 2 ** 63 - 1, -(2 ** 63)
 
-
-def quantised(vector: Column) -> Column:
-    """floor(256 * x) of each component, or null if the vector takes no part."""
-    parts = F.transform(vector, lambda x: F.floor(x.cast("double") * 256))
-    odd = F.exists(vector, lambda x: x.isNull() | F.isnan(x.cast("double"))
-                   | (F.abs(x.cast("double")) > 2.0 ** 54))
-    return F.when(vector.isNotNull() & ~F.coalesce(odd, F.lit(False)), parts)
-
-
-def _blocks(vectors: DataFrame, count: int, name: str) -> DataFrame:
-    """One row per block: its number and the ids, rows and components packed."""
-    size = max(1, -(-count // BLOCK_VECTORS))
-    keyed = vectors.withColumn(name, F.pmod(F.xxhash64("rid"), F.lit(size)))
-    return keyed.groupBy(name).agg(
-        F.collect_list(F.struct("rid", "vec_id", "parts")).alias(f"{name}_rows"))
-
-
-def _unpack(scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
-    """rid, vec_id, null flags and components of a packed block."""
-    values = scalar.values
-    rid, ids, parts = (values.field(i) for i in range(3))
-    return (rid.to_numpy(), ids.fill_null(_HIGH).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False),
-            parts.to_pylist())
-
-
-def _matrix(rows: list, width: int) -> np.ndarray:
-    out = np.zeros((len(rows), width), np.int64)
-    for i, row in enumerate(rows):
-        out[i, :len(row)] = row
-    return out
-
-
-def _product(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
+def product(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     """Exact integer products: in doubles while they are exact, else in wider integers."""
-    if not queries.shape[1]:
+    if not queries.shape[1] or not len(queries) or not len(candidates):
         return np.zeros((len(queries), len(candidates)), np.int64)
-    top = int(np.abs(queries).max(initial=0)) * int(np.abs(candidates).max(initial=0)) * queries.shape[1]
+    top = int(abs(queries).max()) * int(abs(candidates).max()) * queries.shape[1]
     if top < 2 ** 52:
         return (queries.astype(np.float64) @ candidates.T.astype(np.float64)).astype(np.int64)
     if top < 2 ** 62:
@@ -87,74 +56,111 @@ def _product(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     return queries.astype(object) @ candidates.T.astype(object)
 
 
-def _partials(queries: list, candidates: list) -> list[np.ndarray]:
-    """Partial scores, one matrix per list."""
-    width = max([len(x) for x in (*queries, *candidates)], default=0)
-    q, c = _matrix(queries, width), _matrix(candidates, width)
-    cuts = np.linspace(0, width, LISTS + 1).astype(int)
-    return [_product(q[:, a:b], c[:, a:b]) for a, b in zip(cuts, cuts[1:])]
-
+class _Lists:
+    """Queries and candidates cut into lists of components of one width."""
 
-def _clip(scores: np.ndarray) -> np.ndarray:
-    return np.clip(scores, _LOW, _HIGH).astype(np.int64)
+    def __init__(self, queries: np.ndarray, candidates: np.ndarray):
+        width = max(queries.shape[1], candidates.shape[1])
+        q, c = padded(queries, width), padded(candidates, width)
+        cuts = np.linspace(0, width, LISTS + 1).astype(int)
+        self.parts = [(q[:, a:b], c[:, a:b]) for a, b in zip(cuts, cuts[1:])]
 
+    def partial(self, number: int, columns: np.ndarray | None = None) -> np.ndarray:
+        q, c = self.parts[number]
+        return product(q, c if columns is None else c[columns])
 
-_OUT = "query_rid bigint, query_id bigint, rid bigint, vec_id bigint, unnamed boolean, score bigint"
+    def exact(self, number: int, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        """Partial scores of single entries."""
+        q, c = self.parts[number]
+        wide = q.dtype == object or c.dtype == object or (
+            q.size and c.size and int(abs(q).max()) * int(abs(c).max()) * q.shape[1] >= 2 ** 62)
+        a, b = (q[rows].astype(object), c[columns].astype(object)) if wide else (q[rows], c[columns])
+        return (a * b).sum(axis=1) if q.shape[1] else np.zeros(len(rows), np.int64)
 
+    def lengths(self, number: int) -> tuple[np.ndarray, np.ndarray]:
+        with np.errstate(over="ignore"):
+            return tuple(np.sqrt((x.astype(np.float64) ** 2).sum(axis=1)) for x in self.parts[number])
 
-def _emit(q, c, rows, cols, scores) -> pa.RecordBatch:
-    """Chosen pairs without those of a query and its own row."""
-    keep = q[0][rows] != c[0][cols]
-    rows, cols, scores = rows[keep], cols[keep], scores[keep]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(x) for x in (q[0][rows], q[1][rows], c[0][cols], c[1][cols], c[2][cols], scores)],
-        names=[x.split()[0] for x in _OUT.split(", ")])
 
-
-def _first_phase(k: int):
+def _heads(queries, k: int):
+    """Phase 1: the best of the heads of the first tile's lists."""
     def run(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                q, c = (_unpack(batch.column(n)[i]) for n in ("q_rows", "c_rows"))
-                lists = _partials(q[3], c[3])
-                total = _clip(sum(lists))
-                take = min(k + 1, total.shape[1])  # one more, as the query's own row may be among them
-                chosen = np.concatenate(
-                    [np.argpartition(-x, take - 1, axis=1)[:, :take] for x in lists], axis=1)
-                chosen.sort(axis=1)
-                scores = np.take_along_axis(total, chosen, 1)
-                again = np.zeros(chosen.shape, bool)
-                again[:, 1:] = chosen[:, 1:] == chosen[:, :-1]
-                own = q[0][:, None] == c[0][chosen]
-                order = np.lexsort((-scores, again | own))[:, :k]
-                valid = ~np.take_along_axis(again | own, order, 1)
-                cols, best = (np.take_along_axis(x, order, 1) for x in (chosen, scores))
-                rows = np.broadcast_to(np.arange(len(q[0]))[:, None], cols.shape)
-                yield _emit(q, c, rows[valid], cols[valid], best[valid])
+        rids, parts = queries.value
+        best = Best(k)
+        for tile in tiles(batches):
+            for at in range(0, len(rids), TILE_QUERIES):
+                own = rids[at:at + TILE_QUERIES]
+                lists = _Lists(parts[at:at + TILE_QUERIES], tile.parts)
+                valid = own[:, None] != tile.rid
+                heads = {pair for number in range(LISTS)
+                         for pair in zip(*(x.tolist() for x in first_columns(lists.partial(number), valid, k)))}
+                if not heads:
+                    continue
+                rows, cols = (np.array(x) for x in zip(*sorted(heads)))
+                scores = sum(lists.exact(number, rows, cols) for number in range(LISTS))
+                for row, col, score in zip(rows.tolist(), cols.tolist(), scores.tolist()):
+                    best.add((int(own[row]), 0), score, bool(tile.unnamed[col]), int(tile.ids[col]), int(tile.rid[col]))
+            break
+        yield found_rows(best)
     return run
 
 
-def _second_phase(batches):
-    for batch in batches:
-        for i in range(batch.num_rows):
-            q, c = (_unpack(batch.column(n)[i]) for n in ("q_rows", "c_rows"))
-            known = dict(zip(*(batch.column("cuts")[i].values.field(n).to_pylist() for n in (0, 1))))
-            cut = np.array([known.get(r, _LOW) for r in q[0].tolist()], np.int64)
-            lists = _partials(q[3], c[3])
-            share = -((-cut) // LISTS)  # a sum of at least cut has a part of at least cut / LISTS
-            share = np.where(cut == _LOW, _LOW, share)
-            collected = np.zeros(lists[0].shape, bool)
-            for x in lists:
-                collected |= x >= share[:, None]
-            rows, cols = np.nonzero(collected)
-            scores = _clip(sum(x[rows, cols] for x in lists))
-            enough = scores >= cut[rows]
-            yield _emit(q, c, rows[enough], cols[enough], scores[enough])
-
-
-def _ranked(found: DataFrame, k: int) -> DataFrame:
-    order = W.partitionBy("query_rid").orderBy(F.desc("score"), "unnamed", "vec_id", "rid")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+def collected(lists: _Lists, cuts: list[int | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Phases 2 and 3 for one tile: rows, columns and exact scores of the entries that reach the
+    cutoffs (None: everything does)."""
+    n, m = len(lists.parts[0][0]), len(lists.parts[0][1])
+    # a sum of at least t has a part of at least t / LISTS, rounded up as parts are whole
+    share = [None if t is None else -(-t // LISTS) for t in cuts]
+    least = min((s for s in share if s is not None), default=None)
+    every = np.array([s is None for s in share])
+    kind = object if any(s is not None and abs(s) >= 2 ** 62 for s in share) else np.int64
+    bound = np.array([0 if s is None else s for s in share], kind)[:, None]
+    chosen = np.broadcast_to(every[:, None], (n, m)).copy()
+    partials: list[tuple[np.ndarray, np.ndarray | None]] = []
+    for number in range(LISTS):
+        q_length, c_length = lists.lengths(number)
+        if every.any() or least is None or least <= 0:
+            reach = np.ones(m, bool)
+        else:
+            reach = ~(q_length.max(initial=0) * c_length < float(least) * (1 - 1e-9))
+        columns = np.flatnonzero(reach)
+        scores = lists.partial(number, columns)
+        chosen[:, columns] |= (scores >= bound) & ~every[:, None]
+        place = np.full(m, -1)
+        place[columns] = np.arange(len(columns))
+        partials.append((place, scores))
+    rows, cols = np.nonzero(chosen)
+    total = np.zeros(len(rows), np.int64)
+    if any(scores.dtype == object for _, scores in partials):
+        total = total.astype(object)
+    for number, (place, scores) in enumerate(partials):
+        known = place[cols] >= 0
+        part = np.zeros(len(rows), total.dtype)
+        part[known] = scores[rows[known], place[cols[known]]]
+        missing = np.flatnonzero(~known)
+        if len(missing):
+            part[missing] = lists.exact(number, rows[missing], cols[missing])
+        total = total + part
+    whole = np.array([0 if t is None else t for t in cuts], kind)
+    enough = every[rows] | (total >= whole[rows])
+    return rows[enough], cols[enough], total[enough]
+
+
+def _entries(queries, cutoffs, k: int):
+    """Phases 2 and 3 over all tiles of a task."""
+    def run(batches):
+        rids, parts = queries.value
+        cuts = [cutoffs.value.get(rid) for rid in rids.tolist()]
+        best = Best(k)
+        for tile in tiles(batches):
+            for at in range(0, len(rids), TILE_QUERIES):
+                own = rids[at:at + TILE_QUERIES]
+                rows, cols, scores = collected(_Lists(parts[at:at + TILE_QUERIES], tile.parts), cuts[at:at + TILE_QUERIES])
+                other = own[rows] != tile.rid[cols]
+                for row, col, score in zip(rows[other].tolist(), cols[other].tolist(), scores[other].tolist()):
+                    best.add((int(own[row]), 0), score, bool(tile.unnamed[col]), int(tile.ids[col]), int(tile.rid[col]))
+        yield found_rows(best)
+    return run
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
@@ -163,31 +169,22 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     ``vectors`` has ``vec_id`` and the array ``embedding``; ``is_query`` marks queries.
     """
     spark = vectors.sparkSession
-    rows = stored(vectors.select(
-        F.col("vec_id").cast("bigint").alias("vec_id"), quantised(F.col("embedding")).alias("parts"),
-        F.coalesce(is_query, F.lit(False)).alias("query"),
-        F.monotonically_increasing_id().alias("rid")).filter("parts IS NOT NULL"), "vectors")
-    counts = rows.agg(F.count(F.lit(1)), F.count(F.when(F.col("query"), 1))).first()
-    c_blocks, q_blocks = (max(1, -(-n // BLOCK_VECTORS)) for n in counts)
-    cands = stored(_blocks(rows.drop("query"), counts[0], "c"), "candidate-blocks")
-    asked = stored(_blocks(rows.filter("query").drop("query"), counts[1], "q"), "query-blocks")
-
-    # Each query block meets each candidate block once, as a row of its own.
-    tasks = max(partitions(spark), 1)
-    each_q = cands.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))).withColumn("q", F.col("q").cast("bigint"))
-    each_c = asked.withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1)))).withColumn("c", F.col("c").cast("bigint"))
-    pairs = each_q.repartition(tasks, "q", "c").join(each_c.repartition(tasks, "q", "c"), ["q", "c"])
-
-    local = pairs.select("q_rows", "c_rows").mapInArrow(_first_phase(k), _OUT)
-    seen = _ranked(local, k).groupBy("query_rid").agg(
-        F.min("score").alias("cut"), F.count(F.lit(1)).alias("n")).filter(F.col("n") == k)
-    of_block = rows.filter("query").select("rid", F.pmod(F.xxhash64("rid"), F.lit(q_blocks)).alias("q"))
-    cuts = (seen.join(of_block, seen["query_rid"] == of_block["rid"])
-            .groupBy("q").agg(F.collect_list(F.struct("query_rid", "cut")).alias("cuts")))
-    cuts = stored(cuts, "cutoffs")
-    empty = F.array().cast("array<struct<query_rid:bigint,cut:bigint>>")
-    collected = (pairs.join(cuts, "q", "left")
-                 .select("q_rows", "c_rows", F.coalesce("cuts", empty).alias("cuts"))
-                 .mapInArrow(_second_phase, _OUT))
-    return _ranked(collected, k).select(
-        "query_id", "rank", F.when(~F.col("unnamed"), F.col("vec_id")).alias("vec_id"), "score")
+    rows = stored(usable(vectors, is_query), "vectors")
+    candidates = rows.select("rid", "vec_id", "embedding")
+    asked = stored(rows.filter("asks").drop("asks"), "queries")
+    blocks = query_blocks(asked)
+    results = None
+    for number in range(blocks):
+        block = query_block(asked, number, blocks)
+        if block is None:
+            continue
+        queries = spark.sparkContext.broadcast(block)
+        heads = ranked(candidates.mapInArrow(_heads(queries, k), FOUND), k).filter(F.col("rank") == k)
+        cutoffs = spark.sparkContext.broadcast(
+            {r["query"]: int(r["score"]) for r in heads.select("query", "score").collect()})
+        found = stored(ranked(candidates.mapInArrow(_entries(queries, cutoffs, k), FOUND), k), "entries")
+        results = found if results is None else results.unionByName(found)
+    if results is None:
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
+    named = asked.select(F.col("rid").alias("query"), F.col("vec_id").alias("query_id"))
+    return results.join(named, "query").select("query_id", "rank", "vec_id", clipped(F.col("score")).alias("score"))

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rillhouse.llm import hard_negatives
+from rillhouse.llm import vectors
 from rillhouse.llm.hard_negatives import hard_negatives as mine_negatives
 from rillhouse.llm.hard_negatives import products
 
@@ -62,7 +62,7 @@ def test_like_brute_force(spark):
 
 
 def test_many_blocks_of_anchors(spark, monkeypatch):
-    monkeypatch.setattr(hard_negatives, "BLOCK_COMPONENTS", 60)
+    monkeypatch.setattr(vectors, "BLOCK_COMPONENTS", 60)
     rng = random.Random(8)
     rows = [(i, [rng.uniform(-1, 1) for _ in range(4)], rng.randrange(2)) for i in range(300)]
     assert mined(spark, rows, every=30) == brute(rows, every=30)

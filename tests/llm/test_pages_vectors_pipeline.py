@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from rillhouse.llm import (
-    common, entries, html_text, language_id, suffix_dedup, top_k, url_filter,
+    common, entries, html_text, language_id, suffix_dedup, top_k, url_filter, vectors,
 )
 
 # ------------------------------------------------------------------ main text
@@ -227,19 +227,19 @@ def brute_top(rows, k=5):
     vectors = []
     for i, (vec_id, e) in enumerate(rows):
         if e is not None and all(x is not None and math.isfinite(x) for x in e):
-            vectors.append((i, vec_id, [math.floor(256 * x) for x in e]))
+            vectors.append((i, vec_id, [math.floor(256 * x) if abs(x) < 2.0 ** 40 else int(x) * 256 for x in e]))
     out = []
     for i, q, a in vectors:
         if q is None or q % 50:
             continue
         scored = sorted((-sum(x * y for x, y in zip(a, b)), v is None, v or 0) for j, v, b in vectors if j != i)
-        out += [(q, r, None if n else v, -s) for r, (s, n, v) in enumerate(scored[:k], 1)]
+        out += [(q, r, None if n else v, max(min(-s, 2 ** 63 - 1), -2 ** 63)) for r, (s, n, v) in enumerate(scored[:k], 1)]
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("block", [7, 2048])
+@pytest.mark.parametrize("block", [60, 1 << 20])
 def test_top_k_against_brute_force(spark, block, monkeypatch):
-    monkeypatch.setattr(top_k, "BLOCK_VECTORS", block)
+    monkeypatch.setattr(vectors, "BLOCK_COMPONENTS", block)
     rng = random.Random(2)
     rows = [(i, [rng.gauss(0, 0.3) for _ in range(6)]) for i in range(260)]
     rows += [(i, [0.5] * 6) for i in range(300, 310)] + [(None, [0.5] * 6), (400, None), (401, [None] * 6),
@@ -249,6 +249,30 @@ def test_top_k_against_brute_force(spark, block, monkeypatch):
     assert sorted((tuple(r) for r in found.collect()), key=repr) == brute_top(rows)
 
 
+def test_top_k_of_large_components(spark):
+    """Finite components of any size take part, and are compared exactly."""
+    rows = [(50, [1e17, 0.]), (1, [1e17, 1.]), (2, [1.0000000000000002e17, 0.]), (3, [-1e300, 5.]), (100, [1e300, -1e300]),
+            (4, [0., 1e-300]), (5, [3e38, 3e38]), (150, [0., 0.]), (6, [2.0 ** 54, 2.0 ** 60])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = sorted((tuple(r) for r in top_k.top_k(df, F.col("vec_id") % 50 == 0).collect()), key=repr)
+    assert found == brute_top(rows)
+
+
+def test_collected_entries_are_all_that_reach_the_cutoff():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    for high in (130, 2 ** 20, 2 ** 40):
+        q, c = rng.integers(-high, high, (20, 17)), rng.integers(-high, high, (300, 17))
+        c[::3] //= 60  # too short to reach a threshold: their lists are not read
+        full = q.astype(object) @ c.T.astype(object)
+        for cuts in ([None if i % 5 == 4 else int(np.sort(full[i])[-6]) for i in range(20)],
+                     [int(np.sort(full[i])[-1]) for i in range(20)], [-10 ** 30] * 20, [10 ** 30] * 20):
+            rows, cols, scores = top_k.collected(top_k._Lists(q, c), cuts)
+            assert dict(zip(zip(rows.tolist(), cols.tolist()), scores.tolist())) == {
+                (i, j): full[i, j] for i in range(20) for j in range(300) if cuts[i] is None or full[i, j] >= cuts[i]}
+
+
 def test_top_k_with_few_rows(spark):
     df = spark.createDataFrame([(50, [1.0]), (2, [2.0]), (3, [-3.0])], "vec_id bigint, embedding array<double>")
     found = sorted(tuple(r) for r in top_k.top_k(df, F.col("vec_id") % 50 == 0).collect())
