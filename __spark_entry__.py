@@ -223,6 +223,19 @@ def _tsv(table: str) -> Query:
     return lambda spark, sf_dir: tables.window_tsv(_window_rows(table, spark, sf_dir), table)
 
 
+def _daily_totals(table: str) -> Query:
+    """From the bucketed catalog table, filled once per run."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_path(spark, "catalog")
+        database = "windows_" + path.rsplit("-", 1)[1]
+        tables.create_window_tables(spark, database, location=path)
+        rows = _window_rows(table, spark, sf_dir).withColumn("ts", F.lit(0).cast("bigint"))
+        tables.insert_windows(rows, database, table)
+        return _plain(tables.daily_totals(spark, database, table))
+
+    return query
+
+
 def _window_dirty(stage: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = pipeline.window_dirty(_fact(spark, sf_dir))
@@ -602,6 +615,8 @@ def queries() -> dict[str, Query]:
         "dws_sku_latest20": _latest20(SKU, "sku_id"),
         "dws_province_latest20": _latest20(PROVINCE, "province_id"),
         "dws_traffic_latest20": _latest20(TRAFFIC, None),
+        "dws_sku_daily_totals": _daily_totals(SKU),
+        "dws_province_daily_totals": _daily_totals(PROVINCE),
         "dws_sku_tsv_export": _tsv(SKU),
         "dws_province_tsv_export": _tsv(PROVINCE),
         "dws_traffic_tsv_export": _tsv(TRAFFIC),

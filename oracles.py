@@ -606,6 +606,9 @@ UNION ALL SELECT 'dws_trade_province', 'bad amount', n FROM b"""
     sql["dws_sku_window"] = SKU + SKU_SELECT
     sql["dws_province_window"] = PROVINCE + PROVINCE_SELECT
     sql["dws_traffic_window"] = TRAFFIC + TRAFFIC_SELECT
+    for key, rows, text in (("sku", "sku", SKU), ("province", "prov", PROVINCE)):
+        sql[f"dws_{key}_daily_totals"] = text + f"""
+SELECT cur_date, {key}_id, {trade('order_amount', 'order_count')} FROM {rows} GROUP BY cur_date, {key}_id"""
     sql["dws_province_window_changelog"] = changelog() + "," + PROVINCE_WINDOW + PROVINCE_SELECT
     sql["dws_sku_latest20"] = SKU + f"{SKU_SELECT} ORDER BY stt DESC, sku_id LIMIT 20"
     sql["dws_province_latest20"] = PROVINCE + f"{PROVINCE_SELECT} ORDER BY stt DESC, province_id LIMIT 20"

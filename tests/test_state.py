@@ -277,3 +277,26 @@ def test_single_quotes_and_marks_stay_json(spark):
     sent = changes.detail_text(changes.split_changes(spark.createDataFrame(
         [(event, DAY, "")], "value string, arrival_ts timestamp, seq string"))).first().value
     assert json.loads(sent)["id"] == "7 12" and '"user_id":1.10' in sent
+
+
+# ------------------------------------------------------------------ bucketed tables
+
+def test_totals_of_a_bucketed_table_need_no_exchange(spark, tmp_path):
+    from rillhouse.plans import tables
+
+    tables.create_window_tables(spark, "bucketed_test", buckets=4, location=str(tmp_path / "db"))
+    rows = spark.range(200).selectExpr(
+        "concat('s', id % 7) AS sku_id", "timestamp'2024-01-01' + make_dt_interval(CAST(id % 3 AS INT)) AS stt",
+        "timestamp'2024-01-01 00:00:30' AS edt", "'n' AS sku_name", "date_add(date'2024-01-01', CAST(id % 3 AS INT)) AS cur_date",
+        "CAST(id AS DECIMAL(16,2)) AS order_amount", "1L AS order_count", "id AS sku_num", "0L AS ts")
+    tables.insert_windows(rows, "bucketed_test", "dws_trade_sku_order_window")
+    totals = tables.daily_totals(spark, "bucketed_test", "dws_trade_sku_order_window")
+    got = {(str(r.cur_date), r.sku_id): (int(r.order_amount), r.order_count) for r in totals.collect()}
+    want = {}
+    for i in range(200):
+        key = (str((DAY + datetime.timedelta(i % 3)).date()), f"s{i % 7}")
+        amount, count = want.get(key, (0, 0))
+        want[key] = amount + i, count + 1
+    assert got == want
+    assert "Exchange" not in totals._jdf.queryExecution().executedPlan().toString()
+    spark.sql("DROP DATABASE bucketed_test CASCADE")
