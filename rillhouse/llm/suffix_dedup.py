@@ -50,7 +50,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillhouse.llm.common import SLICE_ROWS, dropped, longs, partitions, stored, strings
+from rillhouse.llm.common import (
+    SLICE_ROWS, dropped, longs, partitions, release_shuffles, stored, stored_result, strings,
+)
 
 LENGTH = 400
 #: Window starts handled at once, which bounds a task's memory for very long texts.
@@ -537,8 +539,11 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, words: int = PASS
                     names=names)
 
     rows = keyed(documents)
-    tagged = spans(rows, length).withColumn("words", F.lit(False)).unionByName(
-        _word_spans(rows, words).withColumn("words", F.lit(True)))
+    in_bytes = stored_result(lambda: spans(rows, length), "byte-spans")
+    release_shuffles(documents.sparkSession)
+    in_words = stored_result(lambda: _word_spans(rows, words), "word-spans")
+    release_shuffles(documents.sparkSession)
+    tagged = in_bytes.withColumn("words", F.lit(False)).unionByName(in_words.withColumn("words", F.lit(True)))
     place = F.struct("begin", "finish")
     found = tagged.groupBy(*_KEY).agg(
         F.collect_list(F.when(~F.col("words"), place)).alias("in_bytes"),
