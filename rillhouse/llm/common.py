@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -62,13 +61,6 @@ def stored_result(make: Callable[[], DataFrame], name: str) -> DataFrame:
     return result
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Shuffle files stay until the driver's JVM collects the frames that made them; ask for
-    that between two heavy steps, so that the second does not add to the first one's disk."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -51,8 +51,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillhouse.llm.common import (
-    SLICE_ROWS, dropped, longs, partitions, release_shuffles, stored, stored_result, strings,
+    SLICE_ROWS, dropped, longs, partitions, stored, stored_result, strings,
 )
+from rillhouse.session import release_shuffles
 
 LENGTH = 400
 #: Window starts handled at once, which bounds a task's memory for very long texts.
