@@ -14,8 +14,10 @@ is verified by the exact similarity of the two sets of 64-bit shingle hashes.
 3. Lists that still hold more than one component are tried across components.  A list is
    dealt to tiles of bounded size; inside a tile the shared fingerprints of each pair are
    tallied, and only pairs with ``MATCHES`` or more of them, whose sizes allow the similarity,
-   leave it, each from the first list that it shares.  Documents that share a boilerplate, and
-   so one fingerprint, never become pairs.
+   count, each in the first list that it shares.  The nodes of such pairs get their sets; the
+   tile verifies its pairs with them and gives only the links that connect something new,
+   fewer than its nodes.  Documents that share a boilerplate, and so one fingerprint, never
+   become pairs.
 
 Texts are shuffled only to get the sets of nodes that are in a pair.
 
@@ -30,7 +32,7 @@ Defined results
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,9 +48,9 @@ from rillhouse.llm.suffix_dedup import keyed
 WIDTH = 5
 SIMILARITY = 0.8
 BANDS, ROWS, MATCHES = 30, 3, 3
-#: Shingles whose minima are taken at once; nodes of a list in a tile, on average, and pairs
-#: tallied at once.
-BLOCK, TILE, TALLIED = 1 << 12, 2048, 1 << 20
+#: Shingles whose minima are taken at once; nodes of a list in a tile, and their shingles, on
+#: average; pairs tallied at once.
+BLOCK, TILE, TILE_SHINGLES, TALLIED = 1 << 12, 2048, 1 << 21, 1 << 20
 
 _RNG = np.random.default_rng(20)
 _ORDERS = _RNG.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -187,73 +189,144 @@ def _tallied(band: int, own: tuple, other: tuple | None) -> Iterator[tuple[np.nd
         yield a + at, b
 
 
-def _across(lists: DataFrame) -> DataFrame:
-    """Pairs (hi, lo) of nodes of one list and of different components, as the module says.
-
-    ``lists`` has list, n (its nodes), node, size, root and bands.
-    """
-    tiles = F.ceil(F.col("n") / TILE)
-    tile = F.pmod(F.xxhash64("node"), tiles)
-    each = lists.withColumn("tile", tile).withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), tiles - 1)))
-    dealt = (each.select("list", F.least("tile", "with").alias("x"), F.greatest("tile", "with").alias("y"),
-                         "tile", "node", "size", "root", "bands")
-             .repartition(partitions(lists.sparkSession), "list", "x", "y")
+def _compared(key: tuple, columns: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of the tile ``key`` (list, x, y) that ``_tallied`` finds; columns are tile,
+    node, size, root and fingerprints, sorted by tile."""
+    tile, *side = columns
+    with_self = key[1] == key[2]
+    cut = len(tile) if with_self else int(np.searchsorted(tile, key[1], "right"))
+    if not cut or (not with_self and cut == len(tile)):
+        return
+    # a pair across components has a node outside the largest one
+    roots, counts = np.unique(side[2], return_counts=True)
+    inside = side[2] == roots[counts.argmax()]
+    out, held_in, other_out, other_in = (
+        at + np.flatnonzero(chosen[at:end]) for at, end in ((0, cut), (cut, len(tile))) for chosen in (~inside, inside))
+    for own, other in [(out, None), (out, held_in)] if with_self else [
+            (out, other_out), (out, other_in), (held_in, other_out)]:
+        second = own if other is None else other
+        for x, y in _tallied(key[0] >> 32, tuple(c[own] for c in side),
+                             None if other is None else tuple(c[other] for c in side)):
+            yield own[x], second[y]
+
+
+_TILE = ["list", "x", "y", "tile", "node", "size", "root", "bands"]
+_TILE_TYPES = ", ".join(f"{n} bigint" for n in _TILE[:-1]) + ", bands binary"
+
+
+def _by_tile(rows: DataFrame, work: Callable[[tuple, list], pa.RecordBatch | None], schema: str) -> DataFrame:
+    """``work(key, columns)`` for every tile (list, x, y); columns are those after the key, the
+    fingerprints as a matrix, binary ones behind them as lists of bytes."""
+    names = rows.columns[3:]
+    dealt = (rows.repartition(partitions(rows.sparkSession), "list", "x", "y")
              .sortWithinPartitions("list", "x", "y", "tile", "node"))
 
-    def pairs(key: tuple, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        tile, *side = columns
-        with_self = key[1] == key[2]
-        cut = len(tile) if with_self else int(np.searchsorted(tile, key[1], "right"))
-        if not cut or (not with_self and cut == len(tile)):
-            return
-        # a pair across components has a node outside the largest one
-        roots, counts = np.unique(side[2], return_counts=True)
-        inside = side[2] == roots[counts.argmax()]
-        parts = [[tuple(c[at][chosen[at]] for c in side) for chosen in (~inside, inside)]
-                 for at in (slice(0, cut), slice(cut, None))]
-        (out, held_in), (other_out, other_in) = parts
-        compared = [(out, None), (out, held_in)] if with_self else [
-            (out, other_out), (out, other_in), (held_in, other_out)]
-        for own, other in compared:
-            second = own if other is None else other
-            for x, y in _tallied(key[0] >> 32, own, other):
-                one, two = own[0][x], second[0][y]
-                yield pa.RecordBatch.from_arrays(
-                    [longs(np.maximum(one, two)), longs(np.minimum(one, two))], names=["hi", "lo"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
+        held: list[list] = []
         key = None
 
         def flush() -> Iterator[pa.RecordBatch]:
             if held:
-                yield from pairs(key, [np.concatenate(x) for x in zip(*held)])
+                columns = [sum(c, []) if isinstance(c[0], list) else np.concatenate(c) for c in zip(*held)]
                 held.clear()
+                if (made := work(key, columns)) is not None:
+                    yield made
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             keys = np.column_stack([batch.column(c).to_numpy() for c in ("list", "x", "y")])
-            rows = [batch.column(c).to_numpy() for c in ("tile", "node", "size", "root")]
-            rows.append(np.frombuffer(b"".join(batch.column("bands").to_pylist()), np.uint32).reshape(-1, BANDS))
+            columns = []
+            for name in names:
+                if name == "bands":
+                    columns.append(np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint32).reshape(-1, BANDS))
+                elif name == "members":
+                    columns.append(batch.column(name).to_pylist())
+                else:
+                    columns.append(batch.column(name).to_numpy())
             bounds = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
             for a, b in zip(bounds, bounds[1:]):
                 now = tuple(keys[a].tolist())
                 if now != key:
                     yield from flush()
                     key = now
-                held.append([c[a:b] for c in rows])
+                held.append([c[a:b] for c in columns])
         yield from flush()
 
-    return dealt.mapInArrow(run, "hi bigint, lo bigint")
+    return dealt.mapInArrow(run, schema)
+
+
+def _tiled(lists: DataFrame) -> DataFrame:
+    """Nodes of one list dealt to pairs of tiles (x, y).  ``lists`` has list, n (its nodes),
+    shingles (of all of them), node, size, root and bands."""
+    tiles = F.greatest(F.ceil(F.col("n") / TILE), F.ceil(F.col("shingles") / TILE_SHINGLES))
+    tile = F.pmod(F.xxhash64("node"), tiles)
+    each = lists.withColumn("tile", tile).withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), tiles - 1)))
+    return each.select("list", F.least("tile", "with").alias("x"), F.greatest("tile", "with").alias("y"),
+                       "tile", "node", "size", "root", "bands")
+
+
+def _paired(tiled: DataFrame) -> DataFrame:
+    """The rows of each tile that are in a pair there: no more than it holds."""
+    def work(key: tuple, columns: list) -> pa.RecordBatch | None:
+        used = np.zeros(len(columns[0]), bool)
+        for x, y in _compared(key, columns):
+            used[x] = used[y] = True
+        at = np.flatnonzero(used)
+        if not len(at):
+            return None
+        return pa.RecordBatch.from_arrays(
+            [longs(np.full(len(at), k)) for k in key] + [longs(c[at]) for c in columns[:-1]]
+            + [pa.array([columns[-1][i].tobytes() for i in at], pa.binary())], names=_TILE)
+
+    return _by_tile(tiled, work, _TILE_TYPES)
+
+
+def _across(lists: DataFrame, sketches: DataFrame, rows: DataFrame) -> DataFrame:
+    """Verified links (hi, lo) across components, as the module says: a spanning forest of those
+    that a tile finds, so fewer than its nodes."""
+    paired = stored(_paired(_tiled(lists)), "paired")
+    sets = _sets(paired.select("node").distinct(), sketches, rows)
+
+    def work(key: tuple, columns: list) -> pa.RecordBatch | None:
+        *columns, members = columns
+        above: dict[int, int] = {}
+        links: list[tuple[int, int]] = []
+
+        def top(root: int) -> int:
+            while root in above:
+                if above[root] in above:
+                    above[root] = above[above[root]]
+                root = above[root]
+            return root
+
+        nodes, roots = columns[1], columns[3].tolist()
+        for xs, ys in _compared(key, columns):
+            for x, y in zip(xs.tolist(), ys.tolist()):
+                one, two = top(roots[x]), top(roots[y])
+                if one != two and _alike(np.frombuffer(members[x], np.uint64), np.frombuffer(members[y], np.uint64)):
+                    above[one] = two
+                    links.append((int(nodes[x]), int(nodes[y])))
+        return pa.RecordBatch.from_arrays(
+            [longs([max(k) for k in links]), longs([min(k) for k in links])], names=["hi", "lo"]) if links else None
+
+    found = stored(_by_tile(paired.join(sets.dropDuplicates(["node"]), "node").select(*_TILE, "members"), work, "hi bigint, lo bigint").distinct(),
+                   "across")
+    dropped(sets)
+    dropped(paired)
+    return found
 
 
 # ------------------------------------------------------------------ verification
 
-def _verified(pairs: DataFrame, sketches: DataFrame, rows: DataFrame) -> DataFrame:
-    """The pairs (hi, lo) whose sets have the similarity."""
-    pairs = stored(pairs.distinct(), "candidates")
-    wanted = pairs.select(F.col("hi").alias("node")).union(pairs.select(F.col("lo").alias("node"))).distinct()
+def _alike(a: np.ndarray, b: np.ndarray) -> bool:
+    """Do two sets have the similarity?"""
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return shared >= SIMILARITY * (len(a) + len(b) - shared) - 1e-6
+
+
+def _sets(wanted: DataFrame, sketches: DataFrame, rows: DataFrame) -> DataFrame:
+    """(node, members) of the nodes in ``wanted``; repeated rows give their set more than once."""
     holders = sketches.join(wanted, "node").groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("k"))
     holders = holders.select("node", "k.k1", "k.k2")
 
@@ -262,9 +335,15 @@ def _verified(pairs: DataFrame, sketches: DataFrame, rows: DataFrame) -> DataFra
             return longs(nodes), pa.array([shingles(t).tobytes() for t in texts], pa.binary())
         return work
 
-    # repeated rows give their set more than once, which only repeats a verified pair
     texts = rows.join(holders, ["k1", "k2"]).select("node", "text")
-    sets = stored(map_slices(texts, make, "node bigint, members binary"), "sets")
+    return stored(map_slices(texts, make, "node bigint, members binary"), "sets")
+
+
+def _verified(pairs: DataFrame, sketches: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs (hi, lo) whose sets have the similarity."""
+    pairs = stored(pairs.distinct(), "candidates")
+    wanted = pairs.select(F.col("hi").alias("node")).union(pairs.select(F.col("lo").alias("node"))).distinct()
+    sets = _sets(wanted, sketches, rows)
     both = (pairs.join(sets.select(F.col("node").alias("lo"), F.col("members").alias("a")), "lo")
             .join(sets.select(F.col("node").alias("hi"), F.col("members").alias("b")), "hi"))
 
@@ -273,8 +352,7 @@ def _verified(pairs: DataFrame, sketches: DataFrame, rows: DataFrame) -> DataFra
             keep = []
             for i, (a, b) in enumerate(zip(batch.column("a"), batch.column("b"))):
                 a, b = (np.frombuffer(x.as_buffer(), np.uint64) for x in (a, b))
-                shared = len(np.intersect1d(a, b, assume_unique=True))
-                if shared >= SIMILARITY * (len(a) + len(b) - shared) - 1e-6:
+                if _alike(a, b):
                     keep.append(i)
             yield batch.select(["hi", "lo"]).take(pa.array(keep, pa.int64()))
 
@@ -299,11 +377,11 @@ def near_copies(documents: DataFrame) -> DataFrame:
     whole = lists.select(*_LIST).unionByName(lists.select(
         "list", F.col("first").alias("node"), F.col("first_size").alias("size")).distinct())
     named = whole.join(roots, "node", "left").select(*_LIST, F.coalesce("root", "node").alias("root"))
-    open_ = named.groupBy("list").agg(F.min("root").alias("a"), F.max("root").alias("b"),
-                                      F.count(F.lit(1)).alias("n")).filter("a <> b").select("list", "n")
+    open_ = named.groupBy("list").agg(
+        F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("n"),
+        F.sum("size").alias("shingles")).filter("a <> b").select("list", "n", "shingles")
     prints = sketches.groupBy("node").agg(F.first("bands").alias("bands"))
-    rest = _across(named.join(open_, "list").join(prints, "node"))
-    second = _verified(rest, sketches, rows)
+    second = _across(named.join(open_, "list").join(prints, "node"), sketches, rows)
     dropped(lists)
 
     roots = components(first.unionByName(second))

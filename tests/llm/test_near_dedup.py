@@ -82,3 +82,37 @@ def test_members_of_one_list_meet_across_components(spark):
     rows += [(100 + d, " ".join(prose(rng, 4))) for d in range(5)]
     assert kept(spark, rows) == brute_kept(rows)
     assert near_dedup.one_of_each(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_near_copies_below_the_similarity_make_no_pair_rows(spark):
+    """Members of a large group that are not alike make rows by their number, not its square."""
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(120):
+        words = list(base)
+        for at in rng.sample(range(300), 7):
+            words[at] = f"x{i}_{at}"
+        rows.append((i, " ".join(words)))
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    counted, by_tile = [], near_dedup._by_tile
+
+    def counting(rows, work, schema):
+        found = by_tile(rows, work, schema)
+        counted.append(found.count())
+        return found
+
+    near_dedup._by_tile = counting
+    try:
+        found = {r.doc_id: r.component_id for r in near_dedup.near_copies(documents).collect()}
+    finally:
+        near_dedup._by_tile = by_tile
+    sets = [set(near_dedup.shingles(t).tolist()) for _, t in rows]
+    root = list(range(len(rows)))
+    for _ in rows:
+        for i, a in enumerate(sets):
+            for j in range(i):
+                if len(a & sets[j]) >= 0.8 * len(a | sets[j]):
+                    root[i] = root[j] = min(root[i], root[j])
+    assert found == dict(enumerate(root))
+    assert counted and counted[-1] < len(rows) * near_dedup.BANDS
