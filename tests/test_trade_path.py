@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 from pyspark.sql import functions as F
 from rillhouse.feeds import derive
 from rillhouse.functions import is_json_object
-from rillhouse.operators import changes, facts
+from rillhouse.operators import changes, facts, replay
 from rillhouse.plans import pipeline
 from rillhouse.session import scratch_path
 from rillhouse.sources.schemas import FACT_FIELDS
@@ -87,3 +87,31 @@ def test_feed_files_go_when_a_slice_is_worked_off(spark):
     for _ in entry._slices([feed]):
         assert held(feed.path)
     assert not held(feed.path) and not held(feed.all)
+
+
+def test_changelog_sends_rows_only_to_slices_that_emit(spark):
+    """Rows in and around the batch's time, at the borders of slices: the emissions stay."""
+    second, ttl = 1000, replay.TTL_SECONDS * 1000
+    kind = "key string, side int, at bigint, seq string, payload struct<v: string>"
+
+    def side(number, times):
+        return spark.createDataFrame([(k, number, t, f"{i}", (f"{number}-{t}",)) for i, t in enumerate(times)
+                                      for k in ("a", None)], kind)
+
+    first, last = 2 * ttl - second, 3 * ttl
+    left, right = side(0, [first, 2 * ttl, last]), side(1, [first + 1, 2 * ttl + 5, last - 1])
+    earlier = side(0, [0, ttl - second, first - 1]), side(1, [5, ttl, ttl + 1, first - second, last + 1])
+    for alone in (True, False):
+        plain, narrow = (replay.keyed_changelog(left, right, emit_alone=alone, earlier=earlier, **more)
+                         for more in ({}, {"arrivals": (first, last)}))
+        assert same(plain, narrow) and plain.count()
+        assert len(sent(narrow)) < len(sent(plain))
+
+
+def sent(rows) -> list:
+    """Rows behind the generator that deals to slices."""
+    plan = rows._jdf.queryExecution().analyzed()
+    while "Generate" != plan.nodeName():
+        plan = plan.children().apply(0)
+    made = rows.sparkSession._jvm.org.apache.spark.sql.classic.Dataset.ofRows(rows.sparkSession._jsparkSession, plan)
+    return list(range(made.count()))
