@@ -458,6 +458,7 @@ def spans(rows: DataFrame, length: int = LENGTH, group: int = GROUP, *,
     again = stored(marks.select("gram", "context", "doc", "spot")
                    .join(twice.hint("shuffle_hash"), "gram", "left_semi"), "repeated-anchors")
     dropped(marks)
+    release_shuffles(rows.sparkSession)
 
     # both firsts come from one row, and contexts that stand once have only one
     contexts = stored(again.groupBy("gram", "context").agg(
@@ -465,14 +466,20 @@ def spans(rows: DataFrame, length: int = LENGTH, group: int = GROUP, *,
     copies = contexts.filter("n > 1").select("gram", "context")
     at, right = F.shiftright("spot", _SPOT_BITS), F.col("spot").bitwiseAND((1 << _SPOT_BITS) - 1)
     left = F.least(F.col("at"), F.lit(w - 1))
-    covered = (again.join(copies, ["gram", "context"], "left_semi")
-               .select("doc", at.alias("at"), right.alias("r")).filter(left + F.col("r") >= length)
-               .select("doc", (F.col("at") - left).alias("begin"), (F.col("at") + F.col("r")).alias("finish"))
-               .join(owners, "doc").select(*_KEY, "begin", "finish").distinct())
+    covered = stored(
+        again.join(copies, ["gram", "context"], "left_semi")
+        .select("doc", at.alias("at"), right.alias("r")).filter(left + F.col("r") >= length)
+        .select("doc", (F.col("at") - left).alias("begin"), (F.col("at") + F.col("r")).alias("finish"))
+        .join(owners, "doc").select(*_KEY, "begin", "finish").distinct(), "covered")
+    dropped(again)
     mixed = (contexts.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("fewest"))
              .filter("m > 1 AND fewest = 1").select("gram", "m"))
-    wanted = (contexts.join(mixed, "gram").join(owners, "doc")
-              .select(*_KEY, "gram", "m", "n", at.alias("at")))
+    wanted = stored(contexts.join(mixed, "gram").join(owners, "doc")
+                    .select(*_KEY, "gram", "m", "n", at.alias("at")), "wanted")
+    # the texts are shuffled next: nothing of the steps above is on disk beside them
+    dropped(contexts)
+    dropped(owners)
+    release_shuffles(rows.sparkSession)
     small = _with_bytes(rows, wanted.filter(F.col("m") <= group), length, encode)
     large = _with_bytes(rows, wanted.filter(F.col("m") > group), length, encode)
     return (covered.unionByName(_sorted_spans(small, length))

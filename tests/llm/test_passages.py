@@ -108,3 +108,26 @@ def test_extra_columns_keep_their_names(spark):
         rows = got.collect()
         assert {r.doc_id: (r.text or "").strip() for r in rows} == {1: "a", 2: "b", 3: ""}
         assert all(r[n] == f"value of {n}" for r in rows for n in names)
+
+
+def test_search_keeps_only_what_it_still_reads(spark, monkeypatch):
+    """When the texts are shuffled, what the steps before them stored is deleted."""
+    from pathlib import Path
+
+    from rillhouse.llm import common, suffix_dedup
+
+    rng = random.Random(9)
+    passage = prose(rng, 70)
+    rows = [(d, " ".join(prose(rng, 60) + passage + prose(rng, 60))) for d in range(12)]
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string")
+    since, left, with_bytes = len(common._folders), [], suffix_dedup._with_bytes
+
+    def looked(*given):
+        left.extend(f.rsplit("/", 1)[1].rsplit("-", 1)[0] for f in common._folders[since:]
+                    if Path(f.removeprefix("file:")).exists())
+        return with_bytes(*given)
+
+    monkeypatch.setattr(suffix_dedup, "_with_bytes", looked)
+    found = suffix_dedup._word_spans(suffix_dedup.keyed(documents), 51).collect()
+    assert set(left) == {"covered", "wanted"}
+    assert len({r.k1 for r in found}) == 12 and min(r.finish - r.begin for r in found) >= 51
