@@ -22,8 +22,8 @@ Defined results
 * null html counts as empty; a page without content has an empty text, not null.
 * a null url, or one without a host, belongs to the host of empty name.
 * repeated rows each appear; a broken end of a page is read as far as it goes.
-* elements nested deeper than ``DEPTH`` stand in the tree at that depth, their texts are
-  read like all others; children of long lists are aligned near the diagonal (``BAND``).
+* depth and width of a tree do not change how it is matched.  Nothing is recursive; lists of n
+  and m children take n * m steps, but no more memory than about m * sqrt(n) numbers.
 * an empty table gives an empty result; other columns are not read.
 """
 
@@ -33,8 +33,10 @@ import html
 import re
 import zlib
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
+from math import isqrt
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,10 +51,12 @@ COPY_SHARE = 0.05
 #: Pages of one host that a task takes; there are at most as many larger hosts as the number
 #: of pages divided by this.
 HOST_PAGES = 20_000
-#: Depth of the tree, and how far from each other paired children of long lists may stand.
-DEPTH, BAND, CELLS = 64, 64, 1 << 16
-#: Path elements that make a layout, from the root.
-LAYOUT_DEPTH = 5
+#: Scores of pairs of shapes that are remembered; forgotten ones are computed again.
+REMEMBERED = 1 << 18
+#: Numbers that are held at least, when two lists are aligned.
+HELD = 1 << 16
+#: Tags from the root that make a layout.
+LAYOUT_DEPTH = 4
 #: An article with less than this share of the longest one's text is a teaser.
 TEASER = 1 / 3
 
@@ -139,19 +143,25 @@ def _kind(tag: str, attributes: str, in_content: bool) -> tuple[bool, bool, bool
 
 
 class Leaf:
-    """A piece of text: its parents' tags, whether it is boilerplate, and where it belongs: 0
-    to no content, 1 to the main part, from 2 on to an article by its number."""
+    """A piece of text: its place (``_below`` of its parents' tags), the upper ones of these tags,
+    whether it is boilerplate, and where it belongs: 0 to no content, 1 to the main part, from 2
+    on to an article by its number."""
 
-    __slots__ = ("path", "text", "dropped", "content")
+    __slots__ = ("place", "upper", "text", "dropped", "content")
 
-    def __init__(self, path: str, text: str, dropped: bool, content: int):
-        self.path, self.text, self.dropped, self.content = path, text, dropped, content
+    def __init__(self, place: int, upper: str, text: str, dropped: bool, content: int):
+        self.place, self.upper, self.text, self.dropped, self.content = place, upper, text, dropped, content
+
+
+def _below(place: int, tag: str) -> int:
+    """Place of a child: the checksum of the path of tags, one tag longer."""
+    return zlib.crc32(f"/{tag}".encode(), place)
 
 
 def parse(page: str) -> tuple[list, list[Leaf]]:
     """(tree, leaves): nodes are [tag, children], leaves stand in the tree by number."""
     root: list = ["#", []]
-    stack = [("#", root, False, 0, "", False, 0)]  # tag, node, dropped, content, path, foreign, depth
+    stack = [("#", root, False, 0, (0, "", 0), False)]  # tag, node, dropped, content, path, foreign
     leaves: list[Leaf] = []
     buffer: list[str] = []
     open_tags: Counter[str] = Counter()
@@ -161,9 +171,9 @@ def parse(page: str) -> tuple[list, list[Leaf]]:
         text = " ".join("".join(buffer).split())
         buffer.clear()
         if text:
-            _, node, dropped, content, path, _, _ = stack[-1]
+            _, node, dropped, content, (place, upper, _), _ = stack[-1]
             node[1].append(len(leaves))
-            leaves.append(Leaf(path, text, dropped, content))
+            leaves.append(Leaf(place, upper, text, dropped, content))
 
     def pop_to(at: int) -> None:
         flush()
@@ -211,7 +221,7 @@ def parse(page: str) -> tuple[list, list[Leaf]]:
                 break
             if stack[i][0] in SCOPES and stack[i][0] not in closes:
                 break
-        _, node, dropped, content, path, foreign, depth = stack[-1]
+        _, node, dropped, content, path, foreign = stack[-1]
         boilerplate, alien, own = _kind(tag, attributes, content > 0)
         hidden = dropped or boilerplate
         if tag == "article" and content > 1:
@@ -225,13 +235,13 @@ def parse(page: str) -> tuple[list, list[Leaf]]:
         open_tags[tag] += 1
         if tag in BLOCKS or hidden != dropped:
             flush()
-            if depth < DEPTH:
-                child = [tag, []]
-                node[1].append(child)
-                node, path = child, f"{path}/{tag}"
-            stack.append((tag, node, hidden, content, path, foreign or alien, depth + 1))
+            child = [tag, []]
+            node[1].append(child)
+            place, upper, depth = path
+            path = _below(place, tag), f"{upper}/{tag}" if depth < LAYOUT_DEPTH else upper, depth + 1
+            stack.append((tag, child, hidden, content, path, foreign or alien))
         else:
-            stack.append((tag, node, dropped, content, path, foreign or alien, depth))
+            stack.append((tag, node, dropped, content, path, foreign or alien))
     flush()
     return root, leaves
 
@@ -248,36 +258,69 @@ class _Shapes:
         self.sizes: list[int] = []
         self.scores: dict[tuple[int, int], int] = {}
 
-    def of(self, node, seen: dict[int, int]) -> int:
-        if isinstance(node, int):
-            key: tuple = (None, ())
-        else:
-            if id(node) in seen:
-                return seen[id(node)]
-            key = (node[0], tuple([self.of(c, seen) for c in node[1]]))
-        number = self.numbers.get(key)
+    def _number(self, tag: str | None, parts: tuple) -> int:
+        number = self.numbers.get((tag, parts))
         if number is None:
-            number = self.numbers[key] = len(self.tags)
-            self.tags.append(key[0])
-            self.parts.append(key[1])
-            self.sizes.append(1 + sum(self.sizes[c] for c in key[1]))
-        if not isinstance(node, int):
-            seen[id(node)] = number
+            number = self.numbers[tag, parts] = len(self.tags)
+            self.tags.append(tag)
+            self.parts.append(parts)
+            self.sizes.append(1 + sum([self.sizes[c] for c in parts]))
         return number
 
-    def score(self, x: int, y: int) -> int:
-        """Nodes paired by a maximum matching of two shapes."""
+    def of(self, node, seen: dict[int, int]) -> int:
+        leaf = self._number(None, ())
+        if isinstance(node, int):
+            return leaf
+        open_ = [node]
+        while open_:
+            now = open_[-1]
+            below = [] if id(now) in seen else [c for c in now[1] if not isinstance(c, int) and id(c) not in seen]
+            if below:
+                open_ += below
+                continue
+            open_.pop()
+            if id(now) not in seen:
+                seen[id(now)] = self._number(
+                    now[0], tuple([leaf if isinstance(c, int) else seen[id(c)] for c in now[1]]))
+        return seen[id(node)]
+
+    def _known(self, x: int, y: int) -> int | None:
         if x == y:
             return self.sizes[x]
         if self.tags[x] is None or self.tags[x] != self.tags[y]:
             return 0
-        key = (x, y)
-        if key not in self.scores:
-            head, tail = self.ends(self.parts[x], self.parts[y])
-            xs, ys = (p[head:len(p) - tail] for p in (self.parts[x], self.parts[y]))
-            same = sum(self.sizes[c] for c in self.parts[x]) - sum(self.sizes[c] for c in xs)
-            self.scores[key] = 1 + same + (self.table(xs, ys)[-1][1][-1] if xs and ys else 0)
-        return self.scores[key]
+        return self.scores.get((x, y))
+
+    def score(self, x: int, y: int) -> int:
+        """Nodes paired by a maximum matching of two shapes."""
+        found = self._known(x, y)
+        return self._worked(self._scored(x, y)) if found is None else found
+
+    def _worked(self, work: Generator):
+        """The result of ``work``, which asks for the scores of pairs."""
+        open_, given = [work], None
+        while open_:
+            try:
+                pair = open_[-1].send(given)
+            except StopIteration as done:
+                given = done.value
+                open_.pop()
+            else:
+                given = None
+                open_.append(self._scored(*pair))
+        return given
+
+    def _scored(self, x: int, y: int) -> Generator:
+        head, tail = self.ends(self.parts[x], self.parts[y])
+        xs, ys = (p[head:len(p) - tail] for p in (self.parts[x], self.parts[y]))
+        found = 1 + sum([self.sizes[c] for c in self.parts[x]]) - sum([self.sizes[c] for c in xs])
+        if xs and ys:
+            rows = yield from self._rows(xs, ys, None, len(xs))
+            found += int(rows[-1][-1])
+        if len(self.scores) >= REMEMBERED:
+            self.scores.clear()
+        self.scores[x, y] = found
+        return found
 
     @staticmethod
     def ends(xs: tuple, ys: tuple) -> tuple[int, int]:
@@ -289,30 +332,47 @@ class _Shapes:
             tail += 1
         return head, tail
 
-    def table(self, xs: tuple, ys: tuple) -> list[tuple[int, list[int]]]:
-        """Row by row, (first place, best scores up to each place of the band): what the first
-        children of both lists give.  Lists of up to ``CELLS`` pairs are compared whole, longer
-        ones inside a band around the diagonal."""
-        band = BAND if len(xs) * len(ys) > CELLS else len(ys)
-        rows: list[tuple[int, list[int]]] = []
-        for i, x in enumerate(xs):
-            middle = i * len(ys) // len(xs)
-            low, high = max(0, middle - band), min(len(ys), middle + band + 1)
-            row: list[int] = []
-            best = 0
-            for j in range(low, high):
-                best = max(best, self.at(rows, i - 1, j), self.at(rows, i - 1, j - 1) + self.score(x, ys[j]))
-                row.append(best)
-            rows.append((low, row))
+    def _rows(self, xs: tuple, ys: tuple, best: np.ndarray | None, keep: int) -> Generator:
+        """Best scores of the first children of both lists: a row for ``best`` (none: zeros) and
+        one after each ``keep``-th of ``xs``, up to the last one.  Place j of a row is for the
+        first j of ``ys``."""
+        kinds: dict[int, int] = {}
+        where = np.array([kinds.setdefault(y, len(kinds)) for y in ys])
+        best = np.zeros(len(ys) + 1, np.int64) if best is None else best
+        rows = [best]
+        for i, x in enumerate(xs, 1):
+            row = []
+            for y in kinds:
+                known = self._known(x, y)
+                row.append((yield x, y) if known is None else known)
+            if any(row):
+                now = np.zeros_like(best)
+                np.maximum(best[1:], best[:-1] + np.array(row)[where], out=now[1:])
+                best = np.maximum.accumulate(now)
+            if i % keep == 0 or i == len(xs):
+                rows.append(best)
         return rows
 
-    @staticmethod
-    def at(rows: list[tuple[int, list[int]]], i: int, j: int) -> int:
-        """Best score of the first i + 1 and j + 1 children, as far as the band knows it."""
-        if i < 0 or j < 0:
-            return 0
-        low, row = rows[i]
-        return 0 if j < low else row[min(j - low, len(row) - 1)]
+    def aligned(self, xs: tuple, ys: tuple) -> list[tuple[int, int]]:
+        """Places of the children that a maximum matching of two lists pairs, last ones first.
+        One row in ``step`` is kept; those between are made on the way back."""
+        step = max(isqrt(len(xs)), HELD // len(ys)) + 1
+        blocks = range(0, len(xs), step)
+        kept = self._worked(self._rows(xs[:blocks[-1]], ys, None, step))
+        pairs, j = [], len(ys)
+        for low in reversed(blocks):
+            rows = self._worked(self._rows(xs[low:low + step], ys, kept[low // step], 1))
+            i = len(rows) - 1
+            while i and j:
+                now = rows[i][j]
+                if now == rows[i][j - 1]:
+                    j -= 1
+                elif now == rows[i - 1][j]:
+                    i -= 1
+                else:
+                    i, j = i - 1, j - 1
+                    pairs.append((low + i, j))
+        return pairs
 
 
 def match(a: list, b: list) -> list[tuple[int, int]]:
@@ -339,17 +399,7 @@ def match(a: list, b: list) -> list[tuple[int, int]]:
         inner_x, inner_y = xs[head:len(xs) - tail], ys[head:len(ys) - tail]
         if not inner_x or not inner_y:
             continue
-        rows, at = shapes.table(inner_x, inner_y), shapes.at
-        i, j = len(inner_x) - 1, len(inner_y) - 1
-        while i >= 0 and j >= 0:
-            now = at(rows, i, j)
-            if now == at(rows, i, j - 1):
-                j -= 1
-            elif now == at(rows, i - 1, j):
-                i -= 1
-            else:
-                open_.append((x[1][head + i], y[1][head + j]))
-                i, j = i - 1, j - 1
+        open_ += [(x[1][head + i], y[1][head + j]) for i, j in shapes.aligned(inner_x, inner_y)]
     return sorted(pairs)
 
 
@@ -375,33 +425,33 @@ def skeleton(page: str) -> tuple[str, int]:
             out.append(f"({node[0]}")
             open_.append(None)
             open_ += reversed(node[1])
-    upper = {"/".join(x.path.split("/")[:LAYOUT_DEPTH]) for x in leaves}
+    upper = {x.upper for x in leaves}
     return " ".join(out), zlib.crc32("|".join(sorted(upper)).encode())
 
 
-def _read(text: str) -> tuple[list, list[tuple[str, int, int]]]:
-    """(tree, leaves as (path, number, length)) of a skeleton."""
+def _read(text: str) -> tuple[list, list[tuple[int, int, int]]]:
+    """(tree, leaves as (place, number, length)) of a skeleton."""
     top: list = ["", []]
-    stack, paths, leaves = [top], [""], []
+    stack, places, leaves = [top], [0], []
     for token in text.split():
         if token[0] == "(":
             node = [token[1:], []]
             stack[-1][1].append(node)
             stack.append(node)
-            paths.append("" if len(stack) == 2 else f"{paths[-1]}/{token[1:]}")
+            places.append(0 if len(stack) == 2 else _below(places[-1], token[1:]))
         elif token == ")":
             stack.pop()
-            paths.pop()
+            places.pop()
         else:
             number, length = token.split(":")
             stack[-1][1].append(len(leaves))
-            leaves.append((paths[-1], int(number), int(length)))
+            leaves.append((places[-1], int(number), int(length)))
     return top[1][0], leaves
 
 
-def _slot(path: str, number: int) -> int:
+def _slot(place: int, number: int) -> int:
     """Key of a leaf: where it stands and what it says."""
-    return zlib.crc32(path.encode()) << 31 | number >> 1
+    return place << 31 | number >> 1
 
 
 # ------------------------------------------------------------------ Spark side
@@ -504,7 +554,7 @@ def _slots(pages: DataFrame) -> DataFrame:
                 for page in part.column("html").to_pylist():
                     leaves = content_leaves(page)
                     texts.append([x.text for x in leaves])
-                    slots.append([_slot(x.path, _print_of(x)) for x in leaves])
+                    slots.append([_slot(x.place, _print_of(x)) for x in leaves])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("page_id"), part.column("url"), part.column("host"),
                      pa.array(texts, pa.list_(pa.string())), pa.array(slots, pa.list_(pa.int64()))],

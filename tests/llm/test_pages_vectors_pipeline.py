@@ -165,6 +165,38 @@ def test_deep_wide_and_long_pages(spark, monkeypatch):
     assert found[3] == ("word " * 400_000).strip() and found[4].count("\n") > 3500
 
 
+def test_long_lists_are_aligned_far_from_the_diagonal(monkeypatch):
+    """Equal parts at other ends of two lists are paired, however long the lists are and however
+    few scores are remembered."""
+    many = {t: lambda at, n, t=t: [[t, [at + i]] for i in range(n)] for t in ("p", "ul", "ol")}
+    a = ["#", [["div", many["p"](0, 100) + many["ul"](100, 250)]]]
+    b = ["#", [["div", many["ol"](0, 250) + many["p"](250, 100)]]]
+    assert html_text.match(a, b) == [(i, 250 + i) for i in range(100)]
+    rng = random.Random(7)
+    for size in (9, 40):
+        a, b = (["r", [[rng.choice("ab"), [[rng.choice("cd"), [0] * rng.randint(0, 2)] for _ in range(rng.randint(0, 3))]]
+                       for _ in range(size)]] for _ in range(2))
+        shapes = html_text._Shapes()
+        assert shapes.score(shapes.of(a, {}), shapes.of(b, {})) == brute_match(a, b)
+        pairs = html_text.match(a, b)
+        monkeypatch.setattr(html_text, "REMEMBERED", 2)
+        monkeypatch.setattr(html_text, "HELD", 0)
+        assert html_text.match(a, b) == pairs
+        monkeypatch.undo()
+
+
+def test_depth_does_not_change_what_is_found(spark):
+    """A menu's entry is template, the same words in a paragraph are not, at any depth."""
+    rng = random.Random(8)
+    for depth in (3, 70, 2000):
+        rows, want = [], {}
+        for i in range(8):
+            body = varied(rng, 30) + ("</p><p>Entry" if i == 5 else "")
+            rows.append((i, "http://deep.org/", "<div>" * depth + f"<ul><li>Entry</li></ul><p>{body}</p>" + "</div>" * depth))
+            want[i] = body.replace("</p><p>", "\n")
+        assert texts_of(spark, rows) == want
+
+
 def test_large_hosts_are_dealt_out(spark, monkeypatch):
     monkeypatch.setattr(html_text, "HOST_PAGES", 5)
     rng = random.Random(6)
