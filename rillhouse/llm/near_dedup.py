@@ -1,16 +1,18 @@
 """Near-dedup of the pipeline: documents whose sets of five-word shingles have a Jaccard
 similarity of 0.8 or more are linked, and one of each group of linked documents stays.
 
-A similarity of 0.8 moves a 64-bit SimHash by about ten bits, and then no byte of it has to
-be equal: the byte-position index cannot find such pairs.  Candidates therefore come from
-``BANDS`` independent fingerprints, each made of ``ROWS`` minima of the set under different
-orders.  Two sets of similarity s share a fingerprint with probability s ** ROWS, so a pair
-at 0.8 shares about 15 of 30, and fewer than ``MATCHES`` with probability 2e-7.  Every link
-is verified by the exact similarity of the two sets of 64-bit shingle hashes.
+Candidates come from the SimHash of each set, by the byte-position index and its tally
+(``simhash.links``).  A similarity of 0.8 moves a 64-bit SimHash by about ten bits, and then no
+byte of it has to be equal: the index finds the pairs of up to three bits, not these.  The rest
+therefore comes from ``BANDS`` further fingerprints, each made of ``ROWS`` minima of the set
+under different orders.  Two sets of similarity s share one with probability s ** ROWS, so a
+pair at 0.8 shares about 15 of 30, and fewer than ``MATCHES`` with probability 2e-7.  Every
+link is verified by the exact similarity of the two sets of 64-bit shingle hashes.
 
 1. One pass over the texts: a node is a set of shingles (its digest); equal sets are one.
-2. Members of each list are paired with its smallest member, the pairs are verified and
-   closed to components.  A large group of copies ends here, with few pairs each.
+2. Nodes whose SimHashes the index links, and members of each list of the other fingerprints
+   with its smallest member, are pairs; they are verified and closed to components.  A large
+   group of copies ends here, with few pairs each.
 3. Lists that still hold more than one component are tried across components.  A list is
    dealt to tiles of bounded size; inside a tile the shared fingerprints of each pair are
    tallied, and only pairs with ``MATCHES`` or more of them, whose sizes allow the similarity,
@@ -42,7 +44,7 @@ from pyspark.sql import functions as F
 
 from rillhouse.llm.common import dropped, longs, map_slices, partitions, stored
 from rillhouse.llm.components import components
-from rillhouse.llm.simhash import shingle_hashes, word_blocks
+from rillhouse.llm.simhash import links, majority, shingle_hashes, votes_of, word_blocks
 from rillhouse.llm.suffix_dedup import keyed
 
 WIDTH = 5
@@ -94,21 +96,22 @@ def bands(members: np.ndarray) -> np.ndarray:
 
 
 def _sketches(rows: DataFrame) -> DataFrame:
-    """k1, k2, doc_id, node, size and fingerprints of every row."""
+    """k1, k2, doc_id, node, size, SimHash and other fingerprints of every row."""
     def make():
         def work(k1, k2, ids, texts):
-            nodes, sizes, keys = [], [], []
+            nodes, sizes, prints, keys = [], [], [], []
             for text in texts:
                 members = shingles(text)
                 nodes.append(xxhash.xxh64_intdigest(members.tobytes(), 7))
                 sizes.append(len(members))
+                prints.append(majority(votes_of(members), len(members)))
                 keys.append(bands(members).tobytes())
-            return (longs(k1), longs(k2), longs(ids), longs(np.array(nodes, np.uint64).view(np.int64)),
-                    longs(sizes), pa.array(keys, pa.binary()))
+            nodes, prints = (longs(np.array(x, np.uint64).view(np.int64)) for x in (nodes, prints))
+            return longs(k1), longs(k2), longs(ids), nodes, longs(sizes), prints, pa.array(keys, pa.binary())
         return work
 
     return map_slices(rows.select("k1", "k2", "doc_id", "text"), make,
-                      "k1 bigint, k2 bigint, doc_id bigint, node bigint, size bigint, bands binary")
+                      "k1 bigint, k2 bigint, doc_id bigint, node bigint, size bigint, fp bigint, bands binary")
 
 
 # ------------------------------------------------------------------ candidates
@@ -164,6 +167,24 @@ def _able(a, b):
     return F.least(a, b) >= F.greatest(a, b) * F.lit(SIMILARITY) - F.lit(1e-6)
 
 
+def _near_prints(sketches: DataFrame) -> DataFrame:
+    """Pairs (hi, lo) of nodes whose SimHashes the byte-position index links: nodes of one SimHash
+    with the smallest of them, and the smallest ones of two linked SimHashes."""
+    least = sketches.groupBy("fp").agg(F.min(F.struct("node", "size")).alias("x"))
+    least = stored(least.select("fp", F.col("x.node").alias("other"), F.col("x.size").alias("other_size")), "prints")
+    equal = sketches.select("fp", "node", "size").join(least, "fp")
+    near = (links(least.select("fp")).join(least.select(
+        F.col("fp").alias("hi"), F.col("other").alias("node"), F.col("other_size").alias("size")), "hi")
+            .join(least.withColumnRenamed("fp", "lo"), "lo"))
+    columns = ["node", "size", "other", "other_size"]
+    pairs = equal.select(*columns).unionByName(near.select(*columns)).filter("node <> other")
+    pairs = pairs.filter(_able(F.col("size"), F.col("other_size")))
+    found = stored(pairs.select(F.greatest("node", "other").alias("hi"), F.least("node", "other").alias("lo")).distinct(),
+                   "near-prints")
+    dropped(least)
+    return found
+
+
 def _tallied(band: int, own: tuple, other: tuple | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of places (in ``own``, in ``other`` or in ``own`` before) of different components
     that share enough fingerprints, none of them before ``band``.  A side is (node, size,
@@ -371,7 +392,9 @@ def near_copies(documents: DataFrame) -> DataFrame:
     lists = stored(_stars(_entries(sketches)), "lists")
     stars = lists.filter(_able(F.col("size"), F.col("first_size"))).select(
         F.col("node").alias("hi"), F.col("first").alias("lo"))
-    first = _verified(stars, sketches, rows)
+    near = _near_prints(sketches)
+    first = _verified(near.unionByName(stars), sketches, rows)
+    dropped(near)
 
     roots = components(first)
     whole = lists.select(*_LIST).unionByName(lists.select(

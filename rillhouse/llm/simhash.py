@@ -67,9 +67,8 @@ def shingle_hashes(words: list[bytes], width: int) -> list[int]:
             zip(starts[: len(words) - width + 1].tolist(), ends[width - 1:].tolist())]
 
 
-def _votes(words: list[bytes], width: int) -> np.ndarray:
-    """How many of the shingles set each of the 64 bits, highest bit first."""
-    hashes = shingle_hashes(words, width)
+def votes_of(hashes) -> np.ndarray:
+    """How many of the shingles' hashes set each of the 64 bits, highest bit first."""
     bits = np.unpackbits(np.array(hashes, ">u8").view(np.uint8).reshape(-1, 8), axis=1)
     votes = np.zeros(64, np.int64)
     for at in range(0, len(bits), 255):  # sums of 255 bits fit a byte, which numpy adds fastest
@@ -77,20 +76,25 @@ def _votes(words: list[bytes], width: int) -> np.ndarray:
     return votes
 
 
+def majority(votes: np.ndarray, shingles: int) -> int:
+    """The fingerprint: bits that over half of the shingles set."""
+    return int(np.packbits((votes * 2 > shingles).astype(np.uint8)).view(">u8")[0])
+
+
 def fingerprint(text: str, width: int = 3) -> int:
     """Unsigned 64-bit fingerprint of a text."""
     votes, shingles, carry = np.zeros(64, np.int64), 0, []
     for words in word_blocks(text.encode().lower()):
         words = carry + words
         if len(words) >= width:
-            votes += _votes(words, width)
+            votes += votes_of(shingle_hashes(words, width))
             shingles += len(words) - width + 1
             carry = words[len(words) - width + 1:]
         else:
             carry = words
     if not shingles and carry:
-        votes, shingles = _votes(carry, width), 1
-    return int(np.packbits((votes * 2 > shingles).astype(np.uint8)).view(">u8")[0])
+        votes, shingles = votes_of(shingle_hashes(carry, width)), 1
+    return majority(votes, shingles)
 
 
 def fingerprints(documents: DataFrame, width: int = 3) -> DataFrame:

@@ -6,7 +6,7 @@ import re
 import pytest
 
 import corpus_pipeline
-from rillhouse.llm import near_dedup
+from rillhouse.llm import near_dedup, simhash
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -116,3 +116,25 @@ def test_near_copies_below_the_similarity_make_no_pair_rows(spark):
                     root[i] = root[j] = min(root[i], root[j])
     assert found == dict(enumerate(root))
     assert counted and counted[-1] < len(rows) * near_dedup.BANDS
+
+
+def test_simhash_index_gives_candidates(spark, monkeypatch):
+    """Without the other fingerprints, the byte-position index alone links what is within three
+    bits, and the similarity still decides."""
+    rng = random.Random(11)
+    rows, want = [], {}
+    for d in range(0, 40, 2):
+        words = prose(rng, 400)
+        rows += [(d, " ".join(words)), (d + 1, " ".join(words[:-1]))]
+        want |= {d: d, d + 1: d}
+    prints = [simhash.majority(simhash.votes_of(s), len(s)) for s in (near_dedup.shingles(t) for _, t in rows)]
+    assert all((a ^ b).bit_count() <= 3 for a, b in zip(prints[::2], prints[1::2]))
+    rows += [(50, rows[3][1].upper()), (51, None)]
+    want |= {50: 2, 51: 51}
+    entries = near_dedup._entries
+    monkeypatch.setattr(near_dedup, "_entries", lambda sketches: entries(sketches).limit(0))
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_dedup.near_copies(documents).collect()} == want
+    monkeypatch.setattr(near_dedup, "_alike", lambda a, b: False)
+    apart = {r.doc_id: r.component_id for r in near_dedup.near_copies(documents).collect()}
+    assert apart == {d: d for d in want} | {50: 3}
