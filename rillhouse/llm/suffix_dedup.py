@@ -61,6 +61,8 @@ BLOCK = 1 << 17
 #: Different contexts of one k-gram that are sorted in one task at most, and contexts sorted
 #: together, in whole groups.
 GROUP, SORTED = 8_000, 8_000
+#: Anchors of one document that are worked off at once.
+SOME = 500
 #: Bytes that multikey quicksort looks at before blind tries take over.
 SHALLOW = 32
 #: Words that a passage must have to be cut by ``cut_passages``; bytes that stand for a word.
@@ -356,15 +358,13 @@ def anchor_rows(rows: DataFrame, length: int, encode: Callable[[str], bytes] = s
     return long_enough.select(*_KEY, "text").mapInArrow(run, _ANCHOR)
 
 
-_CONTEXT = "gram bigint, m bigint, n bigint, k1 bigint, k2 bigint, at bigint, head binary, tail binary"
-
-
-def _with_bytes(rows: DataFrame, wanted: DataFrame, length: int,
-                encode: Callable[[str], bytes] = str.encode) -> DataFrame:
-    """The bytes around the wanted anchors, cut out of the documents they stand in."""
-    _, w = window_of(length)
+def _around(rows: DataFrame, wanted: DataFrame, encode: Callable[[str], bytes], schema: str,
+            work: Callable[[list, bytes, pa.StructArray], list]) -> DataFrame:
+    """``work(key, encoded text, some wanted anchors)``, the columns of ``schema``, for every
+    document that holds wanted anchors.  One Python step: a second one on its rows would run
+    beside it, with a worker of its own in each running task."""
     per_document = wanted.groupBy(*_KEY).agg(F.collect_list(F.struct("gram", "m", "n", "at")).alias("a"))
-    names = [x.split()[0] for x in _CONTEXT.split(", ")]
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = None
@@ -376,17 +376,26 @@ def _with_bytes(rows: DataFrame, wanted: DataFrame, length: int,
                 before = key
                 data = encode(batch.column("text")[i].as_py())
                 found = batch.column("a")[i].values
-                for j in range(0, len(found), 5000):
-                    some = found.slice(j, 5000)
-                    at = some.field("at").to_pylist()
-                    columns = [some.field("gram"), some.field("m"), some.field("n"),
-                               *(longs([k] * len(at)) for k in key), some.field("at"),
-                               pa.array([data[max(0, x - w + 1):x] for x in at], pa.binary()),
-                               pa.array([data[x:x + length] for x in at], pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, names=names)
+                for j in range(0, len(found), SOME):
+                    yield pa.RecordBatch.from_arrays(work(key, data, found.slice(j, SOME)), names=names)
 
     # doc_id is carried so that this side equals that of the last join, and is shuffled once
-    return rows.join(per_document, list(_KEY)).select("doc_id", *_KEY, "text", "a").mapInArrow(run, _CONTEXT)
+    return rows.join(per_document, list(_KEY)).select("doc_id", *_KEY, "text", "a").mapInArrow(run, schema)
+
+
+def _with_bytes(rows: DataFrame, wanted: DataFrame, length: int,
+                encode: Callable[[str], bytes] = str.encode) -> DataFrame:
+    """The bytes around the wanted anchors, cut out of the documents they stand in."""
+    _, w = window_of(length)
+
+    def work(key: list, data: bytes, some: pa.StructArray) -> list:
+        at = some.field("at").to_pylist()
+        return [some.field("gram"), some.field("m"), some.field("n"), *(longs([k] * len(at)) for k in key),
+                some.field("at"), pa.array([data[max(0, x - w + 1):x] for x in at], pa.binary()),
+                pa.array([data[x:x + length] for x in at], pa.binary())]
+
+    return _around(rows, wanted, encode, "gram bigint, m bigint, n bigint, k1 bigint, k2 bigint, at bigint, "
+                                         "head binary, tail binary", work)
 
 
 _SPAN = "k1 bigint, k2 bigint, begin bigint, finish bigint"
@@ -421,25 +430,28 @@ def _sorted_spans(contexts: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(run, _SPAN)
 
 
-def _counted_spans(contexts: DataFrame, length: int) -> DataFrame:
-    """The same for groups of any size: windows are counted by hash."""
+def _counted_spans(rows: DataFrame, wanted: DataFrame, length: int,
+                   encode: Callable[[str], bytes] = str.encode) -> DataFrame:
+    """The same for groups of any size: windows around the wanted anchors are counted by hash."""
     _, w = window_of(length)
-    schema = "gram bigint, k1 bigint, k2 bigint, at bigint, n bigint, offset bigint, h1 bigint, h2 bigint"
-    names = [x.split()[0] for x in schema.split(", ")]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(key: list, data: bytes, some: pa.StructArray) -> list:
         one, two = _hashes(length)
-        for batch in batches:
-            for row in batch.to_pylist():
-                data, left = row["head"] + row["tail"], len(row["head"])
-                offsets = np.arange(min(w, left + 1))
-                offsets = offsets[left - offsets + length <= len(data)]
-                starts, raw = left - offsets, np.frombuffer(data, np.uint8)
-                hashes = [x.of(x.sums(raw), starts, starts + length).view(np.int64) for x in (one, two)]
-                same = [np.full(len(offsets), row[k]) for k in ("gram", "k1", "k2", "at", "n")]
-                yield pa.RecordBatch.from_arrays([longs(x) for x in (*same, offsets, *hashes)], names=names)
-
-    windows = contexts.mapInArrow(run, schema)
+        out = []
+        for at in some.field("at").to_pylist():
+            left = min(at, w - 1)
+            raw = np.frombuffer(data[at - left:at + length], np.uint8)
+            offsets = np.arange(left + 1)
+            offsets = offsets[left - offsets + length <= len(raw)]
+            starts = left - offsets
+            out.append((offsets, *(x.of(x.sums(raw), starts, starts + length).view(np.int64) for x in (one, two))))
+        sizes = [len(x[0]) for x in out]
+        same = [np.repeat(some.field(k).to_numpy(), sizes) for k in ("gram", "at", "n")]
+        keys = [np.full(sum(sizes), k) for k in key]
+        return [longs(x) for x in (*same, *keys, *map(np.concatenate, zip(*out)))]
+
+    windows = _around(rows, wanted, encode, "gram bigint, at bigint, n bigint, k1 bigint, k2 bigint, "
+                                            "offset bigint, h1 bigint, h2 bigint", work)
     window = ["gram", "offset", "h1", "h2"]  # one place counts once for each of its anchors
     twice = windows.groupBy(*window).agg(F.sum("n").alias("t")).filter("t > 1").select(*window)
     found = windows.filter("n = 1").join(twice, window, "left_semi")
@@ -481,9 +493,8 @@ def spans(rows: DataFrame, length: int = LENGTH, group: int = GROUP, *,
     dropped(owners)
     release_shuffles(rows.sparkSession)
     small = _with_bytes(rows, wanted.filter(F.col("m") <= group), length, encode)
-    large = _with_bytes(rows, wanted.filter(F.col("m") > group), length, encode)
-    return (covered.unionByName(_sorted_spans(small, length))
-            .unionByName(_counted_spans(large, length)))
+    large = _counted_spans(rows, wanted.filter(F.col("m") > group), length, encode)
+    return covered.unionByName(_sorted_spans(small, length)).unionByName(large)
 
 
 def merged(begins: list[int], finishes: list[int]) -> list[tuple[int, int]]:

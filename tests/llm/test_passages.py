@@ -131,3 +131,24 @@ def test_search_keeps_only_what_it_still_reads(spark, monkeypatch):
     found = suffix_dedup._word_spans(suffix_dedup.keyed(documents), 51).collect()
     assert set(left) == {"covered", "wanted"}
     assert len({r.k1 for r in found}) == 12 and min(r.finish - r.begin for r in found) >= 51
+
+
+def test_search_has_one_python_step_a_task(spark):
+    """Steps on each other's rows run side by side, with a worker each: memory of four for two cores."""
+    from rillhouse.llm import suffix_dedup
+
+    rng = random.Random(10)
+    passage = prose(rng, 70)
+    rows = [(d, " ".join(prose(rng, 60) + passage + prose(rng, 60))) for d in range(12)]
+    documents = suffix_dedup.keyed(spark.createDataFrame(rows, "doc_id bigint, text string"))
+
+    def steps(node):
+        """(Python steps in a row above, at most) of a plan."""
+        below = [steps(node.children().apply(i)) for i in range(node.children().size())]
+        chain = max([0, *(x[0] for x in below)])
+        here = chain + 1 if "InArrow" in node.nodeName() else 0 if len(below) != 1 or "epartition" in node.nodeName() else chain
+        return here, max([here, *(x[1] for x in below)])
+
+    found = suffix_dedup.spans(documents, 100, 2)
+    assert steps(found._jdf.queryExecution().optimizedPlan())[1] == 1
+    assert found.count() >= 12
