@@ -23,10 +23,10 @@ and the bytes it covers are [a - L, a + R).
    texts hold, each with other text beside it) is no group for one task.  Its windows are
    counted by hash instead, with partial sums, over all tasks; the result is the same.
 
-The same search runs over words (``cut_passages``): each word becomes ``CODE`` bytes, so a
-passage of n words is a string of ``CODE * n`` bytes whatever its words' lengths and the white
-space between them.  Two different windows of 51 words are taken for equal only if all 32-bit
-codes agree.
+The same search runs over words (``cut_passages``): each word becomes a 32-bit code, and the
+search goes by codes as it goes by bytes otherwise, whatever the words' lengths and the white
+space between them.  Two different windows of 51 words are taken for equal only if all codes
+agree.
 
 Defined results
 * null text counts as empty; texts shorter than ``length`` keep all bytes.
@@ -38,6 +38,7 @@ Defined results
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 from collections.abc import Callable, Iterator
@@ -45,7 +46,6 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -65,10 +65,8 @@ GROUP, SORTED = 8_000, 8_000
 SOME = 500
 #: Bytes that multikey quicksort looks at before blind tries take over.
 SHALLOW = 32
-#: Words that a passage must have to be cut by ``cut_passages``; bytes that stand for a word.
-PASSAGE, CODE = 51, 4
-#: Words whose codes a worker remembers.
-CODES = 100_000
+#: Words that a passage must have to be cut by ``cut_passages``; characters of a word at most.
+PASSAGE, LONGEST = 51, 64
 
 
 def window_of(length: int) -> tuple[int, int]:
@@ -82,41 +80,74 @@ def window_of(length: int) -> tuple[int, int]:
 # characters of scripts without spaces between words count as a word each, and long runs
 # (encoded data) as a word for every 64 characters
 _SINGLE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
-WORD = re.compile(f"[{_SINGLE}]|[^\\s{_SINGLE}]{{1,64}}")
-_codes: dict[str, bytes] = {}
+WORD = re.compile(f"[{_SINGLE}]|[^\\s{_SINGLE}]{{1,{LONGEST}}}")
 
 
-def word_codes(text: str) -> bytes:
-    """``CODE`` bytes for each word."""
-    words = WORD.findall(text)
-    for word in set(words).difference(_codes):
-        if len(_codes) >= CODES:
-            _codes.clear()
-            return b"".join(xxhash.xxh32_digest(w.encode()) for w in words)
-        _codes[word] = xxhash.xxh32_digest(word.encode())
-    return b"".join([_codes[w] for w in words])
-
-
-# ------------------------------------------------------------------ hashes
-
 def _mix(x: np.ndarray) -> np.ndarray:
     for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
         x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
     return x ^ (x >> np.uint64(33))
 
 
+@functools.cache
+def _kinds() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a character: white space 0, part of a word 1, a word 2; its hash, up to U+FFFF; powers
+    of the hash of a word."""
+    kind = np.ones(0x110000, np.uint8)
+    kind[[c for c in range(0x10000) if chr(c).isspace()]] = 0
+    for a, b in re.findall("(.)-(.)", _SINGLE):
+        kind[ord(a):ord(b) + 1] = 2
+    powers = np.cumprod(np.full(LONGEST, 0x9E3779B97F4A7C15, np.uint64))
+    return kind, _mix(np.arange(1, 0x10001, dtype=np.uint64)), powers
+
+
+def word_codes(text: str) -> np.ndarray:
+    """A 32-bit code for each match of ``WORD``."""
+    kind, hashes, powers = _kinds()
+    points = np.frombuffer(text.encode(), np.uint8) if text.isascii() else np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    kinds = kind[points]
+    edges = np.flatnonzero(np.diff(kinds == 1, prepend=False, append=False))
+    starts, ends = edges[::2], edges[1::2]
+    sizes = ends - starts
+    if len(sizes) and sizes.max() > LONGEST:
+        pieces = -(-sizes // LONGEST)
+        within = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        starts, ends = np.repeat(starts, pieces) + LONGEST * within, np.repeat(ends, pieces)
+        sizes = np.minimum(ends - starts, LONGEST)
+    single = np.flatnonzero(kinds == 2)
+    if len(single):
+        starts, sizes = np.concatenate([starts, single]), np.concatenate([sizes, np.ones(len(single), np.int64)])
+        order = np.argsort(starts)
+        starts, sizes = starts[order], sizes[order]
+    if not len(starts):
+        return np.zeros(0, np.uint32)
+    firsts = np.cumsum(sizes) - sizes  # of each word, among the characters of words
+    inside = points[kinds > 0]
+    values = hashes[inside] if text.isascii() or inside.max() < len(hashes) else _mix(inside.astype(np.uint64) + np.uint64(1))
+    place = np.arange(len(inside)) - np.repeat(firsts, sizes)
+    return (_mix(np.add.reduceat(values * powers[place], firsts)) >> np.uint64(32)).astype(np.uint32)
+
+
+def text_bytes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode(), np.uint8)
+
+
+# ------------------------------------------------------------------ hashes
+
 class Rolling:
-    """Polynomial hashes of any part of a byte string, modulo 2^64, for one odd base."""
+    """Polynomial hashes of any part of a string of bytes or codes, modulo 2^64, for one odd base."""
 
     def __init__(self, base: int, size: int):
-        self.codes = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(base | 1))
+        self.base = np.uint64(base | 1)
+        self.codes = _mix(np.arange(1, 257, dtype=np.uint64) * self.base)
         self.powers, self.inverse = (
             np.concatenate([[np.uint64(1)], np.cumprod(np.full(size, b, np.uint64))])
             for b in (base | 1, pow(base | 1, -1, 1 << 64)))
 
     def sums(self, raw: np.ndarray) -> np.ndarray:
         out = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(self.codes[raw] * self.powers[:len(raw)], out=out[1:])
+        codes = self.codes[raw] if raw.dtype == np.uint8 else _mix((raw + np.uint64(1)) * self.base)
+        np.cumsum(codes * self.powers[:len(raw)], out=out[1:])
         return out
 
     def of(self, sums: np.ndarray, start, end) -> np.ndarray:
@@ -143,15 +174,15 @@ def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
     return values
 
 
-def anchors(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """place, k-gram hash, context hash, bytes to the left and to the right.
+def anchors(data: bytes | np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
+    """place, k-gram hash, context hash, bytes (or codes) to the left and to the right.
 
     Contexts are told apart by both hashes, 128 bits of two different bases.
     """
     k, w = window_of(length)
     one, two = _hashes(length)
     n, found = len(data), []
-    raw = np.frombuffer(data, np.uint8)
+    raw = np.frombuffer(data, np.uint8) if isinstance(data, bytes) else data
     for begin in range(0, n - length + 1, BLOCK):
         end = min(begin + BLOCK, n - length + 1)
         low, high = max(0, begin - w), min(n, end + w + length)
@@ -292,20 +323,32 @@ def _multikey(keys: np.ndarray, groups: np.ndarray) -> np.ndarray:
     return order
 
 
+def _most_shared(order: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """The longest prefix that each string shares with another of its group."""
+    out = np.empty(len(order), np.int64)
+    out[order] = np.maximum(shared, np.append(shared[1:], -1))
+    return out
+
+
 def shared_windows(lefts: list[bytes], rights: list[bytes], groups: np.ndarray,
-                   length: int) -> tuple[np.ndarray, np.ndarray]:
+                   length: int, unit: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """(least, most) offset to the left at which each context shares a whole window with
-    another of its group; most is -1 if there is none."""
+    another of its group; most is -1 if there is none.  Offsets and length count codes of
+    ``unit`` bytes."""
     n = len(rights)
     right_order, right_shared = deep_shallow(rights, groups)
     left_order, left_shared = deep_shallow([x[::-1] for x in lefts], groups)
+    right_shared, left_shared = right_shared // unit, left_shared // unit  # -1 stays -1
     least, most = np.zeros(n, np.int64), np.full(n, -1, np.int64)
-    sizes = np.array([[len(x), len(y)] for x, y in zip(lefts, rights)]).reshape(n, 2)
+    # a window is shared only where both of its sides are
+    to_right, to_left = _most_shared(right_order, right_shared), _most_shared(left_order, left_shared)
     right_class, left_class = np.empty(n, np.int64), np.empty(n, np.int64)
     for offset in range(window_of(length)[1]):
+        able = np.flatnonzero((to_left >= offset) & (to_right >= length - offset))
+        if not len(able):
+            continue
         right_class[right_order] = np.cumsum(right_shared < length - offset)
         left_class[left_order] = np.cumsum(left_shared < offset)
-        able = np.flatnonzero((sizes[:, 0] >= offset) & (sizes[:, 1] >= length - offset))
         _, where, count = np.unique(right_class[able] * (n + 1) + left_class[able],
                                     return_inverse=True, return_counts=True)
         both = able[count[where] > 1]
@@ -327,12 +370,12 @@ def keyed(documents: DataFrame) -> DataFrame:
                             F.xxhash64(doc, text).alias("k2"), text.alias("text"))
 
 
-#: ``spot`` holds the anchor's place and, in its low bits, the bytes of context to the right.
+#: The first anchor of a document has its key.  ``spot`` holds the anchor's place and, in its low bits, the bytes of context to the right.
 _ANCHOR = "gram bigint, context bigint, doc bigint, spot bigint, k1 bigint, k2 bigint"
 _SPOT_BITS = 20
 
 
-def anchor_rows(rows: DataFrame, length: int, encode: Callable[[str], bytes] = str.encode,
+def anchor_rows(rows: DataFrame, length: int, encode: Callable[[str], np.ndarray] = text_bytes,
                 least: int | None = None) -> DataFrame:
     """Anchors of the encoded texts, documents numbered by task; ``least`` bytes of text are
     needed for ``length`` encoded ones."""
@@ -351,15 +394,17 @@ def anchor_rows(rows: DataFrame, length: int, encode: Callable[[str], bytes] = s
                 docs = np.repeat(np.arange(number, number + len(sizes)), sizes)
                 number += len(sizes)
                 gram, context, spot = (longs(np.concatenate(x)) for x in zip(*out))
-                keys = [longs(np.repeat(part.column(i).to_numpy(), sizes)) for i in (0, 1)]
+                first = np.zeros(sum(sizes), bool)
+                first[(np.cumsum(sizes) - sizes)[np.array(sizes) > 0]] = True
+                keys = [pa.array(np.repeat(part.column(i).to_numpy(), sizes), pa.int64(), mask=~first) for i in (0, 1)]
                 yield pa.RecordBatch.from_arrays([gram, context, longs(docs), spot, *keys], names=names)
 
     long_enough = rows.filter(F.octet_length("text") >= (length if least is None else least))
     return long_enough.select(*_KEY, "text").mapInArrow(run, _ANCHOR)
 
 
-def _around(rows: DataFrame, wanted: DataFrame, encode: Callable[[str], bytes], schema: str,
-            work: Callable[[list, bytes, pa.StructArray], list]) -> DataFrame:
+def _around(rows: DataFrame, wanted: DataFrame, encode: Callable[[str], np.ndarray], schema: str,
+            work: Callable[[list, np.ndarray, pa.StructArray], list]) -> DataFrame:
     """``work(key, encoded text, some wanted anchors)``, the columns of ``schema``, for every
     document that holds wanted anchors.  One Python step: a second one on its rows would run
     beside it, with a worker of its own in each running task."""
@@ -384,15 +429,15 @@ def _around(rows: DataFrame, wanted: DataFrame, encode: Callable[[str], bytes],
 
 
 def _with_bytes(rows: DataFrame, wanted: DataFrame, length: int,
-                encode: Callable[[str], bytes] = str.encode) -> DataFrame:
+                encode: Callable[[str], np.ndarray] = text_bytes) -> DataFrame:
     """The bytes around the wanted anchors, cut out of the documents they stand in."""
     _, w = window_of(length)
 
-    def work(key: list, data: bytes, some: pa.StructArray) -> list:
+    def work(key: list, data: np.ndarray, some: pa.StructArray) -> list:
         at = some.field("at").to_pylist()
         return [some.field("gram"), some.field("m"), some.field("n"), *(longs([k] * len(at)) for k in key),
-                some.field("at"), pa.array([data[max(0, x - w + 1):x] for x in at], pa.binary()),
-                pa.array([data[x:x + length] for x in at], pa.binary())]
+                some.field("at"), pa.array([data[max(0, x - w + 1):x].tobytes() for x in at], pa.binary()),
+                pa.array([data[x:x + length].tobytes() for x in at], pa.binary())]
 
     return _around(rows, wanted, encode, "gram bigint, m bigint, n bigint, k1 bigint, k2 bigint, at bigint, "
                                          "head binary, tail binary", work)
@@ -401,13 +446,13 @@ def _with_bytes(rows: DataFrame, wanted: DataFrame, length: int,
 _SPAN = "k1 bigint, k2 bigint, begin bigint, finish bigint"
 
 
-def _sorted_spans(contexts: DataFrame, length: int) -> DataFrame:
+def _sorted_spans(contexts: DataFrame, length: int, unit: int = 1) -> DataFrame:
     """Spans of unique contexts, from groups that one task can sort."""
     names = [x.split()[0] for x in _SPAN.split(", ")]
 
     def judged(held: list[list]) -> pa.RecordBatch:
         gram, _, n, k1, k2, at, head, tail = held
-        least, most = shared_windows(head, tail, np.array(gram), length)
+        least, most = shared_windows(head, tail, np.array(gram), length, unit)
         keep = np.flatnonzero((most >= 0) & (np.array(n) == 1))
         k1, k2, at = (np.array(x, np.int64)[keep] for x in (k1, k2, at))
         return pa.RecordBatch.from_arrays(
@@ -431,16 +476,16 @@ def _sorted_spans(contexts: DataFrame, length: int) -> DataFrame:
 
 
 def _counted_spans(rows: DataFrame, wanted: DataFrame, length: int,
-                   encode: Callable[[str], bytes] = str.encode) -> DataFrame:
+                   encode: Callable[[str], np.ndarray] = text_bytes) -> DataFrame:
     """The same for groups of any size: windows around the wanted anchors are counted by hash."""
     _, w = window_of(length)
 
-    def work(key: list, data: bytes, some: pa.StructArray) -> list:
+    def work(key: list, data: np.ndarray, some: pa.StructArray) -> list:
         one, two = _hashes(length)
         out = []
         for at in some.field("at").to_pylist():
             left = min(at, w - 1)
-            raw = np.frombuffer(data[at - left:at + length], np.uint8)
+            raw = data[at - left:at + length]
             offsets = np.arange(left + 1)
             offsets = offsets[left - offsets + length <= len(raw)]
             starts = left - offsets
@@ -461,11 +506,11 @@ def _counted_spans(rows: DataFrame, wanted: DataFrame, length: int,
 
 
 def spans(rows: DataFrame, length: int = LENGTH, group: int = GROUP, *,
-          encode: Callable[[str], bytes] = str.encode, least: int | None = None) -> DataFrame:
+          encode: Callable[[str], np.ndarray] = text_bytes, least: int | None = None) -> DataFrame:
     """(k1, k2, begin, finish): repeated bytes of documents from ``keyed``; may overlap."""
     _, w = window_of(length)
     marks = stored(anchor_rows(rows, length, encode, least), "anchors")
-    owners = stored(marks.select("doc", *_KEY).distinct(), "owners")
+    owners = stored(marks.filter("k1 IS NOT NULL").select("doc", *_KEY), "owners")
     twice = marks.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
     again = stored(marks.select("gram", "context", "doc", "spot")
                    .join(twice.hint("shuffle_hash"), "gram", "left_semi"), "repeated-anchors")
@@ -494,7 +539,7 @@ def spans(rows: DataFrame, length: int = LENGTH, group: int = GROUP, *,
     release_shuffles(rows.sparkSession)
     small = _with_bytes(rows, wanted.filter(F.col("m") <= group), length, encode)
     large = _counted_spans(rows, wanted.filter(F.col("m") > group), length, encode)
-    return covered.unionByName(_sorted_spans(small, length)).unionByName(large)
+    return covered.unionByName(_sorted_spans(small, length, encode("").itemsize)).unionByName(large)
 
 
 def merged(begins: list[int], finishes: list[int]) -> list[tuple[int, int]]:
@@ -508,6 +553,19 @@ def merged(begins: list[int], finishes: list[int]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
+def merged_rows(found: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``merged`` for every row of a column: ends of the rows' runs among all, begins, finishes."""
+    row = np.repeat(np.arange(len(found)), found.value_lengths().fill_null(0).to_numpy())
+    begin, finish = (found.flatten().field(k).to_numpy() for k in ("begin", "finish"))
+    order = np.lexsort((begin, row))
+    row, begin, finish = row[order], begin[order], finish[order]
+    base = row * (finish.max(initial=0) + 1)  # no run goes on into the next row
+    reach = np.maximum.accumulate(base + finish)
+    fresh = np.flatnonzero(np.append(True, (base + begin)[1:] > reach[:-1])[:len(row)])
+    last = np.append(fresh[1:], len(row))[:len(fresh)] - 1
+    return np.cumsum(np.bincount(row[fresh], minlength=len(found))), begin[fresh], (reach - base)[last]
+
+
 def _kept(data: bytes, cut: list[tuple[int, int]]) -> bytes:
     at, parts = 0, []
     for a, b in cut:
@@ -519,10 +577,7 @@ def _kept(data: bytes, cut: list[tuple[int, int]]) -> bytes:
 
 def _word_spans(rows: DataFrame, words: int) -> DataFrame:
     """(k1, k2, begin, finish): words of passages that repeat, numbered from 0."""
-    found = spans(rows, CODE * words, encode=word_codes, least=words)
-    # part of a code may be shared by chance: only whole ones are words
-    return found.select(*_KEY, F.expr(f"({CODE - 1} + begin) div {CODE}").alias("begin"),
-                        F.expr(f"finish div {CODE}").alias("finish")).filter("begin < finish")
+    return spans(rows, words, encode=word_codes, least=words)
 
 
 def _collected(found: DataFrame, name: str) -> DataFrame:
@@ -535,27 +590,22 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, words: int = PASS
     ``words`` words or more) and n_passage_words (their words)."""
     schema = ("doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, "
               "spans array<struct<begin:bigint,finish:bigint>>, n_passages bigint, n_passage_words bigint")
-    kind = pa.list_(pa.struct([("begin", pa.int64()), ("finish", pa.int64())]))
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "n_passages", "n_passage_words"]
 
-    def runs(found: list | None) -> list[tuple[int, int]]:
-        return merged([x["begin"] for x in found or []], [x["finish"] for x in found or []])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
-                part, out = batch.slice(start, SLICE_ROWS), [[] for _ in names]
-                for doc, text, in_bytes, in_words in zip(*(c.to_pylist() for c in part.columns)):
-                    data, cut, passages = text.encode(), runs(in_bytes), runs(in_words)
-                    row = (doc, len(data), sum(b - a for a, b in cut), len(cut),
-                           hashlib.sha256(_kept(data, cut)).hexdigest(),
-                           [{"begin": a, "finish": b} for a, b in cut],
-                           len(passages), sum(b - a for a, b in passages))
-                    for column, value in zip(out, row):
-                        column.append(value)
+                part = batch.slice(start, SLICE_ROWS)
+                (ends, begin, finish), passages = (merged_rows(part.column(i)) for i in (2, 3))
+                bounds, texts = np.append(0, ends), part.column(1).cast(pa.binary()).to_pylist()
+                kept = [hashlib.sha256(_kept(data, list(zip(begin[a:b].tolist(), finish[a:b].tolist())))).hexdigest()
+                        for data, a, b in zip(texts, bounds[:-1], bounds[1:])]
+                each = pa.StructArray.from_arrays([longs(begin), longs(finish)], names=["begin", "finish"])
+                sums = [np.append(0, np.cumsum(f - a))[np.append(0, e)] for e, a, f in ((ends, begin, finish), passages)]
                 yield pa.RecordBatch.from_arrays(
-                    [*map(longs, out[:4]), strings(out[4]), pa.array(out[5], kind), *map(longs, out[6:])],
-                    names=names)
+                    [part.column(0), longs([len(x) for x in texts]), longs(np.diff(sums[0])), longs(np.diff(bounds)),
+                     strings(kept), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), each),
+                     longs(np.diff(np.append(0, passages[0]))), longs(np.diff(sums[1]))], names=names)
 
     rows = keyed(documents)
     in_bytes = stored_result(lambda: spans(rows, length), "byte-spans")

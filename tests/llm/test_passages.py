@@ -152,3 +152,36 @@ def test_search_has_one_python_step_a_task(spark):
     found = suffix_dedup.spans(documents, 100, 2)
     assert steps(found._jdf.queryExecution().optimizedPlan())[1] == 1
     assert found.count() >= 12
+
+
+def test_word_codes_follow_the_words():
+    """One code a word, equal for equal words only, whatever characters they have."""
+    from rillhouse.llm.suffix_dedup import WORD, anchors, word_codes
+
+    rng, names = random.Random(11), {}
+    some = ["a", "b", "c", " ", "\n", "\u3000", "\u4e00", "\u0e01", "\u00e9", "\U00020001", "\x1c", "\u200b", "x" * 70, "\U0001F600"]
+    for _ in range(500):
+        text = "".join(rng.choices(some, k=rng.randint(0, 60)))
+        words, codes = WORD.findall(text), word_codes(text).tolist()
+        assert len(words) == len(codes)
+        assert all(names.setdefault(w, c) == c for w, c in zip(words, codes))
+    assert len(set(names.values())) == len(names)
+    # the search goes by words: 51 of them are the window, not 204 bytes
+    place, _, _, left, right = anchors(word_codes(" ".join(prose(rng, 400))), 51)
+    assert len(place) and place.max() < 400 and right.max() == 51 and left.max() == 31
+
+
+def test_runs_of_many_rows_at_once():
+    import pyarrow as pa
+
+    from rillhouse.llm.suffix_dedup import merged, merged_rows
+
+    rng = random.Random(15)
+    rows = [None if rng.random() < .2 else [
+        {"begin": (a := rng.randrange(90)), "finish": a + rng.randint(1, 9)} for _ in range(rng.choice([0, 1, 8]))]
+        for _ in range(200)]
+    column = pa.array(rows, pa.list_(pa.struct([("begin", pa.int64()), ("finish", pa.int64())])))
+    for part, given in ((column, rows), (column.slice(50, 100), rows[50:150]), (column.slice(0, 0), [])):
+        ends, begin, finish = (x.tolist() for x in merged_rows(part))
+        found = [list(zip(begin[a:b], finish[a:b])) for a, b in zip([0, *ends], ends)]
+        assert found == [merged([x["begin"] for x in r or []], [x["finish"] for x in r or []]) for r in given]
