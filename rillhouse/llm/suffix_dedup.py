@@ -83,10 +83,15 @@ _SINGLE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf9
 WORD = re.compile(f"[{_SINGLE}]|[^\\s{_SINGLE}]{{1,{LONGEST}}}")
 
 
+_SHIFT, _FACTORS = np.uint64(33), (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
-    for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
-        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-    return x ^ (x >> np.uint64(33))
+    for factor in _FACTORS:
+        x = x ^ (x >> _SHIFT)
+        x *= factor
+    x ^= x >> _SHIFT
+    return x
 
 
 @functools.cache
@@ -105,8 +110,10 @@ def word_codes(text: str) -> np.ndarray:
     """A 32-bit code for each match of ``WORD``."""
     kind, hashes, powers = _kinds()
     points = np.frombuffer(text.encode(), np.uint8) if text.isascii() else np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    kinds = kind[points]
-    edges = np.flatnonzero(np.diff(kinds == 1, prepend=False, append=False))
+    kinds = kind.take(points)
+    inside = np.zeros(len(kinds) + 2, bool)
+    np.equal(kinds, 1, out=inside[1:-1])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
     sizes = ends - starts
     if len(sizes) and sizes.max() > LONGEST:
@@ -123,9 +130,9 @@ def word_codes(text: str) -> np.ndarray:
         return np.zeros(0, np.uint32)
     firsts = np.cumsum(sizes) - sizes  # of each word, among the characters of words
     inside = points[kinds > 0]
-    values = hashes[inside] if text.isascii() or inside.max() < len(hashes) else _mix(inside.astype(np.uint64) + np.uint64(1))
+    values = hashes.take(inside) if text.isascii() or inside.max() < len(hashes) else _mix(inside.astype(np.uint64) + np.uint64(1))
     place = np.arange(len(inside)) - np.repeat(firsts, sizes)
-    return (_mix(np.add.reduceat(values * powers[place], firsts)) >> np.uint64(32)).astype(np.uint32)
+    return (_mix(np.add.reduceat(values * powers.take(place), firsts)) >> np.uint64(32)).astype(np.uint32)
 
 
 def text_bytes(text: str) -> np.ndarray:
@@ -146,7 +153,7 @@ class Rolling:
 
     def sums(self, raw: np.ndarray) -> np.ndarray:
         out = np.zeros(len(raw) + 1, np.uint64)
-        codes = self.codes[raw] if raw.dtype == np.uint8 else _mix((raw + np.uint64(1)) * self.base)
+        codes = self.codes.take(raw) if raw.dtype == np.uint8 else _mix((raw + np.uint64(1)) * self.base)
         np.cumsum(codes * self.powers[:len(raw)], out=out[1:])
         return out
 
@@ -188,19 +195,22 @@ def anchors(data: bytes | np.ndarray, length: int = LENGTH) -> tuple[np.ndarray,
         low, high = max(0, begin - w), min(n, end + w + length)
         part = raw[low:high]
         sums = one.sums(part)
-        starts = np.arange(begin - low, end + w - 1 - low)
-        grams = one.of(sums, starts, starts + k)
-        least = _sliding(grams, w, np.minimum)
-        edge = np.zeros(w - 1, np.uint64)
-        chosen = np.flatnonzero(_sliding(np.concatenate([edge, least, edge]), w, np.maximum) == grams)
-        at = starts[chosen]
+        first, after = begin - low, end + w - 1 - low
+        grams = _mix((sums[first + k:after + k] - sums[first:after]) * one.inverse[first:after])
+        padded = np.zeros(len(grams) + w - 1, np.uint64)
+        padded[w - 1:len(grams)] = _sliding(grams, w, np.minimum)
+        at = np.flatnonzero(_sliding(padded, w, np.maximum) == grams)
+        grams = grams[at]
+        at += first
         left = np.minimum(at + low, w - 1)
         right = np.minimum(n - low - at, length)
         salt = _mix((left * 65_537 + right).astype(np.uint64) + np.uint64(1))
         more = two.sums(part)
-        found.append((at + low, grams[chosen], two.of(more, at - left, at + right) ^ salt, left, right))
+        found.append((at + low, grams, two.of(more, at - left, at + right) ^ salt, left, right))
     if not found:
         return tuple(np.zeros(0, np.int64) for _ in range(5))
+    if len(found) == 1:
+        return tuple(x.view(np.int64) for x in found[0])
     out = [np.concatenate(x) for x in zip(*found)]
     _, first = np.unique(out[0], return_index=True)
     return tuple(x[first].view(np.int64) for x in out)
