@@ -1,8 +1,8 @@
 """Column expressions shared by all layers.  No Python runs per row."""
 
 from rillhouse.functions.jsontext import (  # noqa: F401
-    is_json_object, is_object_text, json_field, json_put, json_value, keep_numbers,
-    restore_numbers,
+    is_json_object, is_object_text, json_field, json_put, json_string, json_value, keep_numbers,
+    plain_member_put, restore_numbers,
 )
 from rillhouse.functions.numbers import (  # noqa: F401
     amount_or_zero, is_valid_amount, is_valid_integer, parse_amount, parse_integer, round_money,

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillhouse.functions import (
-    add_once, is_blank, is_object_text, json_field, json_put, json_value, keep_numbers,
-    parse_integer, parse_once, restore_numbers,
+    add_once, is_blank, is_object_text, json_field, json_put, json_string, keep_numbers,
+    parse_integer, parse_once, plain_member_put, restore_numbers,
 )
 from rillhouse.sources.schemas import CHANGE_SCHEMA, DIRTY_STREAM, DWD_FIELDS, DWD_ROUTES
 
@@ -82,14 +82,15 @@ def may_belong(text: DataFrame, tables: Iterable[str], value: str = "value") ->
 
 def detail_text(routed: DataFrame) -> DataFrame:
     """``route, value`` as sent on: the row plus ``_source_table, _op, _ts_ms``;
-    dirty rows keep their original text.  Numbers keep their spelling."""
-    enriched = restore_numbers(json_put(json_field(keep_numbers(F.col("value")), "after"), {
-        "_source_table": json_value(F.col("source_table")),
-        "_op": json_value(F.col("op")),
-        "_ts_ms": json_value(F.col("ts_ms"))}))
+    dirty rows keep their original text.  Numbers keep their spelling.  Most rows are cut out of
+    their event as they stand, the others are parsed and written anew."""
+    members = {"_source_table": json_string(F.col("source_table")), "_op": json_string(F.col("op")),
+               "_ts_ms": F.col("ts_ms").cast("string")}
+    plain = plain_member_put(F.col("value"), "after", members)
+    parsed = restore_numbers(json_put(json_field(keep_numbers(F.col("value")), "after"), members))
     return routed.filter(F.col("route").isNotNull()).select(
         "route",
-        F.when(F.col("route") == DIRTY_STREAM, F.col("value")).otherwise(enriched).alias("value"),
+        F.when(F.col("route") == DIRTY_STREAM, F.col("value")).otherwise(F.coalesce(plain, parsed)).alias("value"),
         "arrival_ts", "seq")
 
 
